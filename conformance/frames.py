@@ -29,7 +29,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
-    return Dimensions.with_defaults(spark, tb.municipalities(spark, sf_dir), tb.macroregions(spark, sf_dir))
+    return Dimensions(tb.municipalities(spark, sf_dir), tb.macroregions(spark, sf_dir))
 
 
 def full_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

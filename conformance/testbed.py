@@ -18,14 +18,31 @@ AS_OF = "2026-02-15"
 NOW = "2026-02-15 12:00:00"
 LAST_DAY = "2026-02-28"
 
-TABLES = [
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
-    "pages", "benchmark", "labels", "conversations",
-]
+# Stated so that reading a table does not first read its footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+TABLES = list(SCHEMAS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def quote(value: object) -> str:
@@ -37,10 +54,9 @@ def quote(value: object) -> str:
 
 
 def pick(expr: str, values: Sequence[object], default: object = None) -> str:
-    """The n-th value of a list, n being a whole-number expression."""
-    body = " ".join(f"WHEN {i} THEN {quote(v)}" for i, v in enumerate(values))
-    tail = f" ELSE {quote(default)}" if default is not None else ""
-    return f"(CASE {expr} {body}{tail} END)"
+    """The n-th value of a list counted from 0, n being a whole-number expression."""
+    found = f"try_element_at(array({', '.join(quote(v) for v in values)}), CAST({expr} AS INT) + 1)"
+    return found if default is None else f"coalesce({found}, {quote(default)})"
 
 
 # Days from an order to the end of the order book. Both engines subtract days
@@ -51,8 +67,15 @@ _AGE = {
 }
 
 # Order dates spread over 1575 days before LAST_DAY, denser toward the end as in
-# a network that grows: weeks with few and with many tests both occur.
-_DAY = "DATE '" + LAST_DAY + "' - CAST(floor(CAST({age} AS DOUBLE) * {age} / 3672) AS INT)"
+# a network that grows. Older weeks are thinned to every second, fourth and
+# eighth, so that weeks with few and with many tests occur in every period.
+_BACK = "CAST(floor(CAST({age} AS DOUBLE) * {age} / 3672) AS INT)"
+_DAY = (
+    f"DATE '{LAST_DAY}' - CAST(CASE WHEN back < 42 THEN back WHEN back < 182 THEN back - back % 14 + back % 7 "
+    "WHEN back < 364 THEN back - back % 28 + back % 7 ELSE back - back % 56 + back % 7 END AS INT)"
+)
+# One state takes the customers of a third of the keys besides its own.
+_NATION = "CASE WHEN o_custkey % 3 = 1 THEN 24 ELSE c_nationkey END AS c_nationkey"
 
 STATE_CODES = list(vocab.STATE_NAMES)
 KITS = [
@@ -60,7 +83,7 @@ KITS = [
     "test_23", "test_24", "test_24", "test_24", "test_3", "flu_pcr", "flu_antigen", "vsr_antigen", "adeno_pcr",
     "bac_pcr", "sc2_antigen", "UNKNOWN",
 ]
-ANALYTES = ["SC2"] * 6 + ["FLUA"] * 4 + ["FLUB"] * 3 + ["VSR"] * 3 + vocab.PATHOGENS[4:]
+ANALYTES = ["SC2"] * 8 + ["FLUA"] * 3 + ["FLUB"] * 3 + ["VSR"] * 2 + vocab.PATHOGENS[4:]
 
 PLACE = (
     "CASE WHEN o_custkey % 40 = 5 THEN 'Moji das Cruzes' "
@@ -79,24 +102,28 @@ SEX = pick("o_orderkey % 5", ["F", "M", "Feminino", "masculino", None])
 AGE = "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(floor(p_size * 2.5) AS INT) - 4 END"
 
 
-def tests_sql(engine: str) -> str:
-    """One row per line item with its order, customer, part and day."""
-    day = _DAY.format(age=_AGE[engine])
+def dated_orders(engine: str) -> str:
+    """Orders with their customer's segment and nation and a day ``dt``."""
+    back = _BACK.format(age=_AGE[engine])
     return (
-        f"SELECT lineitem.*, orders.*, c_nationkey, c_mktsegment, p_size, p_brand, {day} AS dt FROM {{lineitem}} AS lineitem "
-        "JOIN {orders} AS orders ON l_orderkey = o_orderkey JOIN {customer} AS customer ON o_custkey = c_custkey "
-        "JOIN {part} AS part ON l_partkey = p_partkey"
+        f"(SELECT *, {_DAY} AS dt FROM (SELECT orders.*, {_NATION}, c_mktsegment, {back} AS back FROM {{orders}} AS orders "
+        "JOIN {customer} AS customer ON o_custkey = c_custkey) AS aged)"
     )
 
 
-def cases_sql(engine: str) -> str:
-    """One row per order with its customer and day."""
+def tests_sql(engine: str) -> str:
+    """One row per line item with its dated order and its part's size."""
     return (
-        f"SELECT orders.*, c_nationkey, c_mktsegment, {_DAY.format(age=_AGE[engine])} AS dt FROM {{orders}} AS orders "
-        "JOIN {customer} AS customer ON o_custkey = c_custkey"
+        f"SELECT lineitem.*, dated.*, p_size, p_brand FROM {{lineitem}} AS lineitem JOIN {dated_orders(engine)} AS dated "
+        "ON l_orderkey = o_orderkey JOIN {part} AS part ON l_partkey = p_partkey"
     )
 
 
+def cases_sql(engine: str) -> str:
+    """One row per dated order."""
+    return f"SELECT * FROM {dated_orders(engine)} AS dated"
+
+
 # -- samples of a mixed laboratory -------------------------------------------
 
 LONG = f"""
@@ -323,6 +350,7 @@ def duck(sql: str, **names: str) -> str:
         sql = sql.replace("{" + t + "}", t)
     for name in ("tests", "cases", "municipalities"):
         sql = sql.replace("{" + name + "}", names.get(name, name))
+    sql = sql.replace("try_element_at(array(", "list_extract(list_value(")
     return sql.replace("`", '"')
 
 

@@ -1,22 +1,25 @@
-"""Dimension joins.
-
-All of them are equi-joins without hints: Catalyst broadcasts a dimension
-only while its size estimate stays under ``spark.sql.autoBroadcastJoinThreshold``
-and falls back to a sort-merge join beyond it. Range conditions on whole
-numbers or days are rewritten to equality, since a range join could only run
-as a nested loop over a broadcast side of any size.
+"""Dimension lookups and joins.
+
+A dimension given as a Python mapping is small by definition and becomes a
+literal-map expression: no join, and column pruning drops it from results
+that do not read it. A dimension given as a DataFrame is joined by equality
+without hints, so Catalyst broadcasts it only while its size estimate stays
+under ``spark.sql.autoBroadcastJoinThreshold`` and sorts and merges beyond.
+Range conditions on whole numbers or days are rewritten to equality, since a
+range join could only run as a nested loop over a broadcast side of any size.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labwatch import vocab
 from labwatch.functions import dates
-from labwatch.functions.mapping import region_label
+from labwatch.functions.mapping import first_of, lookup, region_label
 from labwatch.functions.text import normalize_text
 
 
@@ -36,33 +39,22 @@ def literal_table(spark: SparkSession, columns: list[str], rows: list[tuple]) ->
 
 @dataclass
 class Dimensions:
-    """Lookup tables of the panel. The first four have defaults; geography is supplied by the user.
+    """Lookup tables of the panel. Geography is supplied by the user, the others have defaults.
 
     municipalities: CD_MUN, CD_UF, SIGLA_UF, NM_UF, NM_UF_NORM, NM_MUN, NM_MUN_NORM, REGIAO, lat, long
     macroregions: CO_UF, ADM2_PCODE, CO_MACSAUD, DS_NOMEPAD_macsaud, DS_UF_SIGLA, Populacao, state_name, region
+    age_groups: (label, lowest, highest) or columns age_group, min_age, max_age
+    test_methods: kit -> method or columns test_kit, test_method
+    fix_state: spelling -> state or columns source_state, target_state
+    fix_location: (location, state) -> location or columns source_location, source_state, target_location
     """
 
-    age_groups: DataFrame
-    test_methods: DataFrame
-    fix_state: DataFrame
-    fix_location: DataFrame
     municipalities: DataFrame
     macroregions: DataFrame
-
-    @classmethod
-    def with_defaults(cls, spark: SparkSession, municipalities: DataFrame, macroregions: DataFrame) -> Dimensions:
-        return cls(
-            age_groups=literal_table(spark, ["age_group", "min_age", "max_age"], vocab.AGE_BANDS),
-            test_methods=literal_table(spark, ["test_kit", "test_method"], list(vocab.TEST_METHODS.items())),
-            fix_state=literal_table(spark, ["source_state", "target_state"], list(vocab.STATE_FIXES.items())),
-            fix_location=literal_table(
-                spark,
-                ["source_location", "source_state", "target_location"],
-                [(loc, state, target) for (loc, state), target in vocab.LOCATION_FIXES.items()],
-            ),
-            municipalities=municipalities,
-            macroregions=macroregions,
-        )
+    age_groups: Sequence[tuple[str, int, int]] | DataFrame = field(default_factory=lambda: vocab.AGE_BANDS)
+    test_methods: Mapping[str, str] | DataFrame = field(default_factory=lambda: vocab.TEST_METHODS)
+    fix_state: Mapping[str, str] | DataFrame = field(default_factory=lambda: vocab.STATE_FIXES)
+    fix_location: Mapping[tuple[str, str], str] | DataFrame = field(default_factory=lambda: vocab.LOCATION_FIXES)
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
@@ -71,12 +63,21 @@ def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
 
-def attach_method(df: DataFrame, methods: DataFrame) -> DataFrame:
-    return df.join(methods.select("test_kit", "test_method"), "test_kit", "left")
+def attach_method(df: DataFrame, methods: Mapping[str, str] | DataFrame) -> DataFrame:
+    if isinstance(methods, DataFrame):
+        return df.join(methods.select("test_kit", "test_method"), "test_kit", "left")
+    return df.withColumn("test_method", lookup(F.col("test_kit"), methods))
+
 
+def attach_band(
+    df: DataFrame, bands: Sequence[tuple[str, int, int]] | DataFrame, value: str = "age", label: str = "age_group"
+) -> DataFrame:
+    """Band holding a whole number, both ends included.
 
-def attach_band(df: DataFrame, bands: DataFrame, value: str = "age", label: str = "age_group") -> DataFrame:
-    """Band holding a whole number, both ends included: each band lists its numbers and the join is by equality."""
+    A table of bands lists the numbers of each band and is joined by equality.
+    """
+    if not isinstance(bands, DataFrame):
+        return df.withColumn(label, first_of(*[(F.col(value).between(lo, hi), F.lit(name)) for name, lo, hi in bands]))
     listed = bands.select(
         F.col(label), F.explode(F.sequence(F.col("min_age").cast("int"), F.col("max_age").cast("int"))).alias("_value")
     )
@@ -100,48 +101,65 @@ def attach_calendar(df: DataFrame, weeks: DataFrame, day: str) -> DataFrame:
     return df.join(weeks, dates.week_start(F.col(day)) == weeks["start_date"], "left")
 
 
-def fix_places(df: DataFrame, fix_state: DataFrame, fix_location: DataFrame) -> DataFrame:
-    """Correct state names, then locations known under the original or the corrected state."""
-    states = fix_state.select(F.upper("source_state").alias("_state_key"), F.col("target_state").alias("_state"))
+_SEPARATOR = "\u0001"
 
-    def places(tag: str) -> DataFrame:
-        return fix_location.select(
-            F.upper("source_location").alias(f"_loc_{tag}"),
-            F.upper("source_state").alias(f"_st_{tag}"),
-            F.col("target_location").alias(f"_place_{tag}"),
-        )
 
-    raw, fixed = places("raw"), places("fixed")
+def fix_places(
+    df: DataFrame, fix_state: Mapping[str, str] | DataFrame, fix_location: Mapping[tuple[str, str], str] | DataFrame
+) -> DataFrame:
+    """Correct state names, then locations known under the original or else the corrected state."""
     others = [c for c in df.columns if c not in ("location", "state")]
     clean = df.select(*others, normalize_text(F.col("location")).alias("location"), normalize_text(F.col("state")).alias("state"))
-    joined = (
-        clean.join(states, F.upper(F.col("state")) == states["_state_key"], "left")
-        .join(raw, (F.upper(F.col("location")) == raw["_loc_raw"]) & (F.upper(F.col("state")) == raw["_st_raw"]), "left")
-        .join(
-            fixed,
-            (F.upper(F.col("location")) == fixed["_loc_fixed"]) & (F.upper(F.col("_state")) == fixed["_st_fixed"]),
-            "left",
-        )
+    if isinstance(fix_state, DataFrame) or isinstance(fix_location, DataFrame):
+        return _fix_places_by_join(clean, others, fix_state, fix_location)
+    location, state = F.col("location"), F.col("state")
+    state_fix = lookup(state, {k.upper(): v for k, v in fix_state.items()})
+    places = {f"{loc.upper()}{_SEPARATOR}{st.upper()}": target for (loc, st), target in fix_location.items()}
+
+    def place(under: Column) -> Column:
+        return lookup(F.concat(location, F.lit(_SEPARATOR), under), places)
+
+    return clean.select(
+        *others,
+        F.coalesce(place(state), place(state_fix), location).alias("location"),
+        F.coalesce(state_fix, state).alias("state"),
+    )
+
+
+def _fix_places_by_join(clean: DataFrame, others: list[str], fix_state: DataFrame, fix_location: DataFrame) -> DataFrame:
+    """The location table is first widened by the spellings that lead to its states, so one join serves both ways."""
+    states = fix_state.select(F.upper("source_state").alias("_state_key"), F.col("target_state").alias("_state"))
+    direct = fix_location.select(
+        F.upper("source_location").alias("_loc"), F.upper("source_state").alias("_st"), F.col("target_location").alias("_place"),
+        F.lit(0).alias("_rank"),
+    )
+    through = direct.join(states, F.col("_st") == F.upper("_state")).select(
+        "_loc", F.col("_state_key").alias("_st"), "_place", F.lit(1).alias("_rank")
+    )
+    places = direct.unionByName(through).groupBy("_loc", "_st").agg(F.min_by("_place", "_rank").alias("_place"))
+    joined = clean.join(states, F.col("state") == F.col("_state_key"), "left").join(
+        places, (F.col("location") == F.col("_loc")) & (F.col("state") == F.col("_st")), "left"
     )
     return joined.select(
-        *others,
-        F.coalesce("_place_raw", "_place_fixed", "location").alias("location"),
-        F.coalesce("_state", "state").alias("state"),
+        *others, F.coalesce("_place", "location").alias("location"), F.coalesce("_state", "state").alias("state")
     )
 
 
-def attach_geography(df: DataFrame, municipalities: DataFrame, macroregions: DataFrame) -> DataFrame:
-    """Official names, codes, coordinates and health region of a (location, state) pair."""
+def geography(municipalities: DataFrame, macroregions: DataFrame) -> DataFrame:
+    """Municipalities with their health region: the two dimensions meet before they meet the samples."""
     m = municipalities.select(
         "NM_MUN_NORM", "NM_UF_NORM", "NM_MUN", "NM_UF", "REGIAO", "SIGLA_UF", "CD_UF", "CD_MUN", "lat", "long"
     )
     r = macroregions.select("CO_UF", "ADM2_PCODE", "CO_MACSAUD", "DS_NOMEPAD_macsaud")
+    code = F.concat(F.lit("BR"), F.col("CD_MUN").cast("string"))
+    return m.join(r, (F.col("CD_UF") == F.col("CO_UF")) & (code == F.col("ADM2_PCODE")), "left")
+
+
+def attach_geography(df: DataFrame, municipalities: DataFrame, macroregions: DataFrame) -> DataFrame:
+    """Official names, codes, coordinates and health region of a (location, state) pair."""
+    g = geography(municipalities, macroregions)
     others = [c for c in df.columns if c not in ("location", "state")]
-    joined = df.join(m, (df["location"] == m["NM_MUN_NORM"]) & (df["state"] == m["NM_UF_NORM"]), "left").join(
-        r,
-        (F.col("CD_UF") == F.col("CO_UF")) & (F.concat(F.lit("BR"), F.col("CD_MUN").cast("string")) == F.col("ADM2_PCODE")),
-        "left",
-    )
+    joined = df.join(g, (df["location"] == g["NM_MUN_NORM"]) & (df["state"] == g["NM_UF_NORM"]), "left")
     return joined.select(
         *others,
         F.col("NM_MUN").alias("location"),

@@ -12,6 +12,8 @@ straight from the facts, the whole catalogue from one checkpointed cube.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,26 +29,18 @@ from labwatch.vocab import PATHOGENS, RESULT_COLUMNS
 FIRST_WEEK = "2022-01-01"
 
 PLACE = ["location", "location_ibge_code", "lat", "long"]
-KEYS = ["epiweek_enddate", "epiweek_number", "quarter", "test_kit", "tested", "region", "state", "state_code", "age_group"]
-CITY_KEYS = ["epiweek_enddate", "test_kit", "tested", "state", "state_code", *PLACE]
-REGISTER_KEYS = ["epiweek_enddate", "tested", "region", "state"]
+KEYS = ["epiweek_enddate", "epiweek_number", "quarter", "test_kit", "region", "state", "state_code", "age_group"]
+CITY_KEYS = ["epiweek_enddate", "test_kit", "state", "state_code", *PLACE]
+REGISTER_KEYS = ["epiweek_enddate", "region", "state"]
 COUNTERS = [f"{p}_{side}" for p in PATHOGENS for side in ("pos", "neg")]
 
 
-def tested_bit(pathogen: str) -> int:
-    return 1 << PATHOGENS.index(pathogen)
-
-
-def tested_mask() -> Column:
-    """The set of conclusively tested pathogens as one number."""
-    mask = F.lit(0)
-    for p in PATHOGENS:
-        mask = mask + F.when(is_tested(f"{p}_test_result"), tested_bit(p)).otherwise(0)
-    return mask
+def has_tested(pathogen: str) -> Column:
+    return F.col(f"{pathogen}_tested")
 
 
-def has_tested(pathogen: str) -> Column:
-    return F.col("tested").bitwiseAND(F.lit(tested_bit(pathogen))) != 0
+def _tested() -> list[Column]:
+    return [F.coalesce(is_tested(f"{p}_test_result"), F.lit(False)).alias(f"{p}_tested") for p in PATHOGENS]
 
 
 def _counters() -> list[Column]:
@@ -70,7 +64,7 @@ def rows(panel: DataFrame, as_of: str | date) -> DataFrame:
 
 def facts(panel: DataFrame, as_of: str | date) -> DataFrame:
     return rows(panel, as_of).select(
-        "*", F.trunc("date_testing", "quarter").alias("quarter"), tested_mask().alias("tested"), *_counters()
+        "*", F.trunc("date_testing", "quarter").alias("quarter"), *_tested(), *_counters()
     )
 
 
@@ -94,9 +88,13 @@ def register_rows(register: DataFrame, macroregions: DataFrame, municipalities:
 
 def register_facts(register: DataFrame, macroregions: DataFrame, municipalities: DataFrame, age_groups: DataFrame, as_of: str | date) -> DataFrame:
     base = register_rows(register, macroregions, municipalities, age_groups, as_of)
-    return base.select("*", tested_mask().alias("tested"), *_counters())
+    return base.select("*", *_tested(), *_counters())
 
 
 def cube(facts_df: DataFrame, keys: list[str]) -> DataFrame:
-    """Counters summed over the keys: one exchange of partially aggregated rows."""
-    return facts_df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in COUNTERS])
+    """Counters summed over the keys and the set of tested pathogens, which travels as one number."""
+    bits = {p: 1 << i for i, p in enumerate(PATHOGENS)}
+    mask = reduce(add, [F.when(has_tested(p), bit).otherwise(0) for p, bit in bits.items()])
+    summed = facts_df.groupBy(*keys, mask.alias("_mask")).agg(*[F.sum(c).alias(c) for c in COUNTERS])
+    flags = [(F.col("_mask").bitwiseAND(F.lit(bit)) != 0).alias(f"{p}_tested") for p, bit in bits.items()]
+    return summed.select(*keys, *flags, *COUNTERS)
