@@ -67,19 +67,19 @@ _AGE = {
 }
 
 # Order dates spread over 1575 days before LAST_DAY, denser toward the end as in
-# a network that grows. Older weeks are thinned to every second, fourth and
+# a network that grows. Older weeks are thinned to every fourth, sixth and
 # eighth, so that weeks with few and with many tests occur in every period.
 _BACK = "CAST(floor(CAST({age} AS DOUBLE) * {age} / 3672) AS INT)"
 _DAY = (
-    f"DATE '{LAST_DAY}' - CAST(CASE WHEN back < 42 THEN back WHEN back < 182 THEN back - back % 14 + back % 7 "
-    "WHEN back < 364 THEN back - back % 28 + back % 7 ELSE back - back % 56 + back % 7 END AS INT)"
+    f"DATE '{LAST_DAY}' - CAST(CASE WHEN back < 42 THEN back WHEN back < 182 THEN back - back % 28 + back % 7 "
+    "WHEN back < 364 THEN back - back % 42 + back % 7 ELSE back - back % 56 + back % 7 END AS INT)"
 )
 # One state takes the customers of a third of the keys besides its own.
 _NATION = "CASE WHEN o_custkey % 3 = 1 THEN 24 ELSE c_nationkey END AS c_nationkey"
 
 STATE_CODES = list(vocab.STATE_NAMES)
 KITS = [
-    "covid_pcr", "covid_antigen", "thermo", "test_4", "test_4", "test_4", "test_14", "test_21", "test_21", "test_21",
+    "covid_pcr", "covid_pcr", "covid_pcr", "covid_pcr", "covid_pcr", "covid_antigen", "thermo", "test_4", "test_4", "test_4", "test_14", "test_21", "test_21", "test_21",
     "test_23", "test_24", "test_24", "test_24", "test_3", "flu_pcr", "flu_antigen", "vsr_antigen", "adeno_pcr",
     "bac_pcr", "sc2_antigen", "UNKNOWN",
 ]
@@ -127,7 +127,7 @@ def cases_sql(engine: str) -> str:
 # -- samples of a mixed laboratory -------------------------------------------
 
 LONG = f"""
-SELECT CAST(l_orderkey AS STRING) AS test_id, {pick("o_orderkey % 22", KITS)} AS test_kit,
+SELECT CAST(l_orderkey AS STRING) AS test_id, {pick(f"o_orderkey % {len(KITS)}", KITS)} AS test_kit,
   CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'DBMOL' WHEN 'BUILDING' THEN 'FLEURY' WHEN 'FURNITURE' THEN 'SABIN'
     WHEN 'HOUSEHOLD' THEN 'HILAB' ELSE 'DASA' END AS lab_id,
   {pick("o_orderkey % 5", ["F", "M", "F", "M", None])} AS sex, {AGE} AS age, {PLACE} AS location, {STATE} AS state,
@@ -298,7 +298,7 @@ _ARCHIVE_RESULTS = ", ".join(
 )
 ARCHIVE = f"""
 SELECT CAST(o_orderkey AS STRING) AS sample_id, {pick("o_orderkey % 4", ["DB Mol", "HLAGyn", "DASA", "Sabin"])} AS lab_id, CAST(o_orderkey AS STRING) AS test_id,
-  {pick("o_orderkey % 22", KITS)} AS test_kit, CAST(dt AS STRING) AS date_testing, {STATE_CODE} AS state_code,
+  {pick(f"o_orderkey % {len(KITS)}", KITS)} AS test_kit, CAST(dt AS STRING) AS date_testing, {STATE_CODE} AS state_code,
   concat('P', CAST(o_custkey AS STRING)) AS patient_id, {pick("o_orderkey % 3", ["F", "M", "Z"])} AS sex,
   concat(CAST(o_custkey % 90 - 2 AS STRING), '.0') AS age, {_ARCHIVE_RESULTS}, {PLACE} AS location, {STATE} AS state FROM {{cases}}"""
 

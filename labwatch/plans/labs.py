@@ -22,7 +22,6 @@ from labwatch.functions.mapping import by_prefix, first_of, lookup, sex_by_prefi
 from labwatch.functions.results import row_max, three_way, two_way
 from labwatch.functions.text import normalize_text, remove_terms, squeeze, starts_with, unaccent
 from labwatch.operators.collapse import fill_and_keep_one, keep_one, one_hot
-from labwatch.operators.filters import any_informative
 from labwatch.operators.reshape import split_combined_test
 from labwatch.operators.upsert import keep_decisive, merge, stamp
 from labwatch.vocab import PATHOGENS, UNRECOGNISED
@@ -281,10 +280,11 @@ def hlagyn_typed(raw: DataFrame) -> DataFrame:
 
 
 def hlagyn_fixed(typed: DataFrame) -> DataFrame:
+    """The 29 result columns go through one lambda as an array: spelled out 29 times, the same
+    conditions would outgrow what the JVM compiles as one method."""
     results = list(lv.HLAGYN_RESULT_HEADERS.values())
 
-    def code(name: str) -> Column:
-        c = F.col(name)
+    def code(c: Column) -> Column:
         return first_of(
             (starts_with(c, "NAO DETECTADO"), 0),
             (starts_with(c, "DETECTADO"), 1),
@@ -299,7 +299,9 @@ def hlagyn_fixed(typed: DataFrame) -> DataFrame:
         (F.col("result_virus_ia").isNotNull(), "test_24"),
         default=UNKNOWN_KIT,
     )
-    return typed.where(any_informative(results)).select(
+    listed = typed.withColumn("_results", F.array(*results))
+    informative = F.exists("_results", lambda c: c.isNotNull() & (c != "INCONCLUSIVO"))
+    coded = listed.where(informative).select(
         sample_key(F.col("test_id"), F.col("detalhe_exame")).alias("sample_id"),
         "test_id",
         "date_testing",
@@ -310,9 +312,12 @@ def hlagyn_fixed(typed: DataFrame) -> DataFrame:
         "state_code",
         state_name(F.col("state_code")).alias("state"),
         kit.alias("test_kit"),
-        *[code(r).alias(r) for r in results],
+        F.transform("_results", code).alias("_codes"),
         "file_name",
     )
+    return coded.select(
+        *[c for c in coded.columns if c != "_codes"], *[F.col("_codes")[i].alias(r) for i, r in enumerate(results)]
+    )
 
 
 def hlagyn_hot(fixed: DataFrame) -> DataFrame:
