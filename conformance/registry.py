@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conformance import oracle_labs, oracle_matrices, queries_labs, queries_matrices
+from conformance import oracle_labs, oracle_matrices, queries_labs, queries_matrices, queries_operators
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**queries_labs.queries(), **queries_matrices.queries()}
+    return {**queries_operators.QUERIES, **queries_labs.queries(), **queries_matrices.queries()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**oracle_labs.sql(), **oracle_matrices.sql()}
+    return {**queries_operators.SQL, **oracle_labs.sql(), **oracle_matrices.sql()}

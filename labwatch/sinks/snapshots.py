@@ -1,0 +1,40 @@
+"""Tables kept as numbered snapshots.
+
+A merge reads the newest complete snapshot and writes the next one, so the
+path being read is never overwritten and a job that dies leaves the table as
+it was. Older snapshots stay until the owner of the storage expires them.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _folders(spark: SparkSession, path: str) -> list[int]:
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = []
+    for status in fs.listStatus(root):
+        match = re.fullmatch(r"snapshot=(\d+)", status.getPath().getName())
+        if match and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            found.append(int(match.group(1)))
+    return sorted(found)
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete snapshot, or nothing before the first."""
+    done = _folders(spark, path)
+    return spark.read.parquet(f"{path}/snapshot={done[-1]:06d}") if done else None
+
+
+def write_next(df: DataFrame, path: str, partition_by: str | None = None) -> str:
+    done = _folders(df.sparkSession, path)
+    target = f"{path}/snapshot={(done[-1] if done else 0) + 1:06d}"
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(target)
+    return target
