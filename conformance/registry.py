@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from conformance import oracle_labs, oracle_matrices, queries_labs, queries_matrices, queries_operators
+from conformance import oracle_labs, oracle_matrices, queries_io, queries_labs, queries_matrices, queries_operators, queries_quality  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from labwatch.operators.windows import sort_like_postgres
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", one_file: bool = False) -> None:
+def write_delimited(df: DataFrame, path: str, sep: str = ",", one_file: bool = False, encoding: str = "UTF-8") -> None:
     """Header and rows. ``one_file`` is for published tables, whose size the calendar bounds."""
     out = df.coalesce(1) if one_file else df
-    out.write.mode("overwrite").option("sep", sep).option("header", True).option("emptyValue", "").csv(path)
+    writer = out.write.mode("overwrite").options(sep=sep, header=True, emptyValue="", escape='"', encoding=encoding)
+    writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def write_tsv(df: DataFrame, path: str, one_file: bool = False) -> None:

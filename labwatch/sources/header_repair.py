@@ -32,13 +32,13 @@ def recover_from_values(df: DataFrame, prefix: str = RESULT) -> DataFrame:
     suspects = [c for c in df.columns if c.startswith(prefix)]
     if not suspects:
         return df
-    position = F.monotonically_increasing_id()
+    position = F.col("_position")
     looks = []
     for i, c in enumerate(suspects):
         value = F.col(f"`{c}`")
         looks.append(F.min_by(value, F.when(value.isNotNull(), position)).alias(f"first_{i}"))
         looks.append(F.max(F.when(F.trim(value) != "", 1).otherwise(0)).alias(f"any_{i}"))
-    seen = df.agg(*looks).first()
+    seen = df.withColumn("_position", F.monotonically_increasing_id()).agg(*looks).first()
     for i, c in enumerate(suspects):
         if not seen[f"any_{i}"]:
             df = df.drop(c)

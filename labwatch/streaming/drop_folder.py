@@ -23,6 +23,7 @@ from labwatch.sources.header_repair import prepare
 def arrivals(spark: SparkSession, folder: str, pattern: str = "*.csv", per_batch: int = 1, archive: str | None = None) -> DataFrame:
     reader = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", per_batch)
     )
