@@ -25,7 +25,8 @@ _ACCENTED, _PLAIN = _accent_pairs()
 
 
 def unaccent(c: Column) -> Column:
-    return F.translate(c, _ACCENTED, _PLAIN)
+    """Text of single-byte characters has no accents and skips the per-character lookup."""
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.translate(c, _ACCENTED, _PLAIN))
 
 
 def normalize_text(c: Column) -> Column:

@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from labwatch.vocab import PATHOGENS
 
 
+def computed_once(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """A projection whose results are computed once per row.
+
+    Catalyst pushes a filter on a computed column below its projection by
+    repeating the computation, which for text cleaning read by many conditions
+    multiplies the work and outgrows the code the JVM compiles. A filter is
+    not pushed below a generator, so the columns pass through one.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def unpivot_results(df: DataFrame, keep: Sequence[str | Column] = ("*",), pathogens: Sequence[str] = PATHOGENS) -> DataFrame:
     """One row per (row, pathogen) with ``result`` and ``pathogen``; the wide columns may be kept beside them."""
     pairs = F.array(

@@ -22,9 +22,9 @@ from labwatch.functions.mapping import by_prefix, first_of, lookup, sex_by_prefi
 from labwatch.functions.results import row_max, three_way, two_way
 from labwatch.functions.text import normalize_text, remove_terms, squeeze, starts_with, unaccent
 from labwatch.operators.collapse import fill_and_keep_one, keep_one, one_hot
-from labwatch.operators.reshape import split_combined_test
+from labwatch.operators.reshape import computed_once, split_combined_test
 from labwatch.operators.upsert import keep_decisive, merge, stamp
-from labwatch.vocab import PATHOGENS, UNRECOGNISED
+from labwatch.vocab import PATHOGENS, UNDETERMINED, UNRECOGNISED
 
 CARRIED = ["test_id", "test_kit", "sex", "age", "location", "state", "date_testing", "patient_id", "file_name"]
 UNKNOWN_KIT = "UNKNOWN"
@@ -66,7 +66,8 @@ def _norm(name: str) -> Column:
 
 
 def dbmol_typed(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return computed_once(
+        raw,
         integer_text(F.col("NumeroPedido")).alias("test_id"),
         F.col("Sexo").alias("sex"),
         _norm("Procedimento").alias("exame"),
@@ -108,7 +109,8 @@ def dbmol_fixed(typed: DataFrame) -> DataFrame:
         & ~F.col("result").isin(lv.DBMOL_DROPPED_RESULTS)
     )
     panel_or_analyte = F.when(code.isin(lv.DBMOL_PANEL_CODES), code).otherwise(F.col("detalhe_exame"))
-    return kept.select(
+    fixed = computed_once(
+        kept,
         sample_key(F.col("test_id"), exam, panel_or_analyte).alias("sample_id"),
         "test_id",
         "date_testing",
@@ -123,14 +125,16 @@ def dbmol_fixed(typed: DataFrame) -> DataFrame:
         "state_code",
         state_name(F.col("state_code")).alias("state"),
         "file_name",
-    ).where(F.col("result") != -3)
+    )
+    return fixed.where(F.col("result") != UNDETERMINED)
 
 
 # -- Einstein ----------------------------------------------------------------
 
 
 def einstein_typed(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return computed_once(
+        raw,
         F.col("accession").cast("string").alias("test_id"),
         F.col("sexo").alias("sex"),
         to_int(F.col("idade")).alias("age"),
@@ -174,7 +178,9 @@ def einstein_fixed(typed: DataFrame) -> DataFrame:
 
 
 def fleury_typed(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col("EXAME").isNotNull()).select(
+    kept = raw.where(F.col("EXAME").isNotNull())
+    return computed_once(
+        kept,
         F.col("`CODIGO REQUISICAO`").alias("test_id"),
         to_date(F.col("`DATA COLETA`"), "d/M/yyyy").alias("date_testing"),
         F.col("PACIENTE").alias("patient_id"),
@@ -226,9 +232,11 @@ def fleury_fixed(typed: DataFrame) -> DataFrame:
 
 
 def hilab_typed(raw: DataFrame) -> DataFrame:
-    return raw.where(
+    kept = raw.where(
         ~F.col("Exame").isin(lv.HILAB_DROPPED_EXAMS) & ~F.col("Resultado").isin(lv.HILAB_DROPPED_RESULTS)
-    ).select(
+    )
+    return computed_once(
+        kept,
         F.col("`Código Da Cápsula`").alias("test_id"),
         _norm("Estado").alias("state_code"),
         _norm("Cidade").alias("location"),
@@ -266,7 +274,8 @@ def hilab_fixed(typed: DataFrame) -> DataFrame:
 
 
 def hlagyn_typed(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return computed_once(
+        raw,
         F.col("Pedido").alias("test_id"),
         to_date(F.col("`Data Coleta`"), "yyyy-M-d").alias("date_testing"),
         to_int(F.col("Idade")).alias("age"),
@@ -334,7 +343,8 @@ def hlagyn_hot(fixed: DataFrame) -> DataFrame:
 
 
 def hpardini_typed(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    return computed_once(
+        raw,
         F.col("CODIGO").alias("test_id"),
         to_date(F.col("DATACOLETA"), "yyyy-M-d").alias("date_testing"),
         _norm("PATÓGENO").alias("pathogen"),
@@ -373,7 +383,8 @@ def hpardini_fixed(typed: DataFrame) -> DataFrame:
 
 def sabin_typed(raw: DataFrame, date_format: str = "M/d/yyyy") -> DataFrame:
     """``date_format`` follows the file: month first by default, ``d/M/yyyy`` for day-first deliveries."""
-    return raw.select(
+    return computed_once(
+        raw,
         F.col("OS").alias("test_id"),
         _norm("Estado").alias("state"),
         _norm("Municipio").alias("location"),
@@ -433,7 +444,9 @@ def sabin_fixed(typed: DataFrame) -> DataFrame:
 
 def target_typed(raw: DataFrame) -> DataFrame:
     order = integer_text(F.col("`Numerdo do Pedido`"))
-    return raw.where(~order.isin(lv.TARGET_DROPPED_TESTS)).select(
+    kept = raw.where(~order.isin(lv.TARGET_DROPPED_TESTS))
+    return computed_once(
+        kept,
         order.alias("test_id"),
         integer_text(F.col("`Código da Amostra`")).alias("codigo_amostra"),
         to_date(F.col("`Data de Coleta`"), "d/M/yyyy").alias("date_testing"),
