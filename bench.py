@@ -30,8 +30,6 @@ HEADLINE = [
     "quality_kit_pathogens",
     "matrix_01_VRISP_line_posrate_direct_week_country_h",
     "matrix_03_SC2_heat_posrate_week_state",
-    "matrix_13_SC2_map_pos_direct_cities_h",
-    "matrix_34_SC2_line_posrate_bar_pos_direct_week_regions_sivep",
     "matrix_102_VRISP_posrate_posneg_week_state",
 ]
 RUNS = int(os.environ.get("BENCH_RUNS", "1"))
