@@ -13,7 +13,6 @@ from labwatch.vocab import PATHOGENS, RESULT_COLUMNS
 CARRIED = ["test_id", "test_kit", "sex", "age", "location", "state", "date_testing", "patient_id", "file_name"]
 _PREFIX_SEX = "CASE WHEN {s} ILIKE 'F%' THEN 'F' WHEN {s} ILIKE 'M%' THEN 'M' END"
 _CLAMP = "CASE WHEN {a} > 120 OR {a} < 0 THEN NULL ELSE {a} END"
-_NUMBER = "CASE WHEN regexp_matches({r}, '^[0-9]') THEN "
 
 
 def day(c: str, fmt: str) -> str:

@@ -530,7 +530,6 @@ def panel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.samples(spark, sf_dir).where(filters.between_days("date_testing", from_=vocab.PANEL_START))
 
 
-_PANEL_COLS = "EXCLUDE (state_ibge_code, lat, long)"
 
 
 @query("panel", f"{PANEL} SELECT * FROM panel")
@@ -591,7 +590,6 @@ def calendar_counts(spark, sf_dir):
 
 _OLD = "TIMESTAMP '2025-01-01 00:00:00'"
 _HALVES = f"{SAMPLES}, tgt AS (SELECT * REPLACE ('NT' AS VSR_test_result), {_OLD} AS created_at, {_OLD} AS updated_at FROM samples WHERE CAST(test_id AS BIGINT) % 3 != 0), src AS (SELECT * REPLACE ('src.csv' AS file_name), {ob.NOW_LOCAL} AS created_at, {ob.NOW_LOCAL} AS updated_at FROM samples WHERE CAST(test_id AS BIGINT) % 3 != 1)"
-_ALL_BUT = ", ".join(f"COALESCE(s.{c}, t.{c}) AS {c}" for c in ["test_id", "file_name"])
 
 
 def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
