@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from labwatch.llm import token_counts
+from labwatch.llm import secret_scan, sentencepiece_codec, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": token_counts.op6_token_counts,
+    "op7_secret_scan": secret_scan.op7_secret_scan,
+    "op9_sentencepiece": sentencepiece_codec.op9_sentencepiece,
 }
 SQL: dict[str, str] = {}
 
