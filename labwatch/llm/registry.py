@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from labwatch.llm import mixing, quality_rules, secret_scan, sentencepiece_codec, token_counts
+from labwatch.llm import mixing, multi_index, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op4_multi_index": multi_index.op4_multi_index,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_secret_scan": secret_scan.op7_secret_scan,
     "op9_sentencepiece": sentencepiece_codec.op9_sentencepiece,
