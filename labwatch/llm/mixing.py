@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 from labwatch.llm.common import table
 
 #: Documents in a block, parts that weights are rounded to, rows that one task numbers.
-BLOCK, RESOLUTION, BUCKET_ROWS = 64, 1000, 20_000
+BLOCK, RESOLUTION, BUCKET_ROWS = 64, 1000, 4_000
 
 
 def parts(weights: dict[str, float], resolution: int) -> dict[str, int]:
