@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from labwatch.llm import line_dedup, mixing, multi_index, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
+from labwatch.llm import line_dedup, mixing, multi_index, ngram_join, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_scan": secret_scan.op7_secret_scan,
     "op9_sentencepiece": sentencepiece_codec.op9_sentencepiece,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 SQL: dict[str, str] = {}
 
