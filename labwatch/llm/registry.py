@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from labwatch.llm import line_dedup, mixing, multi_index, ngram_join, quality_rules, secret_scan, sentencepiece_codec, token_counts, toxicity
+from labwatch.llm import line_dedup, mixing, multi_index, ngram_join, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
     "op4_multi_index": multi_index.op4_multi_index,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_token_counts": token_counts.op6_token_counts,
