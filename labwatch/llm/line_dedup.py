@@ -79,23 +79,47 @@ def within(a: Column, b: Column, t: int) -> Column:
     return F.when(F.abs(gap) <= t, F.getbit(last, gap + t) == 1).otherwise(F.lit(False))
 
 
+def trimmed(a: Column, b: Column) -> Column:
+    """``a`` and ``b`` without most of what they have in common at either end; their distance stays the same.
+
+    Widths halve, so less than the last one is left in common before a line's
+    first difference, unless lines are longer than all widths together.
+    """
+    widths = F.array(*(F.lit(1 << k) for k in range(16, 2, -1)))
+
+    def front(s: Column, w: Column) -> Column:
+        x, y = s["x"], s["y"]
+        return F.when((F.length(x) >= w) & (F.length(y) >= w) & (F.left(x, w) == F.left(y, w)), F.struct(F.substr(x, w + 1).alias("x"), F.substr(y, w + 1).alias("y"))).otherwise(s)
+
+    def back(s: Column, w: Column) -> Column:
+        x, y = s["x"], s["y"]
+        return F.when((F.length(x) >= w) & (F.length(y) >= w) & (F.right(x, w) == F.right(y, w)), F.struct(F.left(x, F.length(x) - w).alias("x"), F.left(y, F.length(y) - w).alias("y"))).otherwise(s)
+
+    chars = lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, ""))
+    cut = F.aggregate(widths, F.struct(a.alias("x"), b.alias("y")), front)
+    return F.aggregate(widths, cut, back, lambda s: F.struct(chars(s["x"]).alias("x"), chars(s["y"]).alias("y")))
+
+
+#: Sixteen classes of characters, by how often European texts use them.
+CLASSES = ("a", "e", "i", "o", "u", "t", "n", "s", "r", "h", "d", "l", "cmfp", "bgvw", "jkqxyz", " .,")
+
+
 def histogram(line: Column) -> Column:
-    """Counts of eight classes of characters, a byte each."""
-    classes = ("aeA", "iouE", "tdn", "srlT", "mhcw", "gbpf ", "yvkj,", ".zxqI")
+    """Counts of the classes, four bits each."""
     total = F.lit(0).cast("long")
-    for k, chars in enumerate(classes):
-        n = (F.length(line) - F.length(F.translate(line, chars, ""))) % 256
-        total = total + F.shiftleft(n.cast("long"), 8 * k)
+    for k, chars in enumerate(CLASSES):
+        n = (F.length(line) - F.length(F.translate(line, chars, ""))) % 16
+        total = total.bitwiseOR(F.shiftleft(n.cast("long"), 4 * k))
     return total
 
 
 def may_be_within(a: Column, b: Column, t: int) -> Column:
     """An edit changes two counts by one at most."""
     apart = F.lit(0).cast("long")
-    for k in range(8):
-        byte = lambda x: F.shiftrightunsigned(x, 8 * k).bitwiseAND(F.lit(255).cast("long"))  # noqa: E731, B023
-        gap = F.abs(byte(a) - byte(b))
-        apart = apart + F.least(gap, 256 - gap)
+    for k in range(len(CLASSES)):
+        part = lambda x: F.shiftrightunsigned(x, 4 * k).bitwiseAND(F.lit(15).cast("long"))  # noqa: E731, B023
+        gap = F.abs(part(a) - part(b))
+        apart = apart + F.least(gap, 16 - gap)
     return apart <= 2 * t
 
 
@@ -110,7 +134,7 @@ def removed_lines(docs: DataFrame, text: str = "text", t: int = THRESHOLD, least
     lines = lines_of(docs, text, least).withColumn("h", F.xxhash64("line"))
     place = F.struct("d", "pos", "th")
     # each distinct line by its hash, with its first place; the rest are exact repeats
-    first = kept(lines.select("h", place.alias("at"), histogram(F.col("line")).alias("counts")).groupBy("h").agg(F.min("at").alias("at"), F.min("counts").alias("counts")))
+    first = kept(lines.select("h", place.alias("at")).groupBy("h").agg(F.min("at").alias("at")))
 
     measured = lines.select("h", "line", place.alias("at"), F.length("line").alias("n"))
     index = measured.select("h", "at", F.explode(F.array(*index_keys(F.col("line"), F.col("n"), t))).alias("key"))
@@ -120,34 +144,35 @@ def removed_lines(docs: DataFrame, text: str = "text", t: int = THRESHOLD, least
     met = probes.join(earliest, "key").filter((F.col("low") != F.col("h")) | (F.col("high") != F.col("h")))
     met = kept(met.select("h", "key", F.col("e.h").alias("x"), (F.col("low") != F.col("high")).alias("more")).distinct())
 
+    # all lines that pairs can hold: where a key has more lines than the earliest one, they meet one another
+    wanted = met.select("h").unionAll(met.select("x")).distinct()
+    text = lines.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
+    text = kept(text.withColumn("counts", histogram(F.col("line"))).join(first, "h"))
+    known = text.drop("line")
+
     pairs = met.filter("x != h").select(F.least("x", "h").alias("a"), F.greatest("x", "h").alias("b")).distinct()
-    later = kept(similar(pairs, first, lines, t).distinct())
+    later = kept(similar(pairs, text, t).distinct())
 
-    undecided = met.filter("more").select("h", "key").join(first, "h").join(later.withColumn("gone", F.lit(True)), "h", "left")
+    undecided = met.filter("more").select("h", "key").join(known, "h").join(later.withColumn("gone", F.lit(True)), "h", "left")
     others = index.join(met.filter("more").select("key").distinct(), "key", "left_semi").select("key", "h").distinct()
-    others = others.join(first, "h").join(later.withColumn("gone", F.lit(True)), "h", "left")
+    others = others.join(known, "h").join(later.withColumn("gone", F.lit(True)), "h", "left")
     others = others.select("key", F.col("h").alias("x"), F.col("at").alias("x_at"), F.col("counts").alias("x_counts"), F.col("gone").alias("x_gone"))
     # the later one of the two must be undecided
     open_ = F.when(F.col("at") > F.col("x_at"), F.col("gone").isNull()).otherwise(F.col("x_gone").isNull())
     rest = undecided.join(others, (undecided["key"] == others["key"]) & (F.col("h") != F.col("x")) & may_be_within(F.col("counts"), F.col("x_counts"), t) & open_)
     rest = rest.select(F.least("x", "h").alias("a"), F.greatest("x", "h").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    gone = later.unionAll(similar(rest, first, lines, t)).distinct()
+    gone = later.unionAll(similar(rest, text, t)).distinct()
 
     similar_at = first.join(gone, "h", "left_semi").select("at.d", "at.th", "at.pos", F.lit(False).alias("exact"))
     exact = lines.select("h", place.alias("at")).join(first.select("h", F.col("at").alias("first")), "h").filter(F.col("at") != F.col("first"))
     return exact.select("at.d", "at.th", "at.pos", F.lit(True).alias("exact")).distinct().unionAll(similar_at)
 
 
-def similar(pairs: DataFrame, first: DataFrame, lines: DataFrame, t: int) -> DataFrame:
+def similar(pairs: DataFrame, text: DataFrame, t: int) -> DataFrame:
     """``h`` of the later line of every pair within the threshold."""
-    sides = pairs.join(first.select(F.col("h").alias("a"), F.col("at").alias("a_at"), F.col("counts").alias("a_counts")), "a")
-    sides = sides.join(first.select(F.col("h").alias("b"), F.col("at").alias("b_at"), F.col("counts").alias("b_counts")), "b")
-    sides = kept(sides.filter(may_be_within(F.col("a_counts"), F.col("b_counts"), t)).select("a", "b", "a_at", "b_at"))
-    wanted = sides.select(F.col("a").alias("h")).unionAll(sides.select(F.col("b").alias("h"))).distinct()
-    text = lines.select("h", "line").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
-    text = kept(text)
-    both = sides.join(text.select(F.col("h").alias("a"), F.col("line").alias("a_line")), "a").join(text.select(F.col("h").alias("b"), F.col("line").alias("b_line")), "b")
-    chars = both.select("a", "b", "a_at", "b_at", F.explode(F.array(F.struct(F.split("a_line", "").alias("x"), F.split("b_line", "").alias("y")))).alias("c"))
+    side = lambda c: text.select(F.col("h").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("line", "counts", "at")))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(may_be_within(F.col("a_counts"), F.col("b_counts"), t))
+    chars = both.select("a", "b", "a_at", "b_at", F.explode(F.array(trimmed(F.col("a_line"), F.col("b_line")))).alias("c"))
     close = chars.filter(within(F.col("c.x"), F.col("c.y"), t))
     return close.select(F.when(F.col("a_at") > F.col("b_at"), F.col("a")).otherwise(F.col("b")).alias("h"))
 
