@@ -4,9 +4,9 @@ The Jaccard distance is a metric, and sets of shingles of any kind may serve
 as its pivots. The join uses two kinds.
 
 * Shingles. A document belongs to the regions of its first shingles, rare ones
-  first: as many as two sets at distance 0.2 can differ by, plus one. Linked
-  documents share one of them, and a rare shingle's region holds a few
-  documents at most.
+  first: as many as two sets at distance 0.2 can differ by, plus some. Linked
+  documents share as many as were added, and a rare shingle's region holds a
+  few documents at most.
 * Documents. Where common shingles are left among a document's first ones, it
   stands in a dense part of the space. Dense documents are dealt to the
   Voronoi regions of document pivots; the triangle inequality tells which
@@ -36,11 +36,13 @@ from labwatch.llm.shingles import shingle_sets
 #: Link two documents when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Documents that a rare shingle's region may hold, common shingles that are told apart (the most common ones).
-RARE, COMMON = 32, 1_000_000
-#: Least hashes of a document, pivots of a split, documents of a region that is joined at once, splits in a row.
-HASHES, PIVOTS, LEAF, LEVELS = 3, 16, 1_024, 4
-BATCH_BYTES, HELD_TOKENS, GROUP_BYTES = 4 << 20, 4_000_000, 8 << 20
-POSTING = np.dtype([("key", "<u4"), ("n", "<u2"), ("cls", "<u8")])
+RARE, COMMON = 16, 1_000_000
+#: A document looks at one more of its first shingles for every so many it has, and has to share as many more.
+MORE = 10
+#: Least hashes of a document, how many a document pivot shares, pivots of a split, documents of a region that is joined at once, splits in a row.
+HASHES, AGREE, PIVOTS, LEAF, LEVELS = 4, 3, 16, 1_024, 4
+BATCH_BYTES, HELD_TOKENS, GROUP_BYTES = 4 << 20, 3_000_000, 8 << 20
+OWNER = np.dtype([("cls", "<u8"), ("n", "<u2"), ("least", "<u2")])
 
 
 def as_long(x: np.ndarray) -> pa.Array:
@@ -75,6 +77,16 @@ def described(docs: DataFrame, text: str) -> DataFrame:
     return batches_of(docs, text, run, "doc_id long, n long, cls long, least array<long>")
 
 
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted 32-bit keys as differences, byte by byte, so that the shuffle's compression finds the small ones."""
+    return np.diff(keys.astype(np.uint32), prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+
+
 def bits_for(total: int, size: int) -> int:
     """Bits that number so many groups that each gets about ``GROUP_BYTES``."""
     return max(4, int(np.ceil(np.log2(max(1, total * size / GROUP_BYTES)))))
@@ -98,7 +110,7 @@ def common_shingles(docs: DataFrame, text: str, total: int) -> tuple[int, np.nda
             for group in np.split(np.arange(len(codes)), np.flatnonzero(np.diff((codes >> U64(32)).astype(np.int64))) + 1):
                 own, n = codes[group].astype(np.uint32), counts[group].astype(np.uint32)
                 once = n == 1
-                yield int(codes[group[0]] >> U64(32)), own[once].tobytes(), np.column_stack([own[~once], n[~once]]).tobytes()
+                yield int(codes[group[0]] >> U64(32)), packed(own[once]), np.column_stack([own[~once], n[~once]]).tobytes()
 
         def out():
             rows = list(flush())
@@ -119,7 +131,7 @@ def common_shingles(docs: DataFrame, text: str, total: int) -> tuple[int, np.nda
         for batch in group:
             if batch.num_rows:
                 part = batch.column(0)[0].as_py()
-                once += [np.frombuffer(x.as_buffer(), np.uint32) for x in batch.column(1)]
+                once += [unpacked(x.as_buffer()) for x in batch.column(1)]
                 more += [np.frombuffer(x.as_buffer(), np.uint32).reshape(-1, 2) for x in batch.column(2)]
         key = np.concatenate(once + [m[:, 0] for m in more])
         n = np.concatenate([np.ones(sum(map(len, once)), np.int64)] + [m[:, 1].astype(np.int64) for m in more])
@@ -137,8 +149,13 @@ def common_shingles(docs: DataFrame, text: str, total: int) -> tuple[int, np.nda
     return 32 - bits, top["code"].to_numpy(np.int64).astype(U64), top["n"].to_numpy(np.int64)
 
 
-def first_shingles(tokens: np.ndarray, offsets: np.ndarray, shift: int, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(token, row, is_common)`` of the shingles by which each row must meet its links: rare ones first, then the less common."""
+def first_shingles(tokens: np.ndarray, offsets: np.ndarray, shift: int, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(token, row, is_common, least)``: the shingles by which each row must meet its links, rare ones first, then the less common.
+
+    ``least`` says for each row how many rare ones of them a link shares at
+    least: two sets that share ``s`` elements share ``k`` of their first
+    ``size - s + k``, and no more of these than the common ones can be common.
+    """
     n = np.diff(offsets)
     row = np.repeat(np.arange(len(n)), n)
     weight = np.zeros(len(tokens), np.int64)
@@ -147,64 +164,78 @@ def first_shingles(tokens: np.ndarray, offsets: np.ndarray, shift: int, codes: n
         weight = np.where(codes[at] == tokens >> U64(shift), counts[at], 0)
     order = np.lexsort((tokens, weight, row)) if weight.any() else np.arange(len(tokens))  # sorted by row and token already
     place = np.arange(len(tokens)) - np.repeat(offsets[:-1], n)
-    first = n - -(-PERCENT * n // 100) + 1
-    chosen = order[place < first[row]]
-    return tokens[chosen], row[chosen], weight[chosen] > 0
+    more = 1 + n // MORE
+    chosen = order[place < (n - -(-PERCENT * n // 100) + more)[row]]
+    is_common = weight[chosen] > 0
+    least = more - np.bincount(row[chosen][is_common], minlength=len(n))
+    return tokens[chosen], row[chosen], is_common, np.clip(least, 1, 65535)
 
 
 def met(docs: DataFrame, text: str, total: int, common: tuple[int, np.ndarray, np.ndarray]) -> DataFrame:
-    """``a, b, stage``: pairs of classes in one rare shingle's region (stage 1: with its first class); ``b`` null: a dense class."""
-    bits = bits_for(total * (105 - PERCENT) // 100, POSTING.itemsize)
+    """``a, b, shared``: pairs of classes that share enough of their rare first shingles; ``b`` null: a dense class."""
+    bits = bits_for(total * (105 - PERCENT + 100 // MORE) // 100, 10)
     parts = U64((1 << bits) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
             tokens, offsets = shingle_sets(batch.column(1))
             cls, n = classes_of(tokens, offsets), np.diff(offsets)
-            token, row, is_common = first_shingles(tokens, offsets, *common)
+            token, row, is_common, least = first_shingles(tokens, offsets, *common)
             dense = np.unique(cls[row[is_common]])
             token, row = token[~is_common], row[~is_common]
-            part = (token & parts).astype(np.int64)
-            posting = np.zeros(len(token), POSTING)
-            posting["key"], posting["n"], posting["cls"] = token >> U64(32), np.minimum(n[row], 65535), cls[row]
-            order = np.argsort(part, kind="stable")
-            part, posting = part[order], posting[order]
-            cuts = np.flatnonzero(np.diff(part)) + 1
-            blobs = [np.unique(p).tobytes() for p in np.split(posting, cuts)] if len(part) else []
-            own = part[np.r_[0, cuts]] if len(part) else part
-            yield pa.record_batch(
-                {"part": pa.array(np.concatenate([own, -1 - (dense % U64(64)).astype(np.int64)]), pa.int64()), "blob": pa.array(blobs + [None] * len(dense), pa.binary()), "cls": pa.array([None] * len(own) + as_long(dense).to_pylist(), pa.int64())}
-            )
+            _, one = np.unique(cls, return_index=True)  # equal sets of a batch speak once
+            own = np.zeros(len(cls), bool)
+            own[one] = True
+            token, row = token[own[row]], row[own[row]]
+            part, key = (token & parts).astype(np.int64), (token >> U64(32)).astype(np.uint32)
+            order = np.lexsort((key, part))
+            part, key, row = part[order], key[order], row[order]
+            out = []
+            for group in np.split(np.arange(len(part)), np.flatnonzero(np.diff(part)) + 1) if len(part) else ():
+                used, index = np.unique(row[group], return_inverse=True)
+                owners = np.zeros(len(used), OWNER)
+                owners["cls"], owners["n"], owners["least"] = cls[used], np.minimum(n[used], 65535), least[used]
+                out.append((int(part[group[0]]), packed(key[group]), index.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), owners.tobytes(), None))
+            out += [(-1 - int(c % U64(64)), None, None, None, int(c.astype(U64).view(np.int64))) for c in dense]
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()))] if out else [pa.array([], kind) for kind in (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64())], ["part", "keys", "owner", "owners", "cls"])
 
     def pairs(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs, dense = [], []
+        keys, index, owners, dense, seen = [], [], [], [], 0
         for batch in group:
-            blobs += [np.frombuffer(x.as_buffer(), POSTING) for x in batch.column(1) if x.is_valid]
-            dense.append(batch.column(2).drop_null().to_numpy())
+            for k, i, o in zip(batch.column(1), batch.column(2), batch.column(3), strict=True):
+                if k.is_valid:
+                    keys.append(unpacked(k.as_buffer()))
+                    index.append(np.ascontiguousarray(np.frombuffer(i.as_buffer(), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64) + seen)
+                    owners.append(np.frombuffer(o.as_buffer(), OWNER))
+                    seen += len(owners[-1])
+            dense.append(batch.column(4).drop_null().to_numpy())
         dense = np.unique(np.concatenate(dense))
-        out = [np.column_stack([dense, dense, np.zeros(len(dense), np.int64)])]
-        if blobs:
-            p = np.concatenate(blobs)
-            p = p[np.lexsort((p["cls"], p["key"]))]
-            p = p[np.r_[True, (p["key"][1:] != p["key"][:-1]) | (p["cls"][1:] != p["cls"][:-1])]]
-            start = np.maximum.accumulate(np.where(np.r_[True, p["key"][1:] != p["key"][:-1]], np.arange(len(p)), 0))
-            n = p["n"].astype(np.int64)
-            for gap in range(1, len(p)):
-                i = np.flatnonzero(start[gap:] <= np.arange(len(p) - gap))
+        out = [np.column_stack([dense, dense, np.zeros((len(dense), 2), np.int64)])]
+        if keys:
+            owner, first, same = np.unique(np.concatenate(owners), return_index=True, return_inverse=True)
+            who, key = same[np.concatenate(index)], np.concatenate(keys)
+            order = np.lexsort((who, key))
+            who, key = who[order], key[order]
+            new = np.r_[True, (key[1:] != key[:-1]) | (who[1:] != who[:-1])]
+            who, key = who[new], key[new]
+            start = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], np.arange(len(key)), 0))
+            n, cls, least = owner["n"].astype(np.int64)[who], owner["cls"].view(np.int64)[who] if owner["cls"].flags.c_contiguous else np.ascontiguousarray(owner["cls"]).view(np.int64)[who], owner["least"].astype(np.int64)[who]
+            for gap in range(1, len(key)):
+                i = np.flatnonzero(start[gap:] <= np.arange(len(key) - gap))
                 if not len(i):
                     break
                 low, high = np.minimum(n[i], n[i + gap]), np.maximum(n[i], n[i + gap])
-                i = i[(100 * low >= PERCENT * high) | (high == 65535)]
-                out.append(np.column_stack([p["cls"][i].view(np.int64) if len(i) else np.zeros(0, np.int64), p["cls"][i + gap].view(np.int64) if len(i) else np.zeros(0, np.int64), np.where(start[i] == i, 1, 2)]))
-        a, b, stage = np.concatenate(out).T
-        order = np.lexsort((stage, b, a))
-        a, b, stage = a[order], b[order], stage[order]
-        new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
-        a, b, stage = a[new], b[new], stage[new]
-        yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64(), mask=stage == 0), "stage": pa.array(stage, pa.int32())})
+                i = i[((100 * low >= PERCENT * high) | (high == 65535)) & (cls[i] != cls[i + gap])]
+                out.append(np.column_stack([np.minimum(cls[i], cls[i + gap]), np.maximum(cls[i], cls[i + gap]), np.ones(len(i), np.int64), np.minimum(least[i], least[i + gap])]))
+        a, b, shared_, least = np.concatenate(out).T
+        order = np.lexsort((b, a))
+        a, b, shared_, least = a[order], b[order], shared_[order], least[order]
+        head = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, np.int64)
+        total_ = np.add.reduceat(shared_, head) if len(head) else shared_
+        yield pa.record_batch({"a": pa.array(a[head], pa.int64()), "b": pa.array(b[head], pa.int64(), mask=total_ == 0), "shared": pa.array(total_, pa.int64()), "least": pa.array(least[head], pa.int64())})
 
-    found = batches_of(docs, text, run, "part long, blob binary, cls long").groupBy("part").applyInArrow(pairs, "a long, b long, stage int")
-    return found.groupBy("a", "b").agg(F.min("stage").alias("stage"))
+    found = batches_of(docs, text, run, "part long, keys binary, owner binary, owners binary, cls long").groupBy("part").applyInArrow(pairs, "a long, b long, shared long, least long")
+    return found.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("least").alias("least")).filter("b is null or shared >= least").drop("least")
 
 
 def fetched(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
@@ -219,10 +250,10 @@ def fetched(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
             maybe = (field[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(0)
             for piece in pieces([batch.filter(pa.array(maybe))], BATCH_BYTES):
                 tokens, offsets = shingle_sets(piece.column(1))
-                yield pa.record_batch({"rep": piece.column(0), "cls": as_long(classes_of(tokens, offsets)), "tokens": pa.array([tokens[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())})
+                yield pa.record_batch({"cls": as_long(classes_of(tokens, offsets)), "tokens": pa.array([tokens[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())})
 
-    read = batches_of(docs, text, run, "rep long, cls long, tokens binary")
-    return kept(read.join(wanted, ["cls", "rep"], "left_semi").select("cls", "tokens").dropDuplicates(["cls"]))
+    # a few sets more than wanted do no harm
+    return kept(batches_of(docs, text, run, "cls long, tokens binary").dropDuplicates(["cls"]))
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -263,7 +294,7 @@ def components(edges: DataFrame) -> DataFrame:
         new = labels.join(near, "cls").select("cls", "comp", F.least("comp", "m").alias("low"))
         up = labels.select(F.col("cls").alias("low"), F.col("comp").alias("up"))
         new = kept(new.join(up, "low", "left").select("cls", F.least("low", "up").alias("comp"), F.col("comp").alias("was")))
-        if not new.filter("comp != was").limit(1).count():
+        if new.filter("comp != was").isEmpty():
             return new.select("cls", "comp")
         labels = new.select("cls", "comp")
 
@@ -383,23 +414,23 @@ def ngram_join(docs: DataFrame, text: str = "text") -> DataFrame:
     # document pivots: the class with the least digest among those that share a least hash; the one shared most often
     hashes = classes.select("cls", F.posexplode("least").alias("k", "value"))
     first = hashes.groupBy("k", "value").agg(F.min("cls").alias("a"), F.count("*").alias("size")).filter("size > 1")
-    meet = hashes.join(first, ["k", "value"]).filter("a != cls").groupBy(F.col("cls").alias("b"), "a").agg(F.count("*").alias("times"))
+    meet = hashes.join(first, ["k", "value"]).filter("a != cls").groupBy(F.col("cls").alias("b"), "a").agg(F.count("*").alias("times")).filter(F.col("times") >= AGREE)
     stars = meet.groupBy("b").agg(F.max(F.struct("times", F.col("a").alias("a"))).alias("best")).select("best.a", "b")
     stars = kept(stars)
 
     pairs = kept(met(docs, text, total, common_shingles(docs, text, total)))
-    dense, pairs = pairs.filter("stage = 0").select(F.col("a").alias("cls")), pairs.filter("stage > 0")
+    dense, pairs = pairs.filter("b is null").select(F.col("a").alias("cls")), pairs.filter("b is not null")
+    # first of all each class with the one it shares most with
+    best = pairs.groupBy("b").agg(F.max(F.struct("shared", F.col("a").alias("a"))).alias("best")).select("best.a", "b")
     ends = [stars.select(F.col("a").alias("cls")), stars.select(F.col("b").alias("cls")), pairs.select(F.col("a").alias("cls")), pairs.select(F.col("b").alias("cls")), dense]
     wanted = ends[0]
     for more in ends[1:]:
         wanted = wanted.unionAll(more)
     sets = fetched(docs, text, kept(classes.select("cls", "rep").join(wanted.distinct(), "cls", "left_semi")))
 
-    edges = kept(linked(stars, sets))
-    for stage in (1, 2):
-        edges = kept(edges.unionAll(linked(apart(pairs.filter(F.col("stage") == stage), components(edges)), sets)))
+    edges = kept(linked(stars.unionAll(best).distinct(), sets))
     comps = components(edges)
-    edges = edges.unionAll(dense_links(dense, sets, comps))
+    edges = edges.unionAll(linked(apart(pairs, comps), sets)).unionAll(dense_links(dense, sets, comps))
     comps = components(edges)
 
     named = classes.join(comps, "cls", "left").select("cls", "rep", F.coalesce("comp", "cls").alias("comp"))
