@@ -36,7 +36,7 @@ from labwatch.llm.shingles import INVERSE
 
 #: Bytes of a passage, of an anchor, of text a task looks at, of context in a shard's part.
 SPAN, ANCHOR = 50, 16
-BATCH_BYTES, PART_BYTES, GROUP_BYTES = 4 << 20, 4 << 20, 8 << 20
+BATCH_BYTES, PART_BYTES, GROUP_BYTES = 1 << 20, 4 << 20, 8 << 20
 LANE = 256
 LAST = (1 << 63) - 1
 
