@@ -78,7 +78,7 @@ def ingest_sheets(spark, sf_dir):
     """Three sheets, the last without one column and with its dates as timestamps."""
     raw = tb.raw(spark, sf_dir, "EINSTEIN").drop("file_name")
     paths = []
-    for i, name in enumerate(lv.EINSTEIN_SHEETS):
+    for i, name in enumerate(("sheet_a", "sheet_b", "sheet_c")):
         sheet = raw.where(col("accession").cast("bigint") % 3 == i)
         if i == 2:
             d = col("dh_coleta")
@@ -151,9 +151,9 @@ def publish_release(spark, sf_dir):
 
     root, public = scratch(spark, "reports"), scratch(spark, "public")
     src = frames.source(spark, sf_dir, with_register=False)
-    release = files.release_name(datetime.datetime(2026, 2, 17, 14, 5))
+    release = files.release_name(datetime.datetime(2026, 2, 17, 14, 5), "weekly")
     files.publish({_BARS: matrices.build_matrix(_BARS, src)}, root, public, release, {_BARS: matrices.file_name(_BARS)}, _orders())
-    return spark.read.csv(f"{public}/current/matrices/csv/{matrices.file_name(_BARS)}.csv", header=True, inferSchema=False)
+    return files.read_written(spark, f"{public}/current/matrices/csv/{matrices.file_name(_BARS)}.csv")
 
 
 _LAB_COLUMNS = ["sample_id", "test_id", "test_kit", "sex", "age", "location", "state", "date_testing", *vocab.RESULT_COLUMNS, "qty_original_lines"]

@@ -18,7 +18,12 @@ def _accent_pairs() -> tuple[str, str]:
         if base.isascii() and base.isalpha():
             accented.append(chr(code))
             plain.append(base)
-    return "".join(accented), "".join(plain)
+    # fixed values: letters with a stroke and ordinal signs, which do not decompose
+    return "".join(accented) + "ØøŁłĐđĦħŦŧıªº", "".join(plain) + "OoLlDdHhTtiao"
+
+
+#: Letters that become two.
+_PAIRS = {"Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "ß": "ss", "Þ": "TH", "þ": "th"}
 
 
 _ACCENTED, _PLAIN = _accent_pairs()
@@ -26,7 +31,9 @@ _ACCENTED, _PLAIN = _accent_pairs()
 
 def unaccent(c: Column) -> Column:
     """Text of single-byte characters has no accents and skips the per-character lookup."""
-    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(F.translate(c, _ACCENTED, _PLAIN))
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(
+        reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), _PAIRS.items(), F.translate(c, _ACCENTED, _PLAIN))
+    )
 
 
 def normalize_text(c: Column) -> Column:

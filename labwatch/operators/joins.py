@@ -111,6 +111,11 @@ def fix_places(
     others = [c for c in df.columns if c not in ("location", "state")]
     clean = df.select(*others, normalize_text(F.col("location")).alias("location"), normalize_text(F.col("state")).alias("state"))
     if isinstance(fix_state, DataFrame) or isinstance(fix_location, DataFrame):
+        if not isinstance(fix_state, DataFrame):
+            fix_state = df.sparkSession.createDataFrame(list(fix_state.items()), "source_state string, target_state string")
+        if not isinstance(fix_location, DataFrame):
+            rows = [(location, state, target) for (location, state), target in fix_location.items()]
+            fix_location = df.sparkSession.createDataFrame(rows, "source_location string, source_state string, target_location string")
         return _fix_places_by_join(clean, others, fix_state, fix_location)
     location, state = F.col("location"), F.col("state")
     state_fix = lookup(state, {k.upper(): v for k, v in fix_state.items()})

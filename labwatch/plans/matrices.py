@@ -442,7 +442,7 @@ def regions_beside_register(pathogen: str, kit_names: Sequence[str], by_state: b
 
         totals = [total("region", r) for r in REGIONS]
         if by_state:
-            names = states if states is not None else distinct_values(src.register.where(start), "state", limit=100)
+            names = states if states is not None else distinct_values(src.register.where(start), "state")
             totals += [total("state", s) for s in names]
         return one_row_per_week(lab_side, severe.groupBy(WEEK).agg(*totals), week)
 

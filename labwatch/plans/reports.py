@@ -75,7 +75,7 @@ def indicators(volume: DataFrame, counts: DataFrame, main: DataFrame, others: Da
     )
     rates = _measures(others, week).where(F.col("value") > 0)
     listed = rates.agg(F.array_join(_list_text(_ranked(F.col("value"))), ", ").alias("others_top_positivities"))
-    panel = shares(wide).withColumn("rest", F.filter(F.slice("r", 2, 100), lambda e: half_up(e["value"]) > 0))
+    panel = shares(wide).withColumn("rest", F.filter(F.slice("r", 2, F.greatest(F.size("r") - 1, F.lit(0))), lambda e: half_up(e["value"]) > 0))
     rest = _list_text(F.col("rest"))
     joined = F.when(F.size("rest") > 1, F.concat(F.array_join(F.slice(rest, 1, F.size("rest") - 1), ", "), F.lit(" e "), F.element_at(rest, -1))).otherwise(
         F.array_join(rest, ", ")

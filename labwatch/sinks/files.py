@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 from labwatch.operators.windows import sort_like_postgres
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", one_file: bool = False, encoding: str = "UTF-8") -> None:
-    """Header and rows. ``one_file`` is for published tables, whose size the calendar bounds."""
-    out = df.coalesce(1) if one_file else df
+def write_delimited(df: DataFrame, path: str, sep: str = ",", one_file: bool = False, encoding: str = "UTF-8", ordered: bool = False) -> None:
+    """Header and rows. ``one_file`` is for published tables, whose size the calendar bounds.
+
+    ``ordered`` keeps the order of the rows; without it the table is computed
+    in parallel before its rows meet in one file.
+    """
+    out = df.repartition(1) if one_file and not ordered else df.coalesce(1) if one_file else df
     writer = out.write.mode("overwrite").options(sep=sep, header=True, emptyValue="", escape='"', encoding=encoding)
     writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
@@ -37,7 +41,7 @@ def export_catalogue(
         order = (orders or {}).get(name)
         out = sort_like_postgres(df, *order) if order else df
         path = f"{folder}/{(file_names or {}).get(name, name)}.csv"
-        write_delimited(as_text(out), path, one_file=True)
+        write_delimited(as_text(out), path, one_file=True, ordered=bool(order))
         written.append(path)
     return written
 
@@ -51,15 +55,20 @@ def epi_week_text(day: datetime) -> str:
     return f"SE{(start.date() - first.date()).days // 7 + 1:02d}.{year}"
 
 
-def release_name(now: datetime, previous: Sequence[str] = ()) -> str:
-    """Name of the release of the last closed week; its version follows the newest release of that week."""
+def release_name(now: datetime, topic: str, previous: Sequence[str] = ()) -> str:
+    """Time, topic, last closed week and version; the version follows the highest one of that week."""
     week = epi_week_text(now - timedelta(days=6))
-    version = 1
-    past = sorted(p for p in previous if p and "current" not in p)
-    if past and week in past[-1]:
-        found = re.search(r"V(\d+)", past[-1], re.IGNORECASE)
-        version = int(found.group(1)) + 1 if found else 1
-    return f"{now:%Y-%m-%d_%Hh%M}_Respat_{week}_V{version}"
+    of_week = re.compile(rf"_{re.escape(week)}_V(\d+)$", re.IGNORECASE)
+    versions = [int(m[1]) for m in map(of_week.search, filter(None, previous)) if m]
+    return f"{now:%Y-%m-%d_%Hh%M}_{topic}_{week}_V{max(versions, default=0) + 1}"
+
+
+def read_written(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+    """Text columns of a table that ``write_delimited`` wrote, quotes, backslashes, line ends and outer blanks included.
+
+    A file holds nothing for empty text as for NULL; both are read as NULL.
+    """
+    return spark.read.csv(path, sep=sep, encoding=encoding, header=True, inferSchema=False, quote='"', escape='"', multiLine=True, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def public_names(names: Sequence[str]) -> list[str]:
@@ -80,9 +89,9 @@ def publish(
     public = set(public_names([file_names[n] for n in tables]))
     for name, df in tables.items():
         file = file_names[name]
-        copy = df.sparkSession.read.csv(f"{root}/{release}/matrices/csv/{file}.csv", header=True, inferSchema=False)
+        copy = read_written(df.sparkSession, f"{root}/{release}/matrices/csv/{file}.csv")
         targets = [f"{root}/current/matrices/csv"]
         if file in public:
             targets += [f"{public_root}/{week}/matrices/csv", f"{public_root}/current/matrices/csv"]
         for target in targets:
-            write_delimited(copy, f"{target}/{file}.csv", one_file=True)
+            write_delimited(copy, f"{target}/{file}.csv", one_file=True, ordered=True)

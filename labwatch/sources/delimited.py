@@ -6,11 +6,14 @@ is read in parallel; selecting columns prunes the parser's work.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # laboratory -> separator and encoding of its deliveries
 FORMATS = {
@@ -27,16 +30,46 @@ FORMATS = {
 }
 
 
+_FILE, _EXTRA = "file name of the row", "fields beyond the header"
+
+
+def _literal(file: str) -> str:
+    """A path from ``inputFiles``, without the escapes of a URI and safe from globbing."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file))
+
+
+def _layout(spark: SparkSession, files: Sequence[str], names: Sequence[str], options: Mapping[str, object], file_name: bool) -> DataFrame:
+    """Files that share a header. One more column than it has takes what a row has beyond it."""
+    schema = StructType([StructField(c, StringType()) for c in (*names, _EXTRA)])
+    df = spark.read.options(**options).schema(schema).csv(list(files))
+    # the name comes as part of a URI, where a plus stands for itself
+    name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+    return df.withColumn(_FILE, name if file_name else F.lit(None).cast("string"))
+
+
 def read_delimited(
     spark: SparkSession, path: str | Sequence[str], sep: str = ",", encoding: str = "UTF-8",
-    columns: Sequence[str] | None = None, file_name: bool = True,
+    columns: Sequence[str] | None = None, file_name: bool = True, multi_line: bool = False,
 ) -> DataFrame:
-    """Text columns named by the header, the chosen ones only when given, and the name of the file."""
-    df = spark.read.csv(
-        path if isinstance(path, str) else list(path), sep=sep, encoding=encoding, header=True, inferSchema=False, quote='"', escape='"'
-    )
-    wanted = [F.col(f"`{c}`") for c in (columns or df.columns)]
-    return df.select(*wanted, *([F.col("_metadata.file_name").alias("file_name")] if file_name else []))
+    """Text columns named by the header, the chosen ones only when given, and the name of the file.
+
+    Files with different headers are read layout by layout and stacked by
+    column name; absent columns are NULL. A row with more fields than its
+    header, which is one line, fails the read. ``multi_line`` keeps quoted line
+    ends; such files are not split.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    options = {"sep": sep, "encoding": encoding, "header": True, "inferSchema": False, "quote": '"', "escape": '"', "multiLine": multi_line}
+    headers = spark.read.options(**{**options, "multiLine": False})
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file in spark.read.text(paths).inputFiles():
+        layouts.setdefault(tuple(headers.csv(_literal(file)).columns), []).append(_literal(file))
+    if not layouts:
+        layouts = {tuple(headers.csv(paths).columns): paths}
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [_layout(spark, files, names, options, file_name) for names, files in layouts.items()])
+    wanted = [F.col(f"`{c}`") for c in (columns or [c for c in df.columns if c not in (_FILE, _EXTRA)])]
+    checked = F.when(F.col(_EXTRA).isNotNull(), F.raise_error(F.concat(F.lit("more fields than the header has: "), F.col(_EXTRA)))).otherwise(F.lit(True))
+    return df.where(checked).select(*wanted, *([F.col(_FILE).alias("file_name")] if file_name else []))
 
 
 def read_lab(spark: SparkSession, lab_id: str, path: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:

@@ -36,10 +36,14 @@ def ingest(
     spark: SparkSession, folder: str, checkpoint: str, handle: Callable[[list[str], int], None], pattern: str = "*.csv",
     per_batch: int = 1, archive: str | None = None,
 ) -> StreamingQuery:
-    """Take all files present, ``per_batch`` at a time, then stop. ``handle`` gets at most that many paths."""
+    """Take all files present, ``per_batch`` at a time, then stop.
+
+    The source bounds a batch. A batch that was planned with another
+    ``per_batch`` and is replayed keeps all its files.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        paths = sorted(r.path for r in batch.select("path").limit(per_batch).collect())
+        paths = sorted(r.path for r in batch.select("path").collect())
         if paths:
             handle(paths, batch_id)
 

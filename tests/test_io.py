@@ -49,9 +49,9 @@ def test_date_orders(spark):
 
 def test_release_names():
     day = datetime(2026, 2, 17, 14, 5)
-    assert files.release_name(day) == "2026-02-17_14h05_Respat_SE06.2026_V1"
-    assert files.release_name(day, ["2026-02-16_10h00_Respat_SE06.2026_V3", "current"]).endswith("SE06.2026_V4")
-    assert files.release_name(day, ["2026-02-09_10h00_Respat_SE05.2026_V3"]).endswith("_V1")
+    assert files.release_name(day, "weekly") == "2026-02-17_14h05_weekly_SE06.2026_V1"
+    assert files.release_name(day, "weekly", ["2026-02-16_10h00_weekly_SE06.2026_V12", "2026-02-16_11h00_weekly_SE06.2026_V3", "current"]).endswith("SE06.2026_V13")
+    assert files.release_name(day, "weekly", ["2026-02-09_10h00_weekly_SE05.2026_V3"]).endswith("_V1")
     assert files.public_names(["01_a", "matrix_b", "101_c"]) == ["01_a", "101_c"]
 
 
@@ -125,3 +125,37 @@ def test_einstein_table_keeps_decisive_results(spark):
 
 def test_staged_table(spark, tmp_path):
     assert tables.as_table(frame(spark, "a int", (1,)), str(tmp_path / "x")).count() == 1
+
+
+def test_layouts_meet_by_column_name(spark, tmp_path):
+    for name, text in (("x.csv", "a,b\n1,x\n"), ("y [1].csv", "b,a\ny,2\n"), ("z.csv", 'a,b,c\n3,"two\nlines",extra\n')):
+        (tmp_path / name).write_text(text)
+    rows = delimited.read_delimited(spark, str(tmp_path), multi_line=True)
+    assert tuples(rows, "a", "b", "c", "file_name") == [("1", "x", None, "x.csv"), ("2", "y", None, "y [1].csv"), ("3", "two\nlines", "extra", "z.csv")]
+    (tmp_path / "bad.csv").write_text("a,b\n1,2,3\n")
+    with pytest.raises(Exception, match="more fields than the header has"):
+        delimited.read_delimited(spark, str(tmp_path / "bad.csv")).collect()
+
+
+def test_published_copies_are_equal(spark, tmp_path):
+    rows = [('say "hi", ok', "1"), ("back\\slash", " blanks "), ("line\nend", ""), (None, "x")]
+    df = frame(spark, "a string, b string", *rows)
+    root, public = str(tmp_path / "root"), str(tmp_path / "public")
+    files.publish({"m": df}, root, public, "2026-02-17_14h05_weekly_SE06.2026_V1", {"m": "01_m"})
+    for folder in (f"{root}/2026-02-17_14h05_weekly_SE06.2026_V1", f"{root}/current", f"{public}/SE06.2026", f"{public}/current"):
+        assert tuples(files.read_written(spark, f"{folder}/matrices/csv/01_m.csv")) == tuples(df.replace("", None))
+
+
+def test_a_replayed_batch_keeps_all_its_files(spark, tmp_path):
+    inbox, seen = tmp_path / "in", []
+    inbox.mkdir()
+    for i in range(10):
+        (inbox / f"{i}.csv").write_text("a\n1\n")
+
+    def fail(paths, batch):
+        raise RuntimeError("stop")
+
+    with pytest.raises(Exception):
+        drop_folder.ingest(spark, str(inbox), str(tmp_path / "ck"), fail, per_batch=10).awaitTermination()
+    drop_folder.ingest(spark, str(inbox), str(tmp_path / "ck"), lambda paths, batch: seen.extend(paths), per_batch=1).awaitTermination()
+    assert len(set(seen)) == 10
