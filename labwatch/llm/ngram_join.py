@@ -286,14 +286,17 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``cls, comp``: the least class that each class of the edges reaches (least label of the neighbours, then the label's label)."""
+    """``cls, comp``: the least class that each class of the edges reaches (least label of the neighbours, then the label's label).
+
+    The joins merge sorted sides, so that no round leaves a table with the driver.
+    """
     both = kept(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = kept(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("cls"), F.least("a", "m").alias("comp")))
     while True:
-        near = both.join(labels, both["b"] == labels["cls"]).groupBy("a").agg(F.min("comp").alias("m")).withColumnRenamed("a", "cls")
-        new = labels.join(near, "cls").select("cls", "comp", F.least("comp", "m").alias("low"))
+        near = both.join(labels.hint("merge"), both["b"] == labels["cls"]).groupBy("a").agg(F.min("comp").alias("m")).withColumnRenamed("a", "cls")
+        new = labels.join(near.hint("merge"), "cls").select("cls", "comp", F.least("comp", "m").alias("low"))
         up = labels.select(F.col("cls").alias("low"), F.col("comp").alias("up"))
-        new = kept(new.join(up, "low", "left").select("cls", F.least("low", "up").alias("comp"), F.col("comp").alias("was")))
+        new = kept(new.join(up.hint("merge"), "low", "left").select("cls", F.least("low", "up").alias("comp"), F.col("comp").alias("was")))
         if new.filter("comp != was").isEmpty():
             return new.select("cls", "comp")
         labels = new.select("cls", "comp")
@@ -302,7 +305,7 @@ def components(edges: DataFrame) -> DataFrame:
 def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """The pairs whose classes are not in one component yet."""
     side = lambda c: comps.select(F.col("cls").alias(c), F.col("comp").alias(f"{c}_comp"))
-    known = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    known = pairs.join(side("a").hint("merge"), "a", "left").join(side("b").hint("merge"), "b", "left")
     return known.filter(F.coalesce("a_comp", "a") != F.coalesce("b_comp", "b")).select("a", "b")
 
 
