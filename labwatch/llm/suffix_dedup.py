@@ -75,7 +75,7 @@ def suffix_array(raw: np.ndarray) -> np.ndarray:
             return order
         at = order[open_]
         further = at + done
-        second = np.where(further < n, rank[np.minimum(further, n - 1)], -1)
+        second = np.where(further < n, rank[np.minimum(further, n - 1)], -1 - at)  # past the end the shorter suffix is the lesser
         first = rank[at]
         resort = np.lexsort((second, first))
         at, first, second = at[resort], first[resort], second[resort]
