@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,7 +71,13 @@ def sessions_checkpoint(spark: SparkSession) -> str:
 
 
 def kept(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage through files in the shared folder; they outlive a lost executor."""
+    """Cut lineage through files in the shared folder; they outlive a lost executor.
+
+    Executors let go of the shuffle files of earlier steps only once the
+    driver has collected the plans that made them, so it does that first.
+    """
     spark = df.sparkSession
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     spark.sparkContext.setCheckpointDir(sessions_checkpoint(spark))
     return df.checkpoint(eager=eager)
