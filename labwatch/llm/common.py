@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -81,3 +82,14 @@ def kept(df: DataFrame, eager: bool = True) -> DataFrame:
     spark.sparkContext._jvm.System.gc()
     spark.sparkContext.setCheckpointDir(sessions_checkpoint(spark))
     return df.checkpoint(eager=eager)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same cut by a table in the shared folder.
+
+    For loops: a checkpointed frame carries the constraints of the plan that
+    made it, and those of the next round are derived from all of them.
+    """
+    path = f"{sessions_checkpoint(df.sparkSession).rstrip('/')}/round-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

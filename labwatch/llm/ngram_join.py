@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from labwatch.llm.bloom import bloom, bloom_places
-from labwatch.llm.common import U64, kept, mix, pieces, table
+from labwatch.llm.common import U64, kept, mix, pieces, table, written
 from labwatch.llm.shingles import shingle_sets
 
 #: Link two documents when 100 * intersection >= PERCENT * union.
@@ -291,12 +291,12 @@ def components(edges: DataFrame) -> DataFrame:
     The joins merge sorted sides, so that no round leaves a table with the driver.
     """
     both = kept(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = kept(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("cls"), F.least("a", "m").alias("comp")))
+    labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("cls"), F.least("a", "m").alias("comp")))
     while True:
         near = both.join(labels.hint("merge"), both["b"] == labels["cls"]).groupBy("a").agg(F.min("comp").alias("m")).withColumnRenamed("a", "cls")
         new = labels.join(near.hint("merge"), "cls").select("cls", "comp", F.least("comp", "m").alias("low"))
         up = labels.select(F.col("cls").alias("low"), F.col("comp").alias("up"))
-        new = kept(new.join(up.hint("merge"), "low", "left").select("cls", F.least("low", "up").alias("comp"), F.col("comp").alias("was")))
+        new = written(new.join(up.hint("merge"), "low", "left").select("cls", F.least("low", "up").alias("comp"), F.col("comp").alias("was")))
         if new.filter("comp != was").isEmpty():
             return new.select("cls", "comp")
         labels = new.select("cls", "comp")
