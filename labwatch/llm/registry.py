@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from labwatch.llm import line_dedup, mixing, multi_index, ngram_join, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup, token_counts, toxicity
+from labwatch.llm import fill_middle, line_dedup, mixing, multi_index, ngram_join, pii, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup, token_counts, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
@@ -19,8 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": sentencepiece_codec.op9_sentencepiece,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op10_ngram_join": ngram_join.op10_ngram_join,
+    "op11_pii": pii.op11_pii,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_fill_middle": fill_middle.op13_fill_middle,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_pii": pii.sql(), "op13_fill_middle": fill_middle.SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
