@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from conformance import frames, oracle_base as ob, oracle_labs, oracle_matrices
 from conformance import testbed as tb
 from conformance.queries_labs import now
-from conformance.queries_operators import C, SAMPLES, T, col, query
+from conformance.queries_operators import _HALVES, C, SAMPLES, T, col, halves, query
 from labwatch import labs_vocab as lv
 from labwatch import vocab
+from labwatch.operators import upsert
 from labwatch.plans import matrices, register
 from labwatch.session import checkpoint_dir
-from labwatch.sinks import files, snapshots
+from labwatch.sinks import buckets, files, tables
 from labwatch.sources import header_repair
 from labwatch.sources.delimited import FORMATS, read_delimited, read_lab, read_sheets
 from labwatch.streaming import drop_folder, weekly
@@ -161,11 +162,57 @@ _LAB_COLUMNS = ["sample_id", "test_id", "test_kit", "sex", "age", "location", "s
 
 @query("stream_drop_folder", f"WITH q AS ({oracle_labs.lab_sql('HPARDINI').replace(chr(34) + 'file_name' + chr(34) + ' NULLS FIRST, ', '')}) SELECT {', '.join(_LAB_COLUMNS)}, {ob.NOW_LOCAL} AS created_at FROM q")
 def stream_drop_folder(spark, sf_dir):
-    """Dropped files merged one by one into a snapshot table, twice over to show that nothing is doubled."""
+    """Dropped files merged in two batches into a table in buckets, twice over to show that nothing is doubled."""
     folder, table = delivered(spark, sf_dir, "HPARDINI"), scratch(spark, "table")
     for run in ("first", "again"):
-        drop_folder.ingest_lab(spark, "HPARDINI", folder, table, scratch(spark, run), now).awaitTermination()
-    return snapshots.current(spark, table).select(*_LAB_COLUMNS, "created_at")
+        drop_folder.ingest_lab(spark, "HPARDINI", folder, table, scratch(spark, run), now, per_batch=2, buckets=8).awaitTermination()
+    return buckets.read(spark, table).select(*_LAB_COLUMNS, "created_at")
+
+
+_BROKEN = "concat('x;', CODIGO, ';a;b;c;d;e;f;g;h;too many')"
+
+
+@query("stream_quarantine", f"WITH q AS ({oracle_labs.lab_sql('HPARDINI').replace(chr(34) + 'file_name' + chr(34) + ' NULLS FIRST, ', '')}), b AS (SELECT DISTINCT 'x;' || CODIGO || ';a;b;c;d;e;f;g;h;too many' AS line FROM ({tb.duck(tb.RAW['HPARDINI']).replace('FROM tests', f'FROM (WITH {tb.DUCK_TESTS} SELECT * FROM tests)')}) r) SELECT 'sample' AS kind, test_id AS what, SC2_test_result AS outcome FROM q UNION ALL SELECT 'broken', line, 'broken.csv' FROM b WHERE line IN (SELECT MAX(line) FROM b)")
+def stream_quarantine(spark, sf_dir):
+    """A delivery with a row of too many fields: its other rows arrive, that one is set apart."""
+    folder, table, aside, done = delivered(spark, sf_dir, "HPARDINI"), scratch(spark, "table"), scratch(spark, "aside"), scratch(spark, "done")
+    raw = tb.raw(spark, sf_dir, "HPARDINI").drop("file_name")
+    worst = raw.agg(F.max(F.expr(_BROKEN)).alias("line"))
+    header = ";".join(raw.columns)
+    text = worst.select(F.encode(F.concat_ws("\n", F.lit(header), "line"), "ISO-8859-1").alias("content"))
+    buckets.Storage(spark, folder).put(f"{folder}/broken.csv", bytes(text.first()["content"]))
+    drop_folder.ingest_lab(spark, "HPARDINI", folder, table, scratch(spark, "first"), now, archive=done, quarantine=aside, buckets=8).awaitTermination()
+    samples = buckets.read(spark, table).select(F.lit("sample").alias("kind"), col("test_id").alias("what"), col("SC2_test_result").alias("outcome"))
+    return samples.unionByName(spark.read.parquet(aside).select(F.lit("broken").alias("kind"), col("broken_line").alias("what"), col("file_name").alias("outcome")))
+
+
+_PARTS = {0: "CODIGO, DATACOLETA, RESULTADO", 1: "RESULTADO, CODIGO, DATACOLETA", 2: "DATACOLETA, RESULTADO, CODIGO, 'x' AS NOVA"}
+
+
+@query("ingest_layouts", f"{_raw_sql('HPARDINI')} SELECT CODIGO, DATACOLETA, RESULTADO, CASE WHEN CAST(CODIGO AS BIGINT) % 3 = 2 THEN 'x' END AS NOVA FROM raw")
+def ingest_layouts(spark, sf_dir):
+    """One folder with files of three column orders, one of them with a column more."""
+    folder, raw = scratch(spark, "layouts"), tb.raw(spark, sf_dir, "HPARDINI")
+    for i, columns in _PARTS.items():
+        part = raw.where(col("CODIGO").cast("bigint") % 3 == i).selectExpr(*columns.split(", "))
+        files.write_delimited(part, f"{folder}/part={i}", ";", encoding="ISO-8859-1")
+    return read_lab(spark, "HPARDINI", f"{folder}/*").select("CODIGO", "DATACOLETA", "RESULTADO", "NOVA")
+
+
+@query("bucketed_merge", f"{_HALVES} SELECT COALESCE(s.sample_id, t.sample_id) AS sample_id, COALESCE(s.file_name, t.file_name) AS file_name, COALESCE(t.created_at, s.created_at) AS created_at FROM tgt t FULL OUTER JOIN src s ON s.sample_id = t.sample_id")
+def bucketed_merge(spark, sf_dir):
+    """A batch merged with a catalog table that is bucketed by the key: the table does not move."""
+    target, source = halves(spark, sf_dir)
+    name = f"kept_{uuid.uuid4().hex}"
+    table = tables.as_bucketed_table(target, name, "sample_id", 16, scratch(spark, name))
+    return upsert.merge(table, tables.as_table(source, scratch(spark, "batch"))).select("sample_id", "file_name", "created_at")
+
+
+@query("view_kits", f"{SAMPLES} SELECT test_kit, COUNT(*) AS samples, CAST(SUM(qty_original_lines) AS BIGINT) AS lines FROM samples GROUP BY ALL")
+def view_kits(spark, sf_dir):
+    name = f"samples_{uuid.uuid4().hex}"
+    tables.as_view(frames.samples(spark, sf_dir), name)
+    return spark.sql(f"SELECT test_kit, COUNT(*) AS samples, SUM(qty_original_lines) AS lines FROM {name} GROUP BY test_kit")
 
 
 _WEEK = "date_trunc('week', ts + INTERVAL 1 DAY) - INTERVAL 1 DAY"

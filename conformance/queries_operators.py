@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,6 +18,8 @@ from labwatch.operators import collapse, filters, joins, reshape, upsert, window
 from labwatch.plans import archive, facts, panel, register, reports
 from labwatch.plans.labs import LABS
 from labwatch.plans.matrices import population
+from labwatch.session import checkpoint_dir
+from labwatch.sinks import buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -602,7 +605,11 @@ def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query("upsert_merge", f"{_HALVES} SELECT COALESCE(s.sample_id, t.sample_id) AS sample_id, CASE WHEN s.sample_id IS NULL THEN t.file_name ELSE s.file_name END AS file_name, CASE WHEN s.sample_id IS NULL THEN t.VSR_test_result ELSE s.VSR_test_result END AS VSR_test_result, COALESCE(t.created_at, s.created_at) AS created_at, CASE WHEN s.sample_id IS NULL THEN t.updated_at ELSE s.updated_at END AS updated_at FROM tgt t FULL OUTER JOIN src s ON t.sample_id = s.sample_id")
 def upsert_merge(spark, sf_dir):
-    return upsert.merge(*halves(spark, sf_dir)).select("sample_id", "file_name", "VSR_test_result", "created_at", "updated_at")
+    """Two batches merged one after the other into a stored table."""
+    path = f"{checkpoint_dir(spark)}/io/upsert-{uuid.uuid4().hex}"
+    for batch in halves(spark, sf_dir):
+        buckets.merge_into(spark, path, batch, upsert.merge, buckets=16)
+    return buckets.read(spark, path).select("sample_id", "file_name", "VSR_test_result", "created_at", "updated_at")
 
 
 _DECISIVE = ", ".join(f"CASE WHEN t.{c} = 'NT' OR t.{c} IS NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in vocab.RESULT_COLUMNS)

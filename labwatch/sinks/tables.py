@@ -1,17 +1,14 @@
-"""Materialisation: a view, a table, or a merge into a snapshot table."""
+"""Materialisation: a view, a plain table, or a catalog table in buckets. Merged tables are in ``buckets``."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
 
-from labwatch.session import checkpoint_dir
-from labwatch.sinks import snapshots
-
-
-def as_view(df: DataFrame, name: str) -> None:
+def as_view(df: DataFrame, name: str) -> DataFrame:
+    """A name for the plan; every read computes it."""
     df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
 
 
 def as_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
@@ -21,13 +18,13 @@ def as_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataF
     return df.sparkSession.read.parquet(path)
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """A batch written to the shared folder: computed once however often the merge reads it,
-    and of a size the planner knows when it chooses between broadcast and sort-merge."""
-    return as_table(df, f"{checkpoint_dir(spark)}/staging/{name}")
-
+def as_bucketed_table(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """A catalog table whose files are bucketed and sorted by the key.
 
-def merge_into(spark: SparkSession, path: str, batch: DataFrame, name: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> str:
-    """Merge a batch into a snapshot table; gives the new snapshot's path."""
-    ready = staged(spark, batch, name)
-    return snapshots.write_next(merge(snapshots.current(spark, path), ready), path)
+    Joins, anti joins and aggregates on the key then read the table where it
+    lies: only the other side moves, and none if it has the same buckets. The
+    rows are brought together by key first, so that a bucket is one file.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)

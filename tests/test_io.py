@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from labwatch import labs_vocab as lv
 from labwatch.plans.labs import LABS, final
-from labwatch.sinks import files, snapshots, tables
+from labwatch.operators import upsert
+from labwatch.sinks import buckets, files, tables
 from labwatch.sources import delimited, header_repair
 from labwatch.streaming import drop_folder, weekly
 
@@ -63,12 +64,85 @@ def test_exports_round_trip(spark, tmp_path):
     assert paths[0].endswith("/01_m.csv") and spark.read.csv(paths[0], header=True).count() == 2
 
 
-def test_snapshots_only_show_complete_ones(spark, tmp_path):
-    path = str(tmp_path / "s")
-    assert snapshots.current(spark, path) is None
-    snapshots.write_next(frame(spark, "a int", (1,)), path)
-    (tmp_path / "s" / "snapshot=000002").mkdir()
-    assert tuples(snapshots.current(spark, path)) == [(1,)]
+KEYED = "sample_id string, v string, created_at string"
+
+
+def keyed(spark, *names, v="x"):
+    return frame(spark, KEYED, *[(n, v, v) for n in names])
+
+
+def state_of(root):
+    """Every data file with its size and time of change."""
+    return {str(p.relative_to(root)): (p.stat().st_size, p.stat().st_mtime_ns) for p in root.rglob("*.parquet")}
+
+
+def test_a_merge_leaves_other_buckets_alone(spark, tmp_path):
+    path, names = str(tmp_path / "t"), [f"k{i}" for i in range(60)]
+    assert buckets.read(spark, path) is None
+    buckets.merge_into(spark, path, keyed(spark, *names), upsert.merge, buckets=32)
+    before = state_of(tmp_path)
+    after = buckets.merge_into(spark, path, keyed(spark, "k1", "new", v="y"), upsert.merge)
+    touched = {r[0] for r in keyed(spark, "k1", "new").select(buckets.bucket_of("sample_id", 32)).collect()}
+    assert {b for b, v in after.files.items() if v == 2} == touched and len(touched) == 2
+    now = state_of(tmp_path)
+    assert all(now[f] == before[f] for f in before)  # nothing is rewritten in place
+    added = {f for f in now if f not in before}
+    assert added and all(any(f"merge_bucket={b}/merge_version=2/" in f for b in touched) for f in added)
+    assert tuples(buckets.read(spark, path)) == sorted([(n, "x", "x") for n in names if n != "k1"] + [("k1", "y", "x"), ("new", "y", "y")])
+    assert not list((tmp_path / "t" / "_staging").iterdir())
+
+
+def test_only_states_with_a_manifest_count(spark, tmp_path):
+    path = str(tmp_path / "t")
+    buckets.merge_into(spark, path, keyed(spark, "a", "b"), upsert.merge, buckets=4)
+
+    def dies(known, batch):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        buckets.merge_into(spark, path, keyed(spark, "c"), dies)
+    # files of a merge that got as far as its manifest, from a state that is no longer the newest
+    first = buckets.manifest(spark, path)
+    for version in (1, 2):
+        keyed(spark, "a", v="lost").withColumns({"merge_bucket": F.lit(0), "merge_version": F.lit(version + 1)}).write.mode("append").partitionBy("merge_bucket", "merge_version").parquet(path)
+    assert buckets.manifest(spark, path) == first and tuples(buckets.read(spark, path), "sample_id", "v") == [("a", "x"), ("b", "x")]
+    buckets.merge_into(spark, path, keyed(spark, "a", "b", "c", "d", "e", v="y"), upsert.merge)  # takes the place of what was left
+    assert {r[1] for r in tuples(buckets.read(spark, path), "sample_id", "v")} == {"y"}
+    with pytest.raises(RuntimeError, match="another merge"):
+        buckets.merge_into(spark, path, keyed(spark, "z"), lambda known, batch: (buckets.merge_into(spark, path, keyed(spark, "q"), upsert.merge), upsert.merge(known, batch))[1])
+    assert "z" not in {r[0] for r in tuples(buckets.read(spark, path), "sample_id")}
+
+
+def test_batches_of_a_stream_are_merged_once_and_old_states_expire(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch, v in ((0, "x"), (1, "y"), (1, "again"), (0, "late")):
+        buckets.merge_into(spark, path, keyed(spark, "a", v=v), upsert.merge, buckets=4, once=("s", batch))
+    assert tuples(buckets.read(spark, path)) == [("a", "y", "x")]
+    buckets.merge_into(spark, path, keyed(spark, "a", v="z"), upsert.merge, once=("other", 0))
+    assert buckets.expire(spark, path, keep=1) == 2
+    assert tuples(buckets.read(spark, path)) == [("a", "z", "x")] and buckets.manifest(spark, path).applied == {"s": 1, "other": 0}
+    empty = buckets.merge_into(spark, str(tmp_path / "e"), keyed(spark), upsert.merge)
+    assert empty.files == {} and buckets.read(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_a_bucketed_table_does_not_move(spark, tmp_path):
+    """Neither for the anti join of untouched rows nor for the join with known ones, though nothing is broadcast."""
+    table = tables.as_bucketed_table(keyed(spark, *[f"k{i}" for i in range(99)]), "kept_for_plan", "sample_id", 6, str(tmp_path / "kept"))
+    batch = tables.as_table(keyed(spark, "k1", "new", v="y"), str(tmp_path / "batch"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = upsert.merge(table, batch)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        rows = tuples(merged)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = plan.split("SortMergeJoin")[1:]
+    assert len(joins) == 3 and plan.count("Bucketed: true") == 2
+    for before in plan.split("Bucketed: true")[:-1]:
+        above = before[before.rindex("SortMergeJoin"):]  # from the join down to the table
+        assert "Exchange" not in above
+    assert len(rows) == 100 and ("k1", "y", "x") in rows
+    spark.sql("DROP TABLE kept_for_plan")
 
 
 HEADER = "CODIGO;DATACOLETA;PATÓGENO;MÉTODO;CIDADE;UF;SEXO;IDADE;RESULTADO\n"
@@ -86,7 +160,7 @@ def test_drop_folder_takes_each_file_once(spark, tmp_path):
 
     def run(text):
         drop_folder.ingest_lab(spark, "HPARDINI", str(folder), table, str(tmp_path / "cp"), clock(text)).awaitTermination()
-        return tuples(snapshots.current(spark, table), "test_id", "SC2_test_result", "created_at", "updated_at")
+        return tuples(buckets.read(spark, table), "test_id", "SC2_test_result", "created_at", "updated_at")
 
     drop(folder, "1.csv", row.format(1, "Positivo"), row.format(2, "Negativo"))
     assert run("t1") == [("1", "Pos", "t1", "t1"), ("2", "Neg", "t1", "t1")]
@@ -159,3 +233,65 @@ def test_a_replayed_batch_keeps_all_its_files(spark, tmp_path):
         drop_folder.ingest(spark, str(inbox), str(tmp_path / "ck"), fail, per_batch=10).awaitTermination()
     drop_folder.ingest(spark, str(inbox), str(tmp_path / "ck"), lambda paths, batch: seen.extend(paths), per_batch=1).awaitTermination()
     assert len(set(seen)) == 10
+
+
+def jobs_of(spark, run):
+    spark.sparkContext.setJobGroup(group := f"g{datetime.now().timestamp()}", "")
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_one_job_finds_all_headers(spark, tmp_path):
+    counts = []
+    for n in (3, 24):
+        folder = tmp_path / f"n{n}"
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"{i}.csv").write_text(("a,b\n1,x\n", "\n b,a \nx,1\n", "a,b,c\n1,x,extra\n")[i % 3])
+        counts.append(jobs_of(spark, lambda: delimited.layouts(spark, [str(folder)], ",", "UTF-8")))  # noqa: B023
+        found = delimited.layouts(spark, [str(folder)], ",", "UTF-8")
+        assert [(x.names, x.quoted, len(x.files)) for x in found] == [((" b", "a "), False, n // 3), (("a", "b"), False, n // 3), (("a", "b", "c"), False, n // 3)]
+        assert delimited.read_delimited(spark, str(folder)).count() == n
+    assert counts[0] == counts[1]
+
+
+def test_headers_as_sparks_reader_has_them(spark, tmp_path):
+    for name, text in (("a", 'x,"y,z",,X,last\n1,2,3,4,5\n'), ("b", "one\n1\n"), ("c", '"q ""r"" s";"t"\n1;2\n')):
+        sep = ";" if name == "c" else ","
+        (tmp_path / f"{name}.csv").write_text("\ufeff" + text)
+        expected = spark.read.csv(str(tmp_path / f"{name}.csv"), header=True, sep=sep, quote='"', escape='"').columns
+        assert delimited.read_delimited(spark, str(tmp_path / f"{name}.csv"), sep).columns == [*expected, "file_name"]
+    (tmp_path / "latin").mkdir()
+    (tmp_path / "latin" / "é.csv").write_bytes("ção;é\nà;é\xa0\n".encode("latin-1"))
+    assert tuples(delimited.read_delimited(spark, str(tmp_path / "latin"), ";", "ISO-8859-1"), "ção", "é") == [("à", "é\xa0")]
+
+
+def test_quoted_line_ends_are_read_without_asking(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,"two\nlines"\n2,plain\n')
+    (tmp_path / "y.csv").write_text("a,b\n3,short\n4\n")
+    rows = delimited.read_delimited(spark, str(tmp_path))
+    assert tuples(rows, "a", "b") == [("1", "two\nlines"), ("2", "plain"), ("3", "short"), ("4", None)]
+
+
+def test_broken_rows_are_set_apart_and_files_archived(spark, tmp_path):
+    folder, table, done, aside = (tmp_path / n for n in ("in", "table", "done", "aside"))
+    folder.mkdir()
+    row = "{};2024-02-03;SARS-CoV-2;PCR em tempo real;Recife;PE;F;30;Positivo"
+    drop(folder, "1.csv", row.format(1), "broken;" + row.format(9), row.format(2))
+    drop(folder, "2.csv", row.format(3) + ";", "4;2024-02-03;SARS-CoV-2;PCR em tempo real")
+    drop(folder, "3.csv", row.format(5))
+
+    def run(**more):
+        drop_folder.ingest_lab(spark, "HPARDINI", str(folder), str(table), str(tmp_path / "cp"), lambda: F.lit("t"), archive=str(done), **more).awaitTermination()
+
+    with pytest.raises(Exception, match="more fields than their header"):
+        run()
+    assert len(list(folder.iterdir())) == 3
+    run(quarantine=str(aside))
+    assert tuples(buckets.read(spark, str(table)), "test_id", "SC2_test_result") == [("1", "Pos"), ("2", "Pos"), ("4", None), ("5", "Pos")]
+    assert tuples(spark.read.parquet(str(aside)), "file_name", "broken_line", "batch") == [("1.csv", "broken;" + row.format(9), 0), ("2.csv", row.format(3) + ";", 0)]
+    assert not list(folder.glob("*.csv")) and sorted(p.name for p in done.rglob("*.csv")) == ["1.csv", "2.csv", "3.csv"]
+    assert not list((table / "_staging").iterdir())
