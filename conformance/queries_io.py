@@ -252,3 +252,6 @@ _from_cube("matrix_102_VRISP_posrate_posneg_week_state", False)
 _from_cube("matrix_13_SC2_map_pos_direct_cities_h", False)
 _from_cube("matrix_34_SC2_line_posrate_bar_pos_direct_week_regions_sivep", True)
 _from_cube("matrix_31_Resp_pyr_pos_agegroups_all_quarter_country", False)
+_from_cube("matrix_30_Resp_bar_total_posneg_week_regions", False)
+_from_cube("matrix_30_Resp_bar_total_posneg_months_regions", False)
+_from_cube("matrix_ALL_count_by_labid_testkit_pathogen_result", False)

@@ -546,7 +546,7 @@ def join_geo(spark, sf_dir):
         "o_orderkey", text.normalize_text(F.expr(tb.PLACE)).alias("location"), mapping.state_name(F.expr(tb.STATE_CODE)).alias("state")
     )
     dims = frames.dimensions(spark, sf_dir)
-    return joins.attach_geography(rows, dims.municipalities, dims.macroregions).select("o_orderkey", "location", "location_ibge_code", "macroregion_code")
+    return joins.attach_geography(rows, dims.places).select("o_orderkey", "location", "location_ibge_code", "macroregion_code")
 
 
 @query("join_population", f"WITH {ob.PANEL}, pop AS (SELECT CAST(regexp_replace(ADM2_PCODE, '^BR', '') AS INTEGER) AS code, Populacao AS people FROM macroregions WHERE ADM2_PCODE ILIKE 'BR%') SELECT location_ibge_code, people, COUNT(*) AS samples FROM panel LEFT JOIN pop ON location_ibge_code = code GROUP BY ALL")

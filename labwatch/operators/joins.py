@@ -11,8 +11,10 @@ range join could only run as a nested loop over a broadcast side of any size.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ from labwatch import vocab
 from labwatch.functions import dates
 from labwatch.functions.mapping import first_of, lookup, region_label
 from labwatch.functions.text import normalize_text
+from labwatch.session import checkpoint_dir
+from labwatch.sinks.tables import as_table
 
 
 def literal_table(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
@@ -56,6 +60,18 @@ class Dimensions:
     fix_state: Mapping[str, str] | DataFrame = field(default_factory=lambda: vocab.STATE_FIXES)
     fix_location: Mapping[tuple[str, str], str] | DataFrame = field(default_factory=lambda: vocab.LOCATION_FIXES)
 
+    @cached_property
+    def places(self) -> DataFrame:
+        """Municipalities with their health region, written once to the shared folder.
+
+        A joined frame has no more than a guess for its size, the product of
+        its sides, and would draw the samples into an exchange by city. Of a
+        written one the planner knows the true size: it broadcasts one below
+        its threshold, and beyond it the largest city is split by AQE.
+        """
+        spark = self.municipalities.sparkSession
+        return as_table(geography(self.municipalities, self.macroregions), f"{checkpoint_dir(spark)}/dimensions/{uuid.uuid4().hex}")
+
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     """CSV dimension. Headers and values may carry blanks after the comma."""
@@ -160,9 +176,8 @@ def geography(municipalities: DataFrame, macroregions: DataFrame) -> DataFrame:
     return m.join(r, (F.col("CD_UF") == F.col("CO_UF")) & (code == F.col("ADM2_PCODE")), "left")
 
 
-def attach_geography(df: DataFrame, municipalities: DataFrame, macroregions: DataFrame) -> DataFrame:
-    """Official names, codes, coordinates and health region of a (location, state) pair."""
-    g = geography(municipalities, macroregions)
+def attach_geography(df: DataFrame, g: DataFrame) -> DataFrame:
+    """Official names, codes, coordinates and health region of a (location, state) pair; ``g`` is a ``Dimensions``' places."""
     others = [c for c in df.columns if c not in ("location", "state")]
     joined = df.join(g, (df["location"] == g["NM_MUN_NORM"]) & (df["state"] == g["NM_UF_NORM"]), "left")
     return joined.select(

@@ -6,6 +6,7 @@ checkpointed aggregates. Column names are those of the published files.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import date
@@ -20,11 +21,12 @@ from labwatch.functions.dates import as_date, epi_year, quarter_label, week_labe
 from labwatch.functions.metrics import per_100k, positivity_rate
 from labwatch.operators.filters import latest, recent, routed
 from labwatch.operators.joins import Dimensions
-from labwatch.operators.reshape import calendar_values, complete_buckets, distinct_values, pivot_sum, unpivot_tested
+from labwatch.operators.reshape import calendar_values, complete_buckets, distinct_values, pivot_sum
 from labwatch.operators.windows import running_total
 from labwatch.plans import facts as fx
 from labwatch.plans.facts import has_tested
-from labwatch.session import materialize
+from labwatch.session import checkpoint_dir, materialize
+from labwatch.sinks.tables import as_table
 from labwatch.vocab import NOT_REPORTED, PATHOGEN_LABELS, PATHOGENS, REGIONS
 
 
@@ -32,13 +34,13 @@ from labwatch.vocab import NOT_REPORTED, PATHOGEN_LABELS, PATHOGENS, REGIONS
 class Source:
     """What the tables read.
 
-    ``rows`` are single samples; ``facts``, ``city_facts`` and ``register``
-    are samples with counters or cubes of them.
+    ``facts``, ``city_facts``, ``lab_facts`` and ``register`` are samples with
+    counters or cubes of them.
     """
 
-    rows: DataFrame
     facts: DataFrame
     city_facts: DataFrame
+    lab_facts: DataFrame
     register: DataFrame | None
     macroregions: DataFrame
     as_of: str | date
@@ -58,15 +60,22 @@ def source(panel: DataFrame, register: DataFrame | None, dims: Dimensions, as_of
     reg = None
     if register is not None:
         reg = fx.register_facts(register, dims.macroregions, dims.municipalities, dims.age_groups, as_of)
-    return Source(fx.rows(panel, as_of), f, f, reg, dims.macroregions, as_of)
+    return Source(f, f, f, reg, dims.macroregions, as_of)
 
 
-def shared(src: Source) -> Source:
-    """The same source with its counters summed and written out once."""
+_CUBES = {"facts": fx.KEYS, "city_facts": fx.CITY_KEYS, "lab_facts": fx.LAB_KEYS}
+
+
+def shared(src: Source, sets: Sequence[str] = tuple(_CUBES)) -> Source:
+    """The same source with its counters summed and written out once, in one pass over the samples.
+
+    The cubes lie in a folder each, so that a table reads the columns it needs of its own.
+    """
+    path = f"{checkpoint_dir(src.facts.sparkSession)}/cubes/{uuid.uuid4().hex}"
+    written = as_table(fx.cubes(src.facts, {name: _CUBES[name] for name in sets}), path, fx.SET)
     return replace(
         src,
-        facts=materialize(fx.cube(src.facts, fx.KEYS)),
-        city_facts=materialize(fx.cube(src.city_facts, fx.CITY_KEYS)),
+        **{name: fx.one_cube(written, name, _CUBES[name]) for name in sets},
         register=None if src.register is None else materialize(fx.cube(src.register, fx.REGISTER_KEYS)),
     )
 
@@ -228,14 +237,14 @@ def annual_lines(pathogen: str, kit_names: Sequence[str]) -> Callable:
     return build
 
 
-def volume_bars(bucket: str, name: str, start: Callable[[], Column]) -> Callable:
-    """Distinct samples per region."""
+def volume_bars(bucket: str, marks: str, name: str, start: Callable[[], Column]) -> Callable:
+    """Distinct samples per region: the sum of their marks."""
 
     def build(src: Source) -> DataFrame:
         per_region = (
-            src.rows.where(start() & kits(vocab.ALL_REPORTED_KITS) & (F.col("region") != NOT_REPORTED))
+            src.facts.where(start() & kits(vocab.ALL_REPORTED_KITS) & (F.col("region") != NOT_REPORTED))
             .groupBy(bucket, "region")
-            .agg(F.count_distinct("sample_id").alias("n"))
+            .agg(F.sum(marks).alias("n"))
         )
         wide = pivot_sum(per_region, [bucket], "region", F.col("n"), {r: r for r in REGIONS})
         return wide.withColumnRenamed(bucket, name)
@@ -462,11 +471,16 @@ def one_row_per_week(labs: DataFrame, severe: DataFrame, week: str) -> DataFrame
 
 
 def all_counts(src: Source) -> DataFrame:
-    return (
-        unpivot_tested(src.rows, ["lab_id", "test_kit"])
-        .groupBy("lab_id", "test_kit", "pathogen", "result")
-        .agg(F.count("*").alias("count"))
+    """Conclusive results by laboratory and kit. The pathogens are unpivoted after aggregation."""
+    summed = src.lab_facts.groupBy(*fx.LAB_KEYS).agg(*[F.sum(c).alias(c) for c in fx.COUNTERS])
+    cells = F.array(
+        *[
+            F.struct(F.lit(p).alias("pathogen"), F.lit(label).alias("result"), F.col(f"{p}_{side}").alias("count"))
+            for p in PATHOGENS
+            for side, label in (("pos", "Pos"), ("neg", "Neg"))
+        ]
     )
+    return summed.select(*fx.LAB_KEYS, F.inline(cells)).where(F.col("count") > 0)
 
 
 def state_rates(src: Source) -> DataFrame:
@@ -601,10 +615,10 @@ MATRICES: dict[str, Matrix] = {
         _asc(_WEEKS_PLAIN, "state_code"),
     ),
     "matrix_30_Resp_bar_total_posneg_months_regions": Matrix(
-        volume_bars("month", "Ano-Mês", lambda: F.col("month") >= "2022-01"), _asc("Ano-Mês")
+        volume_bars("month", "month_sample", "Ano-Mês", lambda: F.col("month") >= "2022-01"), _asc("Ano-Mês")
     ),
     "matrix_30_Resp_bar_total_posneg_week_regions": Matrix(
-        volume_bars(WEEK, "Semana Epidemiológica", lambda: from_week("2022-01-01")), _asc("Semana Epidemiológica")
+        volume_bars(WEEK, "week_sample", "Semana Epidemiológica", lambda: from_week("2022-01-01")), _asc("Semana Epidemiológica")
     ),
     "matrix_31_Resp_pyr_pos_agegroups_all_quarter_country": Matrix(
         quarter_pyramid, (("trimestre", "asc"), ("faixas_etarias", "desc"))

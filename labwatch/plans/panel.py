@@ -42,7 +42,7 @@ def enrich(samples: DataFrame, dims: Dimensions, start: str = vocab.PANEL_START)
     df = attach_band(df, dims.age_groups)
     df = attach_epiweek(df)
     df = fix_places(df, dims.fix_state, dims.fix_location)
-    return attach_geography(df, dims.municipalities, dims.macroregions)
+    return attach_geography(df, dims.places)
 
 
 def combined(

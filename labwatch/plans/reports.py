@@ -13,10 +13,8 @@ from labwatch.functions.mapping import lookup_keep
 from labwatch.functions.metrics import half_up, thousands_dot
 from labwatch.operators.filters import latest
 from labwatch.operators.reshape import unpivot_tested
-from labwatch.plans.facts import KEYS, cube
-from labwatch.plans.matrices import Source, build_matrix
+from labwatch.plans.matrices import Source, build_matrix, shared
 from labwatch.plans.panel import for_reports
-from labwatch.session import materialize
 
 
 def city_report(panel: DataFrame, code: int = vocab.RIO_DE_JANEIRO_CODE, city: str = "Rio de Janeiro", state: str = "RJ") -> DataFrame:
@@ -105,10 +103,9 @@ def indicators(volume: DataFrame, counts: DataFrame, main: DataFrame, others: Da
 
 
 def headline(src: Source) -> DataFrame:
-    """Headline values straight from a source. The three tables that need counters share one written cube."""
-    src = replace(src, facts=materialize(cube(src.facts, KEYS)))
+    """Headline values straight from a source. The five tables share the cubes of one pass."""
+    src = shared(replace(src, register=None), ["facts", "lab_facts"])
     return indicators(
-
         volume=build_matrix("matrix_30_Resp_bar_total_posneg_week_regions", src),
         counts=build_matrix("matrix_ALL_count_by_labid_testkit_pathogen_result", src),
         main=build_matrix("matrix_02_Resp_bar_pos_panel4_week_country_r", src),

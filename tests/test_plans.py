@@ -1,11 +1,16 @@
+from datetime import date, timedelta
+
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from conformance import frames, registry
 from conformance import testbed as tb
 from conformance.check import compare
-from labwatch.plans import matrices, reports
+from labwatch import vocab
+from labwatch.operators.joins import attach_epiweek
+from labwatch.plans import facts, matrices, reports
 
 from .conftest import SF
 from .helpers import tuples
@@ -39,6 +44,7 @@ def test_cube_gives_the_same_tables(spark):
         "matrix_01_VRISP_line_posrate_direct_week_country_h", "matrix_08_Resp_line_bar_posrate_posneg_week_country_h",
         "matrix_13_SC2_map_pos_direct_cities_h", "matrix_17_SC2_line_posrate_bar_pos_direct_week_country_sivep",
         "matrix_22_VSR_line_posrate_direct_week_country_annual", "matrix_31_Resp_pyr_pos_agegroups_all_quarter_country",
+        "matrix_30_Resp_bar_total_posneg_months_regions", "matrix_ALL_count_by_labid_testkit_pathogen_result",
     ]:
         assert tuples(matrices.build_matrix(name, ready)) == tuples(matrices.build_matrix(name, src)), name
 
@@ -48,10 +54,28 @@ def plan_of(df) -> str:
 
 
 def test_panel_plan(spark):
-    """No nested loops, no cartesian product, no Python: one exchange for the collapse, the joins by hash."""
+    """No nested loops, no cartesian product, no Python, and no exchange above the collapse: the places are broadcast."""
     plan = plan_of(frames.full_panel(spark, SF))
     for word in ("NestedLoop", "Cartesian", "Python", "Window"):
         assert word not in plan, word
+    above = plan[: plan.index("SortAggregate")]
+    assert "Join" in above and "Exchange" not in above.replace("BroadcastExchange", "")
+
+
+def test_samples_are_marked_without_another_exchange(spark):
+    """Samples leave the collapse dealt by their key; the window that marks them stays there."""
+    src = frames.source(spark, SF, with_register=False)
+    plan = plan_of(src.facts.select("sample_id", "week_sample", "month_sample"))
+    assert "Window" in plan and "Exchange" not in plan[: plan.index("SortAggregate")].replace("BroadcastExchange", "")
+    assert "Window" not in plan_of(src.facts.select("SC2_pos"))  # who doesn't ask for the marks doesn't pay for them
+
+
+def test_all_tables_read_the_panel_once(spark):
+    """The cubes of one pass serve every table; no table's plan goes back to the samples."""
+    ready = matrices.shared(frames.source(spark, SF, with_register=False))
+    for name in ("matrix_30_Resp_bar_total_posneg_week_regions", "matrix_ALL_count_by_labid_testkit_pathogen_result", "matrix_25_FLUA_map_pos_direct_cities_h", "matrix_03_SC2_heat_posrate_week_state"):
+        plan = plan_of(matrices.build_matrix(name, ready))
+        assert "lineitem" not in plan and "cube_set" in plan, name
 
 
 @pytest.mark.parametrize("name", ["matrix_01_VRISP_line_posrate_direct_week_country_h", "matrix_101_VRISP_posrate_posneg_week_region"])
@@ -67,6 +91,23 @@ def test_scan_reads_only_needed_columns(spark):
     assert "l_extendedprice" not in plan and "o_totalprice" not in plan
 
 
+def test_marks_are_exact_distinct_counts(spark):
+    """Samples that occur in several rows, weeks, regions and kits."""
+    days = [(date(2024, 1, 30) + timedelta(days=d)) for d in range(0, 9, 2)]
+    rows = [
+        (f"s{(i * 7) % 13}", days[i % 5], ["test_4", "covid_pcr", "UNKNOWN"][i % 3], ["A", "B", "NOT REPORTED"][i % 4 % 3])
+        for i in range(200)
+    ] + [(None, days[0], "test_4", "A")] * 3
+    df = spark.createDataFrame(rows, "sample_id string, date_testing date, test_kit string, region string")
+    df = attach_epiweek(df).withColumn("region", F.when(F.col("region") == "NOT REPORTED", vocab.NOT_REPORTED).otherwise(F.col("region")))
+    marked = facts.mark_samples(df)
+    for bucket, marks in (("epiweek_enddate", "week_sample"), ("month", "month_sample")):
+        got = tuples(marked.groupBy(bucket, "region").agg(F.sum(marks)))
+        reported = df.where(F.col("test_kit").isin(vocab.ALL_REPORTED_KITS) & (F.col("region") != vocab.NOT_REPORTED))
+        expected = {(b, r): n for b, r, n in tuples(reported.groupBy(bucket, "region").agg(F.count_distinct("sample_id")))}
+        assert all(n == expected.get((b, r), 0) for b, r, n in got) and len(expected) > 2
+
+
 def test_headline_against_pandas(spark):
     """The same figures worked out in pandas from the checking SQL's tables."""
     con = duckdb.connect()
