@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conformance import frames, oracle_base as ob
+import datetime
+
+from conformance import frames, oracle_base as ob, oracle_labs
 from conformance import testbed as tb
+from conformance.queries_io import scratch
 from conformance.queries_operators import HOT, LONG, PANEL, RES, SAMPLES, col, query
 from labwatch import vocab
 from labwatch.operators import joins, quality
-from labwatch.plans import facts
+from labwatch.plans import facts, suites
+from labwatch.plans.labs import LABS
 from labwatch.operators.reshape import unpivot_results
 
 R = vocab.RESULT_COLUMNS
@@ -81,16 +85,19 @@ def lost_lines(spark, sf_dir):
     return quality.lost_lines(frames.samples(spark, sf_dir), tb.long_results(spark, sf_dir).where(col("result") >= 0))
 
 
-def _kit_sql() -> str:
+def _kit_broken() -> str:
     def rule(kit: str, names: list[str]) -> str:
         test = " AND ".join(f"{p}_test_result IS DISTINCT FROM 'NT'" if p in names else f"{p}_test_result IS NOT DISTINCT FROM 'NT'" for p in vocab.PATHOGENS)
         return f"WHEN '{kit}' THEN {test}"
 
     cases = " ".join(rule(k, n) for k, n in vocab.KIT_PATHOGENS.items())
-    return f"{SAMPLES} SELECT sample_id, test_kit FROM samples WHERE NOT (CASE test_kit {cases} ELSE FALSE END)"
+    return f"NOT (CASE test_kit {cases} ELSE FALSE END)"
+
 
+_KIT_BROKEN = _kit_broken()
 
-@query("quality_kit_pathogens", _kit_sql())
+
+@query("quality_kit_pathogens", f"{SAMPLES} SELECT sample_id, test_kit FROM samples WHERE {_KIT_BROKEN}")
 def kit_pathogens(spark, sf_dir):
     return quality.kit_mismatches(frames.samples(spark, sf_dir)).select("sample_id", "test_kit")
 
@@ -166,3 +173,56 @@ def report(spark, sf_dir):
             quality.Check("unique key", "samples", quality.duplicates(rows, "sample_id"), warn_above=0),
         ]
     )
+
+
+# -- suites of the models -----------------------------------------------------
+
+
+def _rule_sql(r: suites.Rule) -> str:
+    """Failures of a rule over the table ``t``."""
+    today, c = ob.AS_OF, f'"{r.column}"'
+    rows = {
+        "not_null": f"{c} IS NULL" + (f" AND date_testing > {today} - {r.days}" if r.days else ""),
+        "accepted": f"{c} NOT IN {ob.in_list(r.values)}",
+        "forbidden": f"{c} IN {ob.in_list(r.values)}",
+        "range": f"{c} < {r.low} OR {c} > {r.high}",
+        "past": f"{c} > {today}",
+        "any_result": _ALL("'NT'"),
+        "kit": _KIT_BROKEN,
+    }
+    if r.kind in rows:
+        return f"(SELECT COUNT(*) FROM t WHERE {rows[r.kind]})"
+    if r.kind == "unique":
+        return f"(SELECT COUNT(*) FROM (SELECT {c} FROM t WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1))"
+    if r.kind == "share":
+        return f"(SELECT CASE WHEN AVG(CASE WHEN {c} IS NULL THEN 0.0 ELSE 1.0 END) < {r.low} THEN 1 ELSE 0 END FROM t)"
+    if r.kind == "fresh":
+        newest = " UNION ALL ".join(f"SELECT MAX(date_testing) AS d FROM t WHERE {p}_test_result <> 'NT'" for p in r.values)
+        return f"(SELECT COUNT(*) FROM ({newest}) WHERE d < {today} - 5)"
+    days = f"(SELECT DISTINCT start_date FROM epiweeks WHERE start_date >= {today} - 30 AND start_date <= {today})"
+    return f"(SELECT COUNT(*) FROM (SELECT start_date, COUNT(t.date_testing) AS n FROM {days} LEFT JOIN t ON t.date_testing >= start_date AND t.date_testing < start_date + 7 GROUP BY ALL) WHERE n < {r.low} OR n > {r.high})"
+
+
+def _suite_sql(suite: suites.Suite, table: str) -> str:
+    never = 10**18
+    lines = " UNION ALL ".join(
+        f"SELECT '{r.name}' AS c, {_rule_sql(r)} AS n, {never if r.warn is None else r.warn} AS w, {never if r.error is None else r.error} AS e" for r in suite.rules
+    )
+    return f"WITH t AS MATERIALIZED ({table}), {ob.EPIWEEKS} SELECT c AS \"check\", '{suite.model}' AS model, CAST(n AS BIGINT) AS failures, CASE WHEN n > e THEN 'error' WHEN n > w THEN 'warn' ELSE 'pass' END AS status FROM ({lines})"
+
+
+def _suite(lab_id: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return suites.grade(LABS[lab_id].wide(tb.raw(spark, sf_dir, lab_id)), suites.SUITES[lab_id], tb.AS_OF)
+
+    query(f"suite_{lab_id.lower()}", _suite_sql(suites.SUITES[lab_id], oracle_labs.lab_sql(lab_id)))(run)
+
+
+for _lab in LABS:
+    _suite(_lab)
+
+
+@query("suite_panel", _suite_sql(suites.SUITES["PANEL"], f"{PANEL} SELECT * FROM panel"))
+def suite_panel(spark, sf_dir):
+    """The panel graded by what was seen while it was written."""
+    return suites.write_checked(frames.full_panel(spark, sf_dir), scratch(spark, "panel"), suites.SUITES["PANEL"], datetime.date.fromisoformat(tb.AS_OF))

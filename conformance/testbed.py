@@ -74,8 +74,8 @@ _DAY = (
     f"DATE '{LAST_DAY}' - CAST(CASE WHEN back < 42 THEN back WHEN back < 182 THEN back - back % 28 + back % 7 "
     "WHEN back < 364 THEN back - back % 42 + back % 7 ELSE back - back % 56 + back % 7 END AS INT)"
 )
-# One state takes the customers of a third of the keys besides its own.
-_NATION = "CASE WHEN o_custkey % 3 = 1 THEN 24 ELSE c_nationkey END AS c_nationkey"
+# One state takes the customers of two thirds of the keys besides its own.
+_NATION = "CASE WHEN o_custkey % 3 <> 0 THEN 24 ELSE c_nationkey END AS c_nationkey"
 
 STATE_CODES = list(vocab.STATE_NAMES)
 KITS = [

@@ -92,8 +92,8 @@ def lost_lines(samples: DataFrame, lines: DataFrame, column: str = "qty_original
     return counted.select((F.col("counted") - existing).alias("diff_qty_lines")).where(F.col("diff_qty_lines") > 0)
 
 
-def kit_mismatches(df: DataFrame, kits: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """Rows whose tested pathogens are not exactly those of their kit; an unknown kit is a mismatch.
+def kit_fits(kits: Mapping[str, Sequence[str]] | None = None) -> Column:
+    """Whether the tested pathogens are exactly those of the kit; NULL for an unknown kit.
 
     A missing result counts as tested, since only ``NT`` says otherwise.
     """
@@ -105,8 +105,12 @@ def kit_mismatches(df: DataFrame, kits: Mapping[str, Sequence[str]] | None = Non
     expected = F.create_map(
         *[F.lit(x) for kit, names in wanted.items() for x in (kit, sum(bits[p] for p in names))]
     )
-    right = F.try_element_at(expected, F.col("test_kit")) == tested
-    return df.where(~F.coalesce(right, F.lit(False)))
+    return F.try_element_at(expected, F.col("test_kit")) == tested
+
+
+def kit_mismatches(df: DataFrame, kits: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Rows whose tested pathogens are not exactly those of their kit; an unknown kit is a mismatch."""
+    return df.where(~F.coalesce(kit_fits(kits), F.lit(False)))
 
 
 def nulls(df: DataFrame, column: str) -> DataFrame:
