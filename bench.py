@@ -10,7 +10,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -58,7 +57,7 @@ def main() -> None:
         "bench", f"local[{cpus}]",
         **{
             "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g",
-            "spark.sql.shuffle.partitions": cpus, "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
+            "spark.sql.shuffle.partitions": cpus,
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -298,3 +298,11 @@ def sql() -> dict[str, str]:
         base = UNPIVOTED_BOTH if "reg_up" in BODIES[parent] else UNPIVOTED
         out[name] = f"WITH {base}, {BODIES[parent]} SELECT * FROM t WHERE {where}"
     return out
+
+
+def together(of: str) -> str:
+    """``of`` over every table, with ``{name}`` for its name and ``t`` for its rows, from samples unpivoted once."""
+    base = UNPIVOTED_BOTH.replace(" up AS (", " up AS MATERIALIZED (").replace("reg_up AS (", "reg_up AS MATERIALIZED (")
+    bodies = {name: (body, "TRUE") for name, body in BODIES.items()} | {name: (BODIES[parent], where) for name, (parent, where) in _VARIANTS.items()}
+    parts = [f"SELECT * FROM (WITH {body}, chosen AS MATERIALIZED (SELECT * FROM t WHERE {where}) {of.replace('{name}', name)})" for name, (body, where) in bodies.items()]
+    return f"WITH {base} " + " UNION ALL ".join(parts)

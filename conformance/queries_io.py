@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime
 import uuid
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +13,12 @@ from pyspark.sql import functions as F
 from conformance import frames, oracle_base as ob, oracle_labs, oracle_matrices
 from conformance import testbed as tb
 from conformance.queries_labs import now
-from conformance.queries_operators import _HALVES, C, SAMPLES, T, col, halves, query
+from conformance.queries_operators import _HALVES, SQL, C, SAMPLES, T, col, halves, query
 from labwatch import labs_vocab as lv
 from labwatch import vocab
-from labwatch.operators import upsert
-from labwatch.plans import matrices, register
+from labwatch.operators import joins, upsert
+from labwatch.plans import matrices, register, reports
+from labwatch.plans.labs import sabin_typed
 from labwatch.session import checkpoint_dir
 from labwatch.sinks import buckets, files, tables
 from labwatch.sources import header_repair
@@ -91,14 +94,11 @@ def ingest_sheets(spark, sf_dir):
     return rows.select("accession", "exame", "resultado", "dh_coleta", "patogeno")
 
 
-_PICKED = "o_orderkey % 3 = 0"
-
-
-@query("ingest_header_repair", f"{T}, raw AS (SELECT r.*, CAST(l_quantity AS INTEGER) AS q FROM (SELECT * FROM tests) t, LATERAL ({tb.duck(tb.RAW['HLAGYN']).replace('FROM tests', '')}) r WHERE {_PICKED}) SELECT Pedido, \"Métodologia\" AS method, UF, Resultado, concat('v', q) AS \"CT_I\", CAST(NULL AS VARCHAR) AS \"VIRUS_EV\" FROM raw")
+@query("ingest_header_repair", f"{T}, raw AS (SELECT r.*, CAST(l_quantity AS INTEGER) AS q FROM (SELECT * FROM tests) t, LATERAL ({tb.duck(tb.RAW['HLAGYN']).replace('FROM tests', '')}) r) SELECT Pedido, \"Métodologia\" AS method, UF, Resultado, concat('v', q) AS \"CT_I\", CAST(NULL AS VARCHAR) AS \"VIRUS_EV\" FROM raw")
 def ingest_header_repair(spark, sf_dir):
     """Misspelt headers, a column named by its values and a blank one."""
     rows = spark.sql(
-        tb.RAW["HLAGYN"].replace(" FROM {tests}", f", CAST(l_quantity AS INT) AS q FROM {{tests}} WHERE {_PICKED}"), tests=tb.tests(spark, sf_dir)
+        tb.RAW["HLAGYN"].replace(" FROM {tests}", ", CAST(l_quantity AS INT) AS q FROM {tests}"), tests=tb.tests(spark, sf_dir)
     )
     messy = rows.select(
         "Pedido", "`Data Coleta`", "Idade", "Sexo", col("`Métodologia`").alias("Matodologia"), "Cidade", col("UF").alias("UF (Inst Saúde)"), "Resultado",
@@ -117,6 +117,41 @@ def ingest_mixed_dates(spark, sf_dir):
     return header_repair.prepare("HPARDINI", rows)
 
 
+_SABIN_DATES = "CAST(strptime(DataAtendimento, '%m/%d/%Y') AS DATE) AS date_testing, CAST(strptime(DataNascimento, '%m/%d/%Y') AS DATE) AS birth_date"
+
+
+@query("ingest_date_orders", f"{_raw_sql('SABIN')} SELECT OS, {_SABIN_DATES} FROM raw")
+def ingest_date_orders(spark, sf_dir):
+    """Deliveries of both orders of day and month; each file's own is found."""
+    folder, raw = scratch(spark, "sabin"), tb.raw(spark, sf_dir, "SABIN").drop("file_name")
+    day_first = raw.withColumns({c: F.regexp_replace(c, "^(..)/(..)", "$2/$1") for c in ("DataAtendimento", "DataNascimento")})
+    for i, rows in enumerate((raw, day_first)):
+        files.write_delimited(rows.where(col("OS").cast("bigint") % 2 == i), f"{folder}/part={i}")
+    typed = sabin_typed(header_repair.prepare("SABIN", read_lab(spark, "SABIN", f"{folder}/*")))
+    return typed.select(col("test_id").alias("OS"), "date_testing", "birth_date")
+
+
+@query("ingest_panel4_layout", f"{_raw_sql('HLAGYN')} SELECT Pedido, Idade, \"Vírus Influenza A\" AS flua, \"Vírus Influenza B\" AS flub, \"Coronavírus SARS-CoV-2\" AS sc2 FROM raw")
+def ingest_panel4_layout(spark, sf_dir):
+    """Files with the short headers of the small panel, told by one of them."""
+    back = {v: k for k, v in lv.HLAGYN_PANEL4_HEADERS.items()}
+    raw = tb.raw(spark, sf_dir, "HLAGYN").drop("file_name", *back.values()).withColumnsRenamed(back)
+    folder = scratch(spark, "panel4")
+    files.write_delimited(raw, folder)
+    rows = header_repair.apply_layout(read_delimited(spark, folder), "VIRUS_HRSV", lv.HLAGYN_PANEL4_HEADERS)
+    return rows.select("Pedido", "Idade", col("`Vírus Influenza A`").alias("flua"), col("`Vírus Influenza B`").alias("flub"), col("`Coronavírus SARS-CoV-2`").alias("sc2"))
+
+
+@query("dimension_csv", f"WITH {tb.DUCK_GEOGRAPHY} SELECT CAST(CD_MUN AS VARCHAR) AS code, NM_MUN AS name, NM_UF AS state FROM municipalities")
+def dimension_csv(spark, sf_dir):
+    """A dimension delivered as text with blanks behind its commas."""
+    folder, m = scratch(spark, "dimension"), tb.municipalities(spark, sf_dir)
+    line = F.concat_ws(", ", col("CD_MUN").cast("string"), "NM_MUN", F.concat("NM_UF", F.lit(" ")))
+    header = spark.range(1).select(F.lit("code, name , state").alias("value"))
+    header.unionByName(m.select(line.alias("value"))).coalesce(1).write.text(folder)
+    return joins.read_dimension(spark, folder).select("code", "name", "state")
+
+
 _AS_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ["sample_id", "age", "date_testing", "location", *vocab.RESULT_COLUMNS, "qty_original_lines"])
 
 
@@ -145,6 +180,34 @@ def export_catalogue(spark, sf_dir):
     return spark.read.csv(f"{folder}/{matrices.file_name(_BARS)}.csv", header=True, inferSchema=False)
 
 
+_SIZES = "SELECT '{name}' AS name, (SELECT COUNT(*) FROM chosen) AS n_rows, (SELECT COUNT(*) FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM chosen) UNPIVOT (v FOR c IN (COLUMNS(*)))) AS n_cells"
+
+
+@query("export_all", oracle_matrices.together(_SIZES))
+def export_all(spark, sf_dir):
+    """All published tables, exported side by side and read back: rows and filled cells of each file."""
+    folder = scratch(spark, "catalogue")
+    names = list(matrices.MATRICES)
+    paths = files.export_catalogue(matrices.build_all(frames.source(spark, sf_dir)), folder, {n: matrices.file_name(n) for n in names}, _orders())
+
+    def sizes(item: tuple[str, str]) -> tuple[str, int, int]:
+        df = files.read_written(spark, item[1])
+        cells = reduce(add, [F.count(f"`{c}`") for c in df.columns])
+        return (item[0], *df.agg(F.count("*"), cells).first())  # one row for each table
+
+    return spark.createDataFrame(files.at_once(spark, sizes, zip(names, paths)), "name string, n_rows bigint, n_cells bigint")
+
+
+_CITY_SQL = SQL["city_report"]
+
+
+@query("city_report_file", f"WITH q AS ({_CITY_SQL}) SELECT CAST(COLUMNS(*) AS VARCHAR) FROM q")
+def city_report_file(spark, sf_dir):
+    """The city report written and read back."""
+    path = reports.export_city_report(frames.full_panel(spark, sf_dir), scratch(spark, "city"))
+    return files.read_written(spark, path, "\t")
+
+
 @query("publish_release", _BARS_TEXT)
 def publish_release(spark, sf_dir):
     """The public copy of the current release."""
@@ -238,6 +301,33 @@ def epiweek_tumbling(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+_CLOSED = f"CAST({_WEEK} AS TIMESTAMP) + INTERVAL 7 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 7 DAY"
+
+
+@query("epiweek_append", f"WITH g AS (SELECT CAST({_WEEK} AS DATE) AS epiweek_start, CAST({_WEEK} + INTERVAL 6 DAY AS DATE) AS epiweek_enddate, CAST(SUM(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS pos, CAST(SUM(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS neg, COUNT(*) AS events FROM events WHERE {_CLOSED} GROUP BY ALL) SELECT *, CASE WHEN pos + neg >= 50 THEN CAST(pos AS DOUBLE) / (pos + neg) END AS posrate FROM g")
+def epiweek_append(spark, sf_dir):
+    """A week at a time, each delivery followed by events of the week before that come again, the last by events that are weeks late: closed weeks stay as they are."""
+    inbox, out = scratch(spark, "inbox"), scratch(spark, "closed")
+    schema = tb.SCHEMAS["events"].replace("timestamp_ntz", "timestamp")
+    events = spark.read.schema(schema).parquet(f"{sf_dir}/events.parquet")
+    day = weekly.epi_window(col("ts"))["start"]
+    weeks = [r[0] for r in events.select(day.alias("w")).distinct().orderBy("w").collect()]  # a calendar's few weeks
+    for i, week in enumerate(weeks):
+        rows = events.where(day == F.lit(week))
+        if i:
+            rows = rows.unionByName(events.where((day == F.lit(weeks[i - 1])) & (col("ts") >= F.lit(week) - F.expr("INTERVAL 3 DAYS"))))
+        if i == len(weeks) - 1:
+            rows = rows.unionByName(events.where(day == F.lit(weeks[0])).withColumn("event_id", -col("event_id") - 1))
+        rows.repartition(2).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+    counted = weekly.weekly_positivity(stream, "ts", col("event_type") == "purchase", col("event_type") == "view", event="event_id")
+    (
+        counted.writeStream.outputMode("append").format("parquet").option("checkpointLocation", scratch(spark, "state"))
+        .trigger(availableNow=True).start(out).awaitTermination()
+    )
+    return spark.read.schema(counted.schema).parquet(out)
+
+
 # -- tables from the written cubes -------------------------------------------
 
 

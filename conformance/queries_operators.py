@@ -8,14 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from conformance import frames, oracle_base as ob, oracle_labs
+from conformance import frames, oracle_base as ob, oracle_labs, oracle_matrices
 from conformance import testbed as tb
 from conformance.queries_labs import now
 from labwatch import labs_vocab as lv
 from labwatch import vocab
 from labwatch.functions import ages, convert, dates, keys, mapping, metrics, results, text
 from labwatch.operators import collapse, filters, joins, reshape, upsert, windows
-from labwatch.plans import archive, facts, panel, register, reports
+from labwatch.plans import archive, facts, matrices, panel, register, reports
 from labwatch.plans.labs import LABS
 from labwatch.plans.matrices import population
 from labwatch.session import checkpoint_dir
@@ -487,14 +487,14 @@ def dynamic_pivot(spark, sf_dir):
     return reshape.pivot_sum(rows, ["c_nationkey"], "c_mktsegment", F.lit(1), {s: f"{s} (SRAG)" for s in found})
 
 
-_MONTHLY = "SELECT strftime(date_testing, '%Y-%m') AS month, test_kit, COUNT(*) AS n FROM long_rows WHERE result = 1 AND lab_id = 'DASA' GROUP BY ALL"
+_MONTHLY = "SELECT strftime(date_testing, '%Y-%m') AS month, lab_id, test_kit, COUNT(*) AS n FROM long_rows GROUP BY ALL"
 
 
-@query("grid_fill", f"{LONG}, g AS ({_MONTHLY}) SELECT m.month, k.test_kit, COALESCE(g.n, 0) AS n FROM (SELECT DISTINCT strftime(date_testing, '%Y-%m') AS month FROM long_rows) m CROSS JOIN (SELECT DISTINCT test_kit FROM g) k LEFT JOIN g ON g.month = m.month AND g.test_kit = k.test_kit")
+@query("grid_fill", f"{LONG}, g AS ({_MONTHLY}) SELECT m.month, k.lab_id, k.test_kit, COALESCE(g.n, 0) AS n FROM (SELECT DISTINCT strftime(date_testing, '%Y-%m') AS month FROM long_rows) m CROSS JOIN (SELECT DISTINCT lab_id, test_kit FROM g) k LEFT JOIN g ON g.month = m.month AND g.test_kit = k.test_kit AND g.lab_id = k.lab_id")
 def grid_fill(spark, sf_dir):
     rows = tb.long_results(spark, sf_dir).withColumn("month", dates.year_month(col("date_testing")))
-    cells = rows.where((col("result") == 1) & (col("lab_id") == "DASA")).groupBy("month", "test_kit").agg(F.count("*").alias("n"))
-    return reshape.complete_buckets(cells, ["test_kit"], "month", reshape.calendar_values(rows, "month"), fill=0)
+    cells = rows.groupBy("month", "lab_id", "test_kit").agg(F.count("*").alias("n"))
+    return reshape.complete_buckets(cells, ["lab_id", "test_kit"], "month", reshape.calendar_values(rows, "month"), fill=0)
 
 
 # -- joins -------------------------------------------------------------------
@@ -566,13 +566,14 @@ def scalar_totals(spark, sf_dir):
     return counts.select("test_kit", "n", (col("n").cast("double") / total).alias("share"), newest.alias("newest"))
 
 
-_OUTER = f"{T}, {tb.DUCK_CASES}, a AS (SELECT dt, COUNT(*) AS tests FROM tests WHERE l_returnflag = 'A' AND l_partkey % 50 = 1 GROUP BY ALL), b AS (SELECT dt, COUNT(*) AS cases FROM cases WHERE o_custkey % 20 = 3 GROUP BY ALL)"
+_OUTER = "WITH a AS (SELECT CAST(l_shipdate AS DATE) AS dt, COUNT(*) AS tests FROM lineitem GROUP BY ALL), b AS (SELECT CAST(o_orderdate AS DATE) AS dt, COUNT(*) AS cases FROM orders GROUP BY ALL)"
 
 
 @query("full_outer_sources", f"{_OUTER} SELECT COALESCE(a.dt, b.dt) AS dt, a.tests, b.cases FROM a FULL OUTER JOIN b ON a.dt = b.dt")
 def full_outer_sources(spark, sf_dir):
-    a = tb.tests(spark, sf_dir).where((col("l_returnflag") == "A") & (col("l_partkey") % 50 == 1)).groupBy("dt").agg(F.count("*").alias("tests"))
-    b = tb.cases(spark, sf_dir).where(col("o_custkey") % 20 == 3).groupBy("dt").agg(F.count("*").alias("cases"))
+    """Days of one source or of both: shipping goes on after the last order."""
+    a = tb.table(spark, sf_dir, "lineitem").groupBy(col("l_shipdate").cast("date").alias("dt")).agg(F.count("*").alias("tests"))
+    b = tb.table(spark, sf_dir, "orders").groupBy(col("o_orderdate").cast("date").alias("dt")).agg(F.count("*").alias("cases"))
     return a.join(b, "dt", "full")
 
 
@@ -624,14 +625,15 @@ def upsert_keep_decisive(spark, sf_dir):
 
 _NOW2 = f"{ob.NOW_LOCAL} AS created_at, {ob.NOW_LOCAL} AS updated_at"
 _COLS = ", ".join(["lab_id", *vocab.PANEL_COLUMNS])
-_LAB_NAMES = ["DBMOL", "FLEURY", "SABIN", "HILAB"]
-_UNIONS = " UNION ".join(f"SELECT {_COLS} FROM labs WHERE lab_id = '{lab}' AND date_testing >= DATE '2024-01-01'" for lab in _LAB_NAMES)
+# the table of each laboratory by the name that its rows carry; those of the archive-only one stand for another's
+_LAB_TABLES = {"DBMOL": "DBMOL", "FLEURY": "FLEURY", "SABIN": "SABIN", "HILAB": "HILAB", "TARGET": "DASA"}
+_UNIONS = " UNION ".join(f"SELECT {_COLS} FROM (SELECT * REPLACE ('{lab}' AS lab_id) FROM labs WHERE lab_id = '{rows}') WHERE date_testing >= DATE '2024-01-01'" for lab, rows in _LAB_TABLES.items())
 
 
 @query("union_cutover", f"{SAMPLES}, {oracle_labs.ARCHIVE}, labs AS (SELECT *, {_NOW2} FROM samples) SELECT {_COLS} FROM archive_final WHERE date_testing < DATE '2024-01-01' AND lab_id NOT IN ('DASA') UNION SELECT {_COLS} FROM archive_final WHERE lab_id IN ('DASA') UNION {_UNIONS}")
 def union_cutover(spark, sf_dir):
     rows = upsert.stamp(frames.samples(spark, sf_dir), now())
-    labs = {lab: rows.where(col("lab_id") == lab).drop("lab_id") for lab in _LAB_NAMES}
+    labs = {lab: rows.where(col("lab_id") == name).drop("lab_id") for lab, name in _LAB_TABLES.items()}
     return panel.join_labs(archive.final(tb.raw_archive(spark, sf_dir), now()), labs)
 
 
@@ -715,6 +717,46 @@ def city_report(spark, sf_dir):
     return reports.city_report(frames.full_panel(spark, sf_dir))
 
 
-@query("headline_indicators")
+_VOLUME, _COUNTS = "matrix_30_Resp_bar_total_posneg_week_regions", "matrix_ALL_count_by_labid_testkit_pathogen_result"
+_MAIN, _OTHERS, _WIDE = "matrix_02_Resp_bar_pos_panel4_week_country_r", "matrix_06_Resp_line_posrate_direct_week_country_r", "matrix_07_Resp_bar_pos_panel20PLUS_week_country_r"
+
+
+def _headline_sql() -> str:
+    tables = oracle_matrices.sql()
+    spelled = f"COALESCE({ob.case_map('lower(trim(name))', vocab.LABEL_SPELLING)}, lower(trim(name)))"
+
+    def newest(name: str, pathogens: list[str]) -> str:
+        """The last week's row of a table, turned, with the share of its sum."""
+        week = '"semana epidemiológica"'
+        rows = " UNION ALL ".join(
+            f"SELECT {i} AS position, '{vocab.PATHOGEN_LABELS[p]}' AS name, CAST(\"{vocab.PATHOGEN_LABELS[p]}\" AS DOUBLE) AS value FROM last" for i, p in enumerate(pathogens)
+        )
+        return (
+            f"(WITH q AS MATERIALIZED ({tables[name]}), last AS (SELECT * FROM q WHERE {week} = (SELECT MAX({week}) FROM q)), x AS ({rows}) "
+            f"SELECT value, {spelled} AS name, CASE WHEN SUM(COALESCE(value, 0)) OVER () > 0 THEN COALESCE(value, 0) / SUM(COALESCE(value, 0)) OVER () * 100 ELSE 0 END AS share, "
+            "ROW_NUMBER() OVER (ORDER BY COALESCE(value, 0) DESC, position) AS place FROM x)"
+        )
+
+    whole = lambda v: f"CAST(floor({v} + 0.5) AS INTEGER)"
+    text = lambda v: f"name || ' (' || {whole(v)} || '%)'"
+    tops = ", ".join(
+        f"(SELECT name FROM main WHERE place = {i}) AS top_pathogen_{i}_name, (SELECT {whole('share')} FROM main WHERE place = {i}) AS top_pathogen_{i}_positive_share" for i in range(1, 5)
+    )
+    return (
+        f"WITH {ob.EPIWEEKS}, volume AS MATERIALIZED ({tables[_VOLUME]}), main AS MATERIALIZED {newest(_MAIN, matrices.FOUR)}, others AS MATERIALIZED {newest(_OTHERS, matrices.OTHERS)}, "
+        f"wide AS MATERIALIZED {newest(_WIDE, matrices.PANEL20)}, rest AS (SELECT place, {text('share')} AS part FROM wide WHERE place > 1 AND {whole('share')} > 0), "
+        "c AS (SELECT CAST(MAX(\"Semana Epidemiológica\") AS DATE) AS day FROM volume) "
+        "SELECT strftime(day, '%d/%m/%Y') AS lab_data_cutoff_date, "
+        f"(SELECT replace(format('{{:,}}', CAST(SUM(\"count\") AS BIGINT)), ',', '.') FROM ({tables[_COUNTS]})) AS total_results_cumulative, "
+        "(SELECT CAST(week_num AS VARCHAR) FROM epiweeks WHERE day BETWEEN start_date AND end_date) AS lab_data_cutoff_epiweek, "
+        f"{tops}, day(day) || '/' || month(day) AS sivep_data_extraction_date, "
+        f"(SELECT COALESCE(string_agg({text('value')}, ', ' ORDER BY place), '') FROM others WHERE value > 0) AS others_top_positivities, "
+        f"(SELECT name FROM wide WHERE place = 1) AS top_other_pathogen_name, (SELECT {whole('share')} FROM wide WHERE place = 1) AS top_other_pathogen_positive_share, "
+        "(SELECT COALESCE(CASE WHEN COUNT(*) > 1 THEN array_to_string(list(part ORDER BY place)[1:-2], ', ') || ' e ' || last(part ORDER BY place) ELSE MAX(part) END, '') FROM rest) AS other_pathogens_positive_shares "
+        "FROM c"
+    )
+
+
+@query("headline_indicators", _headline_sql())
 def headline_indicators(spark, sf_dir):
     return reports.headline(frames.source(spark, sf_dir, with_register=False))

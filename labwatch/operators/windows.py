@@ -27,6 +27,14 @@ def top_k(df: DataFrame, by: Sequence[str], score: str, k: int, ties: Sequence[s
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def sort_like_postgres(df: DataFrame, *keys: tuple[str, str]) -> DataFrame:
-    """Global sort with NULLs last when ascending and first when descending."""
-    return df.orderBy(*[F.col(c).desc_nulls_first() if way == "desc" else F.col(c).asc_nulls_last() for c, way in keys])
+def sort_like_postgres(df: DataFrame, *keys: tuple[str, str], last: Sequence[str] | None = None) -> DataFrame:
+    """Global sort with NULLs last when ascending and first when descending.
+
+    Rows with equal keys follow ``last``, by default all other columns: the
+    order is the same in every run, and the ranges of the sort can part rows
+    whose keys are equal instead of giving them all to one task.
+    """
+    if last is None:
+        last = [c for c in df.columns if c not in {k for k, _ in keys}]
+    ways = [F.col(f"`{c}`").desc_nulls_first() if way == "desc" else F.col(f"`{c}`").asc_nulls_last() for c, way in keys]
+    return df.orderBy(*ways, *[F.col(f"`{c}`").asc_nulls_last() for c in last])

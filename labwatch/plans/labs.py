@@ -381,15 +381,15 @@ def hpardini_fixed(typed: DataFrame) -> DataFrame:
 # -- Sabin -------------------------------------------------------------------
 
 
-def sabin_typed(raw: DataFrame, date_format: str = "M/d/yyyy") -> DataFrame:
-    """``date_format`` follows the file: month first by default, ``d/M/yyyy`` for day-first deliveries."""
+def sabin_typed(raw: DataFrame) -> DataFrame:
+    """Dates are month first; ``sources.header_repair`` finds day-first deliveries and turns theirs."""
     return computed_once(
         raw,
         F.col("OS").alias("test_id"),
         _norm("Estado").alias("state"),
         _norm("Municipio").alias("location"),
-        to_date(F.col("DataAtendimento"), date_format).alias("date_testing"),
-        to_date(F.col("DataNascimento"), date_format).alias("birth_date"),
+        to_date(F.col("DataAtendimento"), "M/d/yyyy").alias("date_testing"),
+        to_date(F.col("DataNascimento"), "M/d/yyyy").alias("birth_date"),
         F.col("Sexo").alias("sex"),
         F.col("Descricao").alias("exame"),
         F.col("Parametro").alias("detalhe_exame"),

@@ -13,8 +13,10 @@ from labwatch.functions.mapping import lookup_keep
 from labwatch.functions.metrics import half_up, thousands_dot
 from labwatch.operators.filters import latest
 from labwatch.operators.reshape import unpivot_tested
+from labwatch.operators.windows import sort_like_postgres
 from labwatch.plans.matrices import Source, build_matrix, shared
 from labwatch.plans.panel import for_reports
+from labwatch.sinks.files import as_text, write_delimited
 
 
 def city_report(panel: DataFrame, code: int = vocab.RIO_DE_JANEIRO_CODE, city: str = "Rio de Janeiro", state: str = "RJ") -> DataFrame:
@@ -28,6 +30,18 @@ def city_report(panel: DataFrame, code: int = vocab.RIO_DE_JANEIRO_CODE, city: s
     )
 
 
+#: File of the city report, tab-separated (fixed value of its reader).
+CITY_FILE = "report_ITpS2Epirio_respat.tsv"
+
+
+def export_city_report(panel: DataFrame, folder: str, **of: object) -> str:
+    """The city report as one tab-separated file, in a fixed order; gives its path."""
+    path = f"{folder}/{CITY_FILE}"
+    rows = sort_like_postgres(city_report(panel, **of), ("date_testing", "asc"), ("test_kit", "asc"))
+    write_delimited(as_text(rows), path, "\t", one_file=True, ordered=True)
+    return path
+
+
 def _measures(wide: DataFrame, week: str) -> DataFrame:
     """The newest week of a published table as (name, value) rows."""
     names = [c for c in wide.columns if c != week]

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Values every job needs whatever the cluster: UTC dates, adaptive planning,
@@ -31,20 +28,12 @@ def build_session(app: str = "labwatch", master: str | None = None, **conf: str)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that survives executor loss.
+    """The shared folder that survives executor loss: the one that ``spark.checkpoint.dir`` names.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    may fall back to a temporary folder, so that a cluster job never writes
-    lineage to a disk that dies with one machine.
+    Where it is unset, as in tests, a folder below the warehouse, which every
+    executor of a session reaches as well.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = os.path.join(tempfile.gettempdir(), f"labwatch-{spark.sparkContext.applicationId}")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return (spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints").rstrip("/")
 
 
 def materialize(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -78,12 +78,46 @@ def normalize_dates(df: DataFrame, column: str, patterns: Sequence[str], out: st
     return df.withColumn(column, F.date_format(to_mixed_date(F.col(f"`{column}`"), *patterns), out))
 
 
-def prepare(lab_id: str, df: DataFrame) -> DataFrame:
-    """What a laboratory's rows need between the file and its plan."""
+DAY_FIRST, MONTH_FIRST = "d/M/yyyy", "M/d/yyyy"
+
+
+def day_first_files(df: DataFrame, columns: Sequence[str], by: str = "file_name") -> list[str]:
+    """Files whose dates can only be read with the day first, from the ranges of the first two numbers.
+
+    One aggregate over all deliveries; the driver sees a row for each file
+    that is not plainly month first. A file in which both numbers exceed
+    twelve mixes the orders and is refused.
+    """
+    part = lambda c, i: F.regexp_extract(F.col(f"`{c}`"), r"^\s*([0-9]+)[-/]([0-9]+)[-/][0-9]+", i).try_cast("int")
+    highest = lambda i: F.max(F.greatest(*[part(c, i) for c in columns], F.lit(0)))
+    found = df.groupBy(by).agg(highest(1).alias("first"), highest(2).alias("second")).where(F.col("first") > 12).collect()
+    if mixed := [r[by] for r in found if r["second"] > 12]:
+        raise ValueError(f"days and months change places within {mixed}")
+    return [r[by] for r in found]
+
+
+def month_first(df: DataFrame, columns: Sequence[str], order: str | None = None, by: str = "file_name") -> DataFrame:
+    """Dates written month first, whatever order each delivery has them in.
+
+    Without ``order`` each file's own is found; files that fit both are taken
+    as month first. ``order`` (``d/M/yyyy`` or ``M/d/yyyy``) holds for all rows.
+    """
+    if order is None:
+        turned = F.coalesce(F.col(by).isin(day_first_files(df, columns, by)), F.lit(False))
+    else:
+        turned = F.lit(order == DAY_FIRST)
+    fixed = {c: F.when(turned, F.date_format(to_mixed_date(F.col(f"`{c}`"), DAY_FIRST), MONTH_FIRST)).otherwise(F.col(f"`{c}`")) for c in columns}
+    return df.withColumns(fixed)
+
+
+def prepare(lab_id: str, df: DataFrame, date_order: str | None = None) -> DataFrame:
+    """What a laboratory's rows need between the file and its plan. ``date_order`` overrides what the files show."""
     if lab_id == "HLAGYN":
         return repair_hlagyn(df)
     if lab_id == "EINSTEIN":
         return normalize_dates(df, "dh_coleta", ["d/M/yyyy", "yyyy-M-d"], "dd/MM/yyyy")
+    if lab_id == "SABIN":
+        return month_first(df, ["DataAtendimento", "DataNascimento"], date_order)
     if lab_id == "HPARDINI":
         return normalize_dates(df, "DATACOLETA", ["M/d/yyyy", "yyyy-M-d", "d/M/yyyy"], "yyyy-MM-dd")
     return df

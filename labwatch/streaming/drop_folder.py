@@ -66,7 +66,7 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(Storage(spark, checkpoint).read(f"{checkpoint}/metadata"))["id"]
 
 
-def deliver(spark: SparkSession, lab_id: str, paths: list[str], staging: str, quarantine: str | None, batch_id: int) -> DataFrame:
+def deliver(spark: SparkSession, lab_id: str, paths: list[str], staging: str, quarantine: str | None, batch_id: int, date_order: str | None = None) -> DataFrame:
     """Prepared rows of one batch of files, read once into the shared folder; broken rows go to the quarantine.
 
     The quarantine holds ``file_name`` and the raw line under the number of
@@ -81,7 +81,7 @@ def deliver(spark: SparkSession, lab_id: str, paths: list[str], staging: str, qu
         rows = spark.read.parquet(f"{staging}/{i}")
         if seen.get["broken"]:
             broken.append(rows.where(F.col(BROKEN).isNotNull()).select("file_name", BROKEN))
-        prepared.append(prepare(lab_id, rows.where(F.col(BROKEN).isNull()).drop(BROKEN)))
+        prepared.append(prepare(lab_id, rows.where(F.col(BROKEN).isNull()).drop(BROKEN), date_order))
     if broken:
         if quarantine is None:
             raise ValueError(f"rows with more fields than their header in {paths}")
@@ -92,6 +92,7 @@ def deliver(spark: SparkSession, lab_id: str, paths: list[str], staging: str, qu
 def ingest_lab(
     spark: SparkSession, lab_id: str, folder: str, table: str, checkpoint: str, now: Callable[[], Column] | None = None,
     pattern: str = "*.csv", archive: str | None = None, quarantine: str | None = None, per_batch: int = PER_BATCH, buckets: int = BUCKETS,
+    date_order: str | None = None,
 ) -> StreamingQuery:
     """Merge dropped files of a laboratory into its table, ``per_batch`` files at a time.
 
@@ -107,7 +108,7 @@ def ingest_lab(
         if state is None or state.applied.get(stream, -1) < batch_id:
             staging = f"{table}/_staging/{uuid.uuid4().hex}"
             try:
-                samples = plan.wide(deliver(spark, lab_id, paths, staging, quarantine, batch_id))
+                samples = plan.wide(deliver(spark, lab_id, paths, staging, quarantine, batch_id, date_order))
                 merge_into(spark, table, samples, lambda known, batch: final(plan, batch, known, clock()), buckets=buckets, once=(stream, batch_id))
             finally:
                 Storage(spark, table).delete(staging)
