@@ -295,3 +295,67 @@ def test_broken_rows_are_set_apart_and_files_archived(spark, tmp_path):
     assert tuples(spark.read.parquet(str(aside)), "file_name", "broken_line", "batch") == [("1.csv", "broken;" + row.format(9), 0), ("2.csv", row.format(3) + ";", 0)]
     assert not list(folder.glob("*.csv")) and sorted(p.name for p in done.rglob("*.csv")) == ["1.csv", "2.csv", "3.csv"]
     assert not list((table / "_staging").iterdir())
+
+
+def test_events_that_come_again_count_once(spark, tmp_path):
+    schema, folder = "id int, ts timestamp, ok boolean", tmp_path / "events"
+
+    def add(*events):
+        frame(spark, schema, *[(i, datetime(2024, 1, d, 12), True) for i, d in events]).coalesce(1).write.mode("append").parquet(str(folder))
+
+    for batch in ([(1, 2), (2, 3)], [(2, 3), (3, 5), (3, 5)], [(4, 20)], [(6, 20)], [(1, 2), (9, 2)], [(5, 28)]):  # lateness is judged by the watermark of the batch before
+        add(*batch)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    counted = weekly.weekly_positivity(stream, "ts", F.col("ok"), ~F.col("ok"), minimum=1, event="id")
+    counted.writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    closed = spark.read.parquet(str(tmp_path / "out"))
+    assert set(tuples(closed, "epiweek_enddate", "pos")) == {(date(2024, 1, 6), 3), (date(2024, 1, 20), 2)}
+    whole = weekly.weekly_positivity(spark.read.parquet(str(folder)), "ts", F.col("ok"), ~F.col("ok"), minimum=1, event="id")
+    assert (date(2024, 1, 6), 4) in tuples(whole, "epiweek_enddate", "pos")
+
+
+def test_each_delivery_shows_its_date_order(spark):
+    rows = frame(
+        spark, "DataAtendimento string, DataNascimento string, file_name string",
+        ("25/02/2024 08:00", "1/2/1990", "day"), ("03/02/2024", None, "day"), ("02/25/2024", "2/1/1990", "month"), ("03/02/2024", "x", "either"), (None, None, None),
+    )
+    fixed = header_repair.prepare("SABIN", rows)
+    assert tuples(fixed, "file_name", "DataAtendimento", "DataNascimento") == sorted(
+        [("day", "2/25/2024", "2/1/1990"), ("day", "2/3/2024", None), ("month", "02/25/2024", "2/1/1990"), ("either", "03/02/2024", "x"), (None, None, None)], key=repr
+    )
+    forced = header_repair.prepare("SABIN", rows, header_repair.DAY_FIRST)
+    assert ("either", "2/3/2024") in tuples(forced, "file_name", "DataAtendimento")
+    with pytest.raises(ValueError, match="mixed"):
+        header_repair.prepare("SABIN", frame(spark, "DataAtendimento string, DataNascimento string, file_name string", ("25/02/2024", None, "mixed"), ("02/25/2024", None, "mixed")))
+
+
+def test_exports_run_side_by_side(spark, tmp_path):
+    import threading
+
+    meet = threading.Barrier(3, timeout=60)
+
+    def run(i):
+        meet.wait()  # breaks unless three are under way at once
+        return spark.range(i).count(), spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+
+    assert files.at_once(spark, run, [1, 2, 3]) == [(1, "exports"), (2, "exports"), (3, "exports")]
+    with pytest.raises(ZeroDivisionError):
+        files.at_once(spark, lambda i: 1 // i, [1, 0, 2])
+    tables_ = {f"t{i}": frame(spark, "a int, b string", *[(k, "x") for k in range(i, 0, -1)]) for i in range(1, 6)}
+    paths = files.export_catalogue(tables_, str(tmp_path), None, {n: [("a", "desc")] for n in tables_})
+    assert [files.read_written(spark, p).count() for p in paths] == [1, 2, 3, 4, 5]
+
+
+def test_equal_keys_do_not_share_a_task(spark):
+    from labwatch.operators.windows import sort_like_postgres
+
+    rows = spark.range(4_000).selectExpr("1 AS k", "id % 2000 AS v")
+    parts = sort_like_postgres(rows, ("k", "asc"))
+    sizes = [r["n"] for r in parts.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        split = sort_like_postgres(rows, ("k", "asc")).rdd.glom().map(len).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == sum(split) == 4_000 and max(split) < 2_500
+    assert [r["v"] for r in parts.collect()][:4] == [0, 0, 1, 1]
