@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import uuid
 
@@ -44,6 +46,21 @@ def pieces(batches, most: int):
             yield batch.slice(start, step)
 
 
+def lean(run):
+    """A task function that gives its memory back when it ends: an idle worker holds nothing while others work."""
+
+    def leaned(*parts):
+        try:
+            yield from run(*parts)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only some C libraries can
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return leaned
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column one after another, and each row's start and end in them (n + 1 offsets)."""
     column = column.cast(pa.large_string())

@@ -3,17 +3,15 @@
 The model file is parsed from its wire format and rebuilt: precompiled
 character map, whitespace rules, the dummy prefix and the metaspace marker,
 unigram scores or the merges that a BPE model's scores imply, and byte
-fallback. Batches are encoded multithreaded. Where the vocabulary proves that
-no piece reaches from a word into the marker of the next one, each distinct
-word of a batch is encoded once. Parity with the sentencepiece library is
-verified for everything that was encoded.
+fallback. Batches of whole texts are encoded multithreaded, and the
+sentencepiece library proves each text: it must give the same ids, and must get
+the text back from them.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
-import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labwatch.llm.common import pieces, table, texts
+from labwatch.llm.common import lean, pieces, table, texts
 
-BATCH_BYTES, REMEMBERED = 4 << 20, 300_000
+BATCH_BYTES = 1 << 20
 MARK = "▁"
 #: Piece types and model types of the file format (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -39,6 +37,14 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def model_bytes(spark, path: str) -> bytes:
+    """A model file's bytes, half a megabyte: from the installed tokenizers or from any store Spark reads."""
+    if os.path.exists(path):
+        with open(path, "rb") as file:
+            return file.read()
+    return bytes(spark.read.format("binaryFile").load(path).first()["content"])
+
+
 @dataclass
 class Model:
     pieces: list[tuple[str, float, int]] = field(default_factory=list)
@@ -118,16 +124,14 @@ def merges(vocab: dict[str, int]) -> list[tuple[str, str]]:
 
 
 class Codec:
-    """Encodes and decodes with a rebuilt model, and keeps the words that sentencepiece encodes, or decoding gives back, otherwise."""
+    """Encodes and decodes with a rebuilt model; the sentencepiece library proves each text."""
 
-    def __init__(self, path: str, threads: int = 2, verify: bool = True):
+    def __init__(self, data: bytes, threads: int = 2, verify: bool = True):
         # read once, when the library first starts its pool
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true" if threads > 1 else "false")
         from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-        with open(path, "rb") as file:
-            data = file.read()
         self.model = m = parse_model(data)
         names = [p for p, _, _ in m.pieces]
         if any(kind == USER_DEFINED for _, _, kind in m.pieces):
@@ -146,17 +150,10 @@ class Codec:
         self.normalizer = normalizers.Sequence(steps) if steps else None
         out = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
         self.tokenizer.decoder = decoders.Sequence([*out, decoders.Strip(" ", 1, 0)] if m.dummy_prefix else out)
-        # a cut before a marker is safe if no piece holds a marker behind another character
-        free = m.byte_fallback and not any(MARK in p.lstrip(MARK) for p, _, k in m.pieces if k == NORMAL)
-        self.words = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall if free and m.escape else lambda t: [t] if t else []
-        self.known: dict[str, list[int]] = {}
-        self.differs: set[str] = set()
-        self.lossy: set[str] = set()
         self.proof = None
         if verify:
             import sentencepiece
 
-            # the library on texts that are normalised already: only the segmentation is left to do
             self.proof = sentencepiece.SentencePieceProcessor(model_proto=data)
 
     def normalize(self, text: str) -> str:
@@ -166,85 +163,64 @@ class Codec:
             text = " " + text
         return text.replace(" ", MARK) if self.model.escape else text
 
-    def plain(self, normalized: str) -> str:
-        """What decoding has to give: blanks for markers, without the dummy prefix."""
-        text = normalized.replace(MARK, " ") if self.model.escape else normalized
-        return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
-
-    def learn(self, words: set[str]) -> None:
-        new = sorted(words - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, self.differs, self.lossy = {}, set(), set()
-            new = sorted(words)
-        for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = e.ids
-        self.lossy.update(w for w, back in zip(new, self.decode([self.known[w] for w in new]), strict=True) if back != self.plain(w))
-        if self.proof:
-            self.differs.update(w for w, ids in zip(new, self.expected(new), strict=True) if ids != self.known[w])
-
-    def expected(self, words: list[str]) -> list[list[int]]:
-        """What sentencepiece makes of already normalised words."""
-        if not self.model.dummy_prefix:
-            return self.proof.encode(words, num_threads=1)
-        # the library adds its own marker: take one away where there is one; a word without any is proved behind another marker
-        own = self.proof.encode([w[1:] if w.startswith(MARK) else MARK + w for w in words], num_threads=1)
-        start = len(self.proof.encode(MARK)) if words else 0
-        alone = [self.proof.piece_to_id(MARK)]  # nothing would be left of it
-        return [alone if w == MARK else ids if w.startswith(MARK) else ids[start:] for w, ids in zip(words, own, strict=True)]
-
-    def encode(self, batch: list[str]) -> tuple[list[list[int]], list[bool], list[bool]]:
-        """Ids of each text, whether sentencepiece gives the same, and whether decoding gives the text back.
-
-        Words are cut before markers, where no character and no run of byte
-        pieces crosses, so a text decodes to what its words decode to.
-        """
-        whole = [self.normalize(t) for t in batch]
-        split = [self.words(t) for t in whole]
-        self.learn(set(chain.from_iterable(split)))
-        ids = [list(chain.from_iterable(map(self.known.__getitem__, row))) for row in split]
-        free = lambda odd: [not odd or odd.isdisjoint(row) for row in split]
-        back = [fine and self.plain(n) == t for fine, n, t in zip(free(self.lossy), whole, batch, strict=True)]
-        return ids, free(self.differs), back
+    def encode(self, batch: list[str]) -> list[list[int]]:
+        """The ids of each text; the library shares a batch among its threads."""
+        return [e.ids for e in self.tokenizer.encode_batch_fast([self.normalize(t) for t in batch], add_special_tokens=False)]
+
+    def parity(self, batch: list[str], ids: list[list[int]]) -> list[bool]:
+        """Whether sentencepiece gives the very ids for each whole text."""
+        return [own == mine for own, mine in zip(self.proof.encode(batch, num_threads=1), ids, strict=True)]
+
+    def round_trips(self, batch: list[str], ids: list[list[int]]) -> list[bool]:
+        """Whether sentencepiece gets each whole text back from the ids."""
+        return [back == t for back, t in zip(self.proof.decode(ids, num_threads=1), batch, strict=True)]
 
     def decode(self, batch: list[list[int]]) -> list[str]:
+        """Texts from ids, by the rebuilt model alone."""
         return self.tokenizer.decode_batch(batch, skip_special_tokens=False)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", threads: int = 2, verify: bool = True) -> DataFrame:
     """``docs`` with ``token_ids array<int>``, ``n_tokens``, ``parity`` and ``round_trip`` beside ``doc_id``.
 
-    ``parity``: sentencepiece gives the same ids (null if not verified).
-    ``round_trip``: decoding gives the text back; false for models whose
-    normaliser changes the text. Null texts count as empty: no ids. Repeated
-    rows give repeated rows; other columns are not read. The work is narrow.
+    ``parity``: the sentencepiece library gives the same ids for the whole
+    text. ``round_trip``: it gets the whole text back from them; false for
+    models whose normaliser changes the text, and for texts that hold the
+    marker. Both are null if not verified. Null texts count as empty: no ids.
+    Repeated rows give repeated rows, an empty table none; other columns are
+    not read. The work is narrow: batches are cut by bytes, and the model
+    travels with the task.
     """
+    data = model_bytes(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, threads, verify)
+        codec = Codec(data, threads, verify)
         for batch in pieces(batches, BATCH_BYTES):
             rows = texts(batch.column(1))
-            ids, same, back = codec.encode(rows)
+            ids = codec.encode(rows)
+            nothing = [None] * len(rows)
+            same, back = (codec.parity(rows, ids), codec.round_trips(rows, ids)) if verify else (nothing, nothing)
+            flat = [np.array(x, "<i4") for x in ids]
             offsets = np.cumsum([0, *map(len, ids)])
-            flat = pa.array(np.fromiter(chain.from_iterable(ids), np.int32, offsets[-1]))
             yield pa.record_batch(
                 {
                     "doc_id": batch.column(0), "n_tokens": pa.array(np.diff(offsets), pa.int64()),
-                    "token_ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat),
-                    "ids_sha256": pa.array([hashlib.sha256(np.asarray(x, "<i4").tobytes()).hexdigest() for x in ids], pa.string()),
-                    "parity": pa.array(same if verify else [None] * len(rows), pa.bool_()),
-                    "round_trip": pa.array(back, pa.bool_()),
+                    "token_ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat))),
+                    "ids_sha256": pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in flat], pa.string()),
+                    "parity": pa.array(same, pa.bool_()), "round_trip": pa.array(back, pa.bool_()),
                 }
             )
 
     schema = "doc_id long, n_tokens long, token_ids array<int>, ids_sha256 string, parity boolean, round_trip boolean"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(lean(run), schema)
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:
     """``doc_id, text`` from ids; null ids give a null text."""
+    data = model_bytes(tokens.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, verify=False)
+        codec = Codec(data, verify=False)
         for batch in pieces(batches, BATCH_BYTES):
             rows = batch.column(1).to_pylist()
             back = codec.decode([r or [] for r in rows])
