@@ -9,6 +9,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written_place(docs: DataFrame) -> DataFrame:
+    """``docs`` and ``written_place``: where each row stands in the files it was read from, in the order they were written.
+
+    Files of one job are numbered in the order of its partitions, so rows that
+    were written sorted stand in that order, whatever order a reader takes the
+    files in. Null for rows that come from no file, or from one named otherwise.
+    """
+    try:
+        name, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+        docs.select(name, row)
+    except AnalysisException:
+        return docs.withColumn("written_place", F.lit(None).cast("long"))
+    part = lambda i: F.regexp_extract(name, r"^part-([0-9]+)-.*-c([0-9]+)[.]", i).try_cast("long")
+    return docs.withColumn("written_place", F.shiftleft(part(1), 44).bitwiseOR(F.shiftleft(part(2), 36)).bitwiseOR(row))
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, a null being empty."""
     return F.coalesce(F.col(column), F.lit(""))

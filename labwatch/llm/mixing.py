@@ -6,12 +6,15 @@ have run by ``ceil(j / weight)``; of the released blocks the one with the
 earliest deadline goes next. On a single output this meets every window, so
 after any number of blocks no source is a whole block away from its target.
 
-Weights are parts of a fixed resolution, so the schedule repeats and only one
-period of it is computed, from the weights alone. When a source has run out,
-the rest go on with their weights to one another: a new phase. The documents
-never leave Spark: a document's place follows from its rank in its source, and
-ranks come from counts of hash buckets, so that no source, however large, has
-to be numbered in one task.
+Weights are taken as they are, as exact fractions, and so are release times
+and deadlines. Where the weights have a common measure the schedule repeats,
+and one period of it is computed; where they have none that is short, or the
+documents end before, as many slots are computed as there are. When a source
+has run out, the rest go on with their weights to one another: a new phase.
+Blocks grow with the number of documents, so that a schedule has a bounded
+number of slots whatever the weights. The documents never leave Spark: a
+document's place follows from its rank in its source, and ranks come from counts
+of hash buckets, so that no source, however large, has to be numbered in one task.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import heapq
 import json
 import math
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,56 +30,65 @@ from pyspark.sql.window import Window
 
 from labwatch.llm.common import table
 
-#: Documents in a block, parts that weights are rounded to, rows that one task numbers.
-BLOCK, RESOLUTION, BUCKET_ROWS = 64, 1000, 4_000
+#: Documents in a block at least, blocks at most (but for the last one of each source), rows that one task numbers.
+BLOCK, MOST_BLOCKS, BUCKET_ROWS = 64, 50_000, 4_000
 
 
-def parts(weights: dict[str, float], resolution: int) -> dict[str, int]:
-    """Weights as whole parts of at least ``resolution`` together, one part each at least (largest remainder)."""
-    total, resolution = sum(weights.values()), max(resolution, len(weights))
-    if total <= 0 or min(weights.values()) < 0:
-        raise ValueError("weights must not be negative, and one must be above zero")
-    exact = {k: w / total * resolution for k, w in weights.items()}
-    out = {k: max(1, math.floor(x)) for k, x in exact.items()}
-    for k in sorted(exact, key=lambda k: (math.floor(exact[k]) - exact[k], k)):
-        if sum(out.values()) >= resolution:
-            break
-        out[k] += 1
-    return out
+def shares(weights: dict[str, float]) -> dict[str, Fraction]:
+    """Each source's exact part of the whole."""
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    total = sum(exact.values())
+    return {k: w / total for k, w in exact.items()}
 
 
-def period(share: dict[str, int]) -> list[str]:
-    """The source of each slot of one period, by release time and earliest deadline."""
-    slots = sum(share.values())
-    waiting = [(0, -(-slots // c), k, 1) for k, c in share.items()]  # release, deadline, source, j
+def slots_of(share: dict[str, Fraction], blocks: dict[str, int]) -> tuple[list[str], bool]:
+    """The sources of the slots by release time and earliest deadline, and whether they are a whole period.
+
+    They end with a period, or with the slot in which a source's last block goes.
+    """
+    period = math.lcm(*(w.denominator for w in share.values()))
+    # the j-th block of a source: release floor((j - 1) / w), deadline ceil(j / w)
+    waiting = [(0, -(-w.denominator // w.numerator), k, 1) for k, w in share.items()]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
-    out = []
-    for now in range(slots):
-        while waiting and waiting[0][0] <= now:
+    out: list[str] = []
+    while len(out) < period:
+        while waiting and waiting[0][0] <= len(out):
             _, deadline, k, j = heapq.heappop(waiting)
             heapq.heappush(ready, (deadline, k, j))
-        deadline, k, j = heapq.heappop(ready)
+        _, k, j = heapq.heappop(ready)
         out.append(k)
-        if j < share[k]:
-            heapq.heappush(waiting, (j * slots // share[k], -(-(j + 1) * slots // share[k]), k, j + 1))
-    return out
-
-
-def schedule(blocks: dict[str, int], weights: dict[str, float], resolution: int = RESOLUTION) -> list[dict]:
-    """Phases: for each source still there, its first block, its slots in the period, the period and the first slot."""
-    done, base, rows, phase = dict.fromkeys(blocks, 0), 0, [], 0
-    while active := [k for k in sorted(blocks) if done[k] < blocks[k]]:
-        share = parts({k: weights[k] for k in active}, resolution)
-        order = period(share)
-        places = {k: [i for i, x in enumerate(order) if x == k] for k in active}
-        size = len(order)
-        last = lambda k, n: (n - 1) // share[k] * size + places[k][(n - 1) % share[k]]  # noqa: E731, B023  slot of the n-th block
-        end = min(last(k, blocks[k] - done[k]) for k in active) + 1
-        for k in active:
-            rows.append({"s": k, "phase": phase, "first": done[k], "base": base, "size": size, "places": places[k]})
-            done[k] += end // size * share[k] + sum(p < end % size for p in places[k])
-        base, phase = base + end, phase + 1
+        if j == blocks[k]:
+            return out, False
+        up, down = share[k].denominator, share[k].numerator
+        heapq.heappush(waiting, (j * up // down, -(-(j + 1) * up // down), k, j + 1))
+    return out, True
+
+
+def schedule(blocks: dict[str, int], weights: dict[str, float]) -> list[dict]:
+    """Phases: for each source that takes part, the number of its phase, its first block, its slots in the period, the period and the first slot.
+
+    Sources of weight zero follow when all others have ended, with equal weights.
+    """
+    if any(w < 0 for w in weights.values()):
+        raise ValueError("weights must not be negative")
+    done, base, rows, phases = dict.fromkeys(blocks, 0), 0, [], dict.fromkeys(blocks, 0)
+    while left := [k for k in sorted(blocks) if done[k] < blocks[k]]:
+        active = [k for k in left if weights[k] > 0]
+        share = shares({k: weights[k] for k in active} if active else dict.fromkeys(left, 1))
+        order, whole = slots_of(share, {k: blocks[k] - done[k] for k in share})
+        places: dict[str, list[int]] = {k: [] for k in share}
+        for i, k in enumerate(order):
+            places[k].append(i)
+        size, end = len(order), len(order)
+        if whole:  # the first source to end, in some later round of the period
+            end = min((n - 1) // len(places[k]) * size + places[k][(n - 1) % len(places[k])] for k in share if (n := blocks[k] - done[k])) + 1
+        for k in share:
+            if places[k]:
+                rows.append({"s": k, "phase": phases[k], "first": done[k], "base": base, "size": size, "places": places[k]})
+                phases[k] += 1
+            done[k] += end // size * len(places[k]) + sum(p < end % size for p in places[k])
+        base += end
     return rows
 
 
@@ -84,12 +97,13 @@ def source_key(column: str) -> Column:
     return F.when(F.col(column).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(column).cast("string")))
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source", key: str = "doc_id", block: int = BLOCK, resolution: int = RESOLUTION, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source", key: str = "doc_id", block: int = BLOCK, most_blocks: int = MOST_BLOCKS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``row struct`` (all columns of ``docs``), ``block``, ``slot`` and ``position`` for every row.
 
     ``weights`` gives a target weight by source (``None`` is the null source);
     without it all sources weigh the same. A source that it doesn't name has
-    the weight 0.0, which rounding makes one part: nothing is dropped.
+    the weight zero and follows when the others have ended: nothing is dropped.
+    A block has ``block`` rows, or so many more that there are ``most_blocks``.
     ``slot`` is the place of the row's block, ``position`` the row's place
     (``slot * block`` plus its place in the block, so the last block of a
     source may leave a gap). Within a source rows follow a hash of ``key``;
@@ -100,12 +114,9 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), source_key(source).alias("s"), F.xxhash64(F.col(key)).alias("h"))
     # one row for each source, as many as a table of target weights has
     counts = {r["s"]: r["n"] for r in docs.select(source_key(source).alias("s")).groupBy("s").agg(F.count("*").alias("n")).collect()}
-    given = {k: 1.0 for k in counts} if weights is None else {("n" if k is None else f"s{k}"): float(w) for k, w in weights.items()}
-    named = {k: given.get(k, 0.0) for k in counts}
-    if counts and not sum(named.values()):
-        named = dict.fromkeys(counts, 1.0)
-    floor = min((w for w in named.values() if w > 0), default=1.0) * 1e-9  # a phase of weightless sources alone mixes them evenly
-    plan = schedule({k: -(-n // block) for k, n in counts.items()}, {k: w or floor for k, w in named.items()}, resolution)
+    given = dict.fromkeys(counts, 1.0) if weights is None else {("n" if k is None else f"s{k}"): w for k, w in weights.items()}
+    block = max(block, -(-sum(counts.values()) // most_blocks))
+    plan = schedule({k: -(-n // block) for k, n in counts.items()}, {k: given.get(k, 0) for k in counts})
     buckets = max(1, -(-sum(counts.values()) // bucket_rows))
 
     rows = rows.withColumn("bucket", F.pmod("h", F.lit(buckets)))
@@ -126,7 +137,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     turn = F.col("block") - F.col("first")
     per = F.size("places")
     slot = F.col("base") + F.floor(turn / per) * F.col("size") + F.get("places", (turn % per).cast("int"))
-    return placed.select("row", "block", slot.alias("slot")  , (slot * block + F.col("within")).alias("position"))
+    return placed.select("row", "block", slot.alias("slot"), (slot * block + F.col("within")).alias("position"))
 
 
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, **options) -> DataFrame:

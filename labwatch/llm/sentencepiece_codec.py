@@ -180,13 +180,14 @@ class Codec:
         return self.tokenizer.decode_batch(batch, skip_special_tokens=False)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", threads: int = 2, verify: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", threads: int = 2, verify: bool = True, place: str | None = None) -> DataFrame:
     """``docs`` with ``token_ids array<int>``, ``n_tokens``, ``parity`` and ``round_trip`` beside ``doc_id``.
 
     ``parity``: the sentencepiece library gives the same ids for the whole
     text. ``round_trip``: it gets the whole text back from them; false for
     models whose normaliser changes the text, and for texts that hold the
-    marker. Both are null if not verified. Null texts count as empty: no ids.
+    marker. Both are null if not verified. ``place`` names a long column that
+    comes along as ``position``. Null texts count as empty: no ids.
     Repeated rows give repeated rows, an empty table none; other columns are
     not read. The work is narrow: batches are cut by bytes, and the model
     travels with the task.
@@ -208,11 +209,13 @@ def encode(docs: DataFrame, path: str, text: str = "text", threads: int = 2, ver
                     "token_ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat))),
                     "ids_sha256": pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in flat], pa.string()),
                     "parity": pa.array(same, pa.bool_()), "round_trip": pa.array(back, pa.bool_()),
+                    **({"position": batch.column(2)} if place else {}),
                 }
             )
 
-    schema = "doc_id long, n_tokens long, token_ids array<int>, ids_sha256 string, parity boolean, round_trip boolean"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(lean(run), schema)
+    schema = "doc_id long, n_tokens long, token_ids array<int>, ids_sha256 string, parity boolean, round_trip boolean" + (", position long" if place else "")
+    along = [F.col(place).cast("long").alias("position")] if place else []
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), *along).mapInArrow(lean(run), schema)
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:

@@ -1,9 +1,12 @@
 """Operators that compare rows, against brute force."""
 
 import hashlib
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
+import pytest
 
 from labwatch.llm import line_dedup, mixing, multi_index, ngram_join, suffix_dedup
 
@@ -35,14 +38,50 @@ def changed(draw, items, fresh, most):
 # mixing
 
 
-def test_schedule_stays_within_a_block():
-    for weights in ({"a": 1, "b": 1, "c": 1}, {"a": 5, "b": 3, "c": 1, "d": 0.5}, {"a": 1000, "b": 1}):
-        share = mixing.parts(weights, 1000)
-        order = mixing.period(share)
-        size = len(order)
-        for k, c in share.items():
-            done = np.cumsum([x == k for x in order])
-            assert abs(done - np.arange(1, size + 1) * c / size).max() < 1 and done[-1] == c
+def laid_out(plan, blocks):
+    """The source of each slot of a schedule."""
+    out = {}
+    rounds = {}
+    for r in plan:
+        rounds.setdefault(r["s"], []).append(r)
+    for s, phases in rounds.items():
+        for j in range(blocks[s]):
+            r = max((p for p in phases if p["first"] <= j), key=lambda p: (p["first"], p["phase"]))
+            turn = j - r["first"]
+            slot = r["base"] + turn // len(r["places"]) * r["size"] + r["places"][turn % len(r["places"])]
+            assert slot not in out
+            out[slot] = s
+    assert sorted(out) == list(range(len(out)))
+    return [out[i] for i in range(len(out))]
+
+
+def test_schedule_stays_within_a_block_of_the_given_weights():
+    """At every slot until a source ends, for weights with and without a common measure."""
+    cases = (
+        {"a": 1, "b": 1, "c": 1}, {"a": 0.9996, "b": 0.0004}, {"a": math.sqrt(2), "b": math.pi, "c": math.e}, {"a": 5, "b": 3, "c": 1, "d": 0.5},
+        {f"s{i}": 1 for i in range(7)}, {"a": 1000, "b": 1}, {f"s{i}": 1 / (i + 1) for i in range(12)}, {"a": 1e-9, "b": 1},
+    )
+    for weights in cases:
+        total = sum(map(Fraction, weights.values()))
+        blocks = {k: int(100_000 * Fraction(w) / total) + 2 for k, w in weights.items()}
+        order = laid_out(mixing.schedule(blocks, weights), blocks)
+        done = dict.fromkeys(weights, 0)
+        for i, s in enumerate(order, 1):
+            done[s] += 1
+            if i % 97 == 0 or i < 2_000:
+                assert all(abs(done[k] - i * Fraction(w) / total) < 1 for k, w in weights.items())
+            if done[s] == blocks[s]:
+                break
+        assert i > 50_000
+
+
+def test_sources_without_weight_come_last():
+    blocks = {"a": 5, "b": 7, "c": 3, "d": 4}
+    order = laid_out(mixing.schedule(blocks, {"a": 2, "b": 1, "c": 0, "d": 0}), blocks)
+    assert set(order[:12]) == {"a", "b"} and order[12:] == ["c", "d", "c", "d", "c", "d", "d"]
+    assert mixing.schedule({}, {}) == []
+    with pytest.raises(ValueError):
+        mixing.schedule({"a": 1}, {"a": -1})
 
 
 def test_mix_keeps_every_row_and_its_share(spark):
