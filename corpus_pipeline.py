@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labwatch.llm import line_dedup, mixing, ngram_join, sentencepiece_codec, toxicity
-from labwatch.llm.common import sessions_checkpoint, table
+from labwatch.llm.common import sessions_checkpoint, table, written_place
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +37,11 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with the proof that they decode to its text."""
-    return sentencepiece_codec.encode(docs, sentencepiece_codec.model_path())
+    """Token ids of every document, with the proof that they decode to its text.
+
+    ``position`` keeps the order of the mix, which readers of its files don't.
+    """
+    return sentencepiece_codec.encode(written_place(docs), sentencepiece_codec.model_path(), place="written_place")
 
 
 STAGES = [
