@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,17 +64,22 @@ def pieces(batches, most: int):
             yield batch.slice(start, step)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def lean(run):
     """A task function that gives its memory back when it ends: an idle worker holds nothing while others work."""
 
-    def leaned(*parts):
+    def leaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            yield from run(*parts)
+            yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # only some C libraries can
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return leaned
 

@@ -11,8 +11,8 @@ as its pivots. The join uses two kinds.
   stands in a dense part of the space. Dense documents are dealt to the
   Voronoi regions of document pivots; the triangle inequality tells which
   documents beyond the border a region needs (its window). Regions that are
-  still large are split again, and what doesn't separate is joined block by
-  block. No pair is given up anywhere.
+  still large are split again while that parts them, and what doesn't separate
+  is joined block by block. No pair is given up anywhere.
 
 Texts with equal sets are one class from the start. Pivots that share a least
 hash with many documents link most near copies first; from then on only pairs
@@ -25,12 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from labwatch.llm.bloom import bloom, bloom_places
-from labwatch.llm.common import U64, kept, mix, pieces, table, written
+from labwatch.llm.common import U64, kept, lean, mix, pieces, table, written
 from labwatch.llm.shingles import shingle_sets
 
 #: Link two documents when 100 * intersection >= PERCENT * union.
@@ -39,8 +39,10 @@ PERCENT = 80
 RARE, COMMON = 16, 1_000_000
 #: A document looks at one more of its first shingles for every so many it has, and has to share as many more.
 MORE = 10
-#: Least hashes of a document, how many a document pivot shares, pivots of a split, documents of a region that is joined at once, splits in a row.
-HASHES, AGREE, PIVOTS, LEAF, LEVELS = 4, 3, 16, 1_024, 4
+#: Least hashes of a document, how many a document pivot shares, pivots of a split.
+HASHES, AGREE, PIVOTS = 4, 3, 16
+#: Shingles of a region that is joined at once, and how much larger its parts may be together than a region that is split.
+LEAF, GROWTH = 4_000_000, 2.0
 BATCH_BYTES, HELD_TOKENS, GROUP_BYTES = 4 << 20, 3_000_000, 8 << 20
 OWNER = np.dtype([("cls", "<u8"), ("n", "<u2"), ("least", "<u2")])
 
@@ -50,7 +52,7 @@ def as_long(x: np.ndarray) -> pa.Array:
 
 
 def batches_of(docs: DataFrame, text: str, run, schema: str, *more: str) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), *more).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"), *more).mapInArrow(lean(run), schema)
 
 
 def classes_of(tokens: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -339,65 +341,103 @@ def split(rows: pa.Table, pivots: pa.Table) -> pa.Table:
     put(np.flatnonzero(core & ~home), -1, True)
     put(np.flatnonzero((least >= near - limit - eps) & ~(core & ~home)), -1, False)
     at = np.concatenate(out_row)
-    names = [f"{r}.{j}" for r, j in zip(rows.column("region").take(pa.array(at)).to_pylist(), np.concatenate(out_region), strict=True)]
-    return pa.table({"region": pa.array(names, pa.string()), "cls": rows.column("cls").take(pa.array(at)), "comp": rows.column("comp").take(pa.array(at)), "core": pa.array(np.concatenate(out_core))})
+    take = lambda c: rows.column(c).take(pa.array(at))
+    names = [f"{r}.{j}" for r, j in zip(take("region").to_pylist(), np.concatenate(out_region), strict=True)]
+    return pa.table({"parent": take("region"), "region": pa.array(names, pa.string()), "cls": take("cls"), "comp": take("comp"), "core": pa.array(np.concatenate(out_core)), "n": take("n")})
 
 
 def join_region(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links between components among the documents of one region: a forest that joins whatever links."""
+    """Links between components among the documents of one region: a forest that joins whatever links.
+
+    Sets that link share one of their first shingles in the region's own
+    order, rarest first. Documents come by size; each meets the ones before it
+    that share a first shingle and are of another component by now, and the
+    sets of all these are compared at a time.
+    """
     rows = pa.Table.from_batches(group)
-    sets = [np.frombuffer(x.as_buffer(), U64) for x in rows.column("tokens").combine_chunks()]
-    cls, core = rows.column("cls").to_numpy(), rows.column("core").to_numpy()
+    order = np.argsort(rows.column("n").to_numpy(), kind="stable")
+    rows = rows.take(pa.array(order))
+    cls, core, sizes = rows.column("cls").to_numpy(), rows.column("core").to_numpy(zero_copy_only=False), rows.column("n").to_numpy()
     _, label = np.unique(rows.column("comp").to_numpy(), return_inverse=True)
-    sizes = np.array([len(s) for s in sets])
-    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    flat = np.concatenate([np.frombuffer(x.as_buffer(), U64) for x in rows.column("tokens").combine_chunks()])
+    del rows
+    _, token, common = np.unique(flat, return_inverse=True, return_counts=True)
+    del flat
     starts = np.r_[0, np.cumsum(sizes)]
-    mark = np.zeros(token.max() + 1, bool)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    # shingles by document, rare ones first, and of these the ones that a link must share
+    token = token[np.lexsort((token, common[token], of))]
+    place = np.arange(len(token)) - starts[of]
+    first = place < (sizes - -(-PERCENT * sizes // 100) + 1)[of]
+    posted = np.lexsort((of[first], token[first]))
+    posting, key = of[first][posted], token[first][posted]
+    begin, end = np.searchsorted(key, token), np.searchsorted(key, token, side="right")
+    mark = np.zeros(len(common), bool)
     a, b = [], []
-    for i in range(len(sets) - 1):
-        rest = slice(i + 1, None)
-        open_ = (label[rest] != label[i]) & (core[i] | core[rest]) & (100 * np.minimum(sizes[i], sizes[rest]) >= PERCENT * np.maximum(sizes[i], sizes[rest]))
-        if not open_.any():
+    for i in range(1, len(sizes)):
+        own = slice(starts[i], starts[i + 1])
+        lists = [posting[x:y] for x, y in zip(begin[own][first[own]], end[own][first[own]], strict=True)]
+        near = np.unique(np.concatenate(lists))
+        near = near[: np.searchsorted(near, i)]
+        near = near[(label[near] != label[i]) & (core[near] | core[i]) & (100 * sizes[near] >= PERCENT * sizes[i])]
+        if not len(near):
             continue
-        own = token[starts[i] : starts[i + 1]]
-        mark[own] = True
-        for j in np.flatnonzero(open_) + i + 1:
-            if label[j] != label[i] and links(int(mark[token[starts[j] : starts[j + 1]]].sum()), sizes[i], sizes[j]):
-                a.append(cls[i])
-                b.append(cls[j])
+        mark[token[own]] = True
+        n = sizes[near]
+        head = np.r_[0, np.cumsum(n)]
+        at = np.arange(head[-1]) - np.repeat(head[:-1], n) + np.repeat(starts[near], n)
+        inter = np.add.reduceat(mark[token[at]].astype(np.int64), head[:-1])
+        mark[token[own]] = False
+        for j in near[100 * inter >= PERCENT * (n + sizes[i] - inter)]:
+            if label[j] != label[i]:
+                a.append(cls[j])
+                b.append(cls[i])
                 label[label == label[j]] = label[i]
-        mark[own] = False
     yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def dense_links(dense: DataFrame, sets: DataFrame, comps: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS, levels: int = LEVELS) -> DataFrame:
-    """Links between components among the dense classes, by document pivots."""
+def dense_links(dense: DataFrame, sets: DataFrame, comps: DataFrame, leaf: int = LEAF, pivots: int = PIVOTS, growth: float = GROWTH) -> DataFrame:
+    """Links between components among the dense classes, by document pivots.
+
+    Regions of at most ``leaf`` shingles are joined at once. Larger ones are
+    split by pivots while that makes less of them; where a part would hold more
+    than half of the region, or all parts with their windows ``growth`` times
+    as much, its documents lie too close together for any pivot to part them,
+    and it is joined block by block.
+    """
     spark = dense.sparkSession
-    rows = kept(dense.select(F.lit("0").alias("region"), "cls").join(comps, "cls", "left").select("region", "cls", F.coalesce("comp", "cls").alias("comp"), F.lit(True).alias("core")))
+    n = sets.select("cls", F.floor(F.octet_length("tokens") / 8).alias("n"))
+    rows = kept(dense.distinct().join(n, "cls").join(comps, "cls", "left").select(F.lit("0").alias("region"), "cls", F.coalesce("comp", "cls").alias("comp"), F.lit(True).alias("core"), "n"))
     found = spark.createDataFrame([], "a long, b long")
-    region = "region string, cls long, comp long, core boolean"
-    for level in range(levels + 1):
-        sizes = rows.groupBy("region").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("core").alias("any")).filter("low != high and any")
-        sizes = kept(sizes.select("region", "size"))
-        rows = rows.join(sizes, "region")
-        small = rows.filter(F.col("size") <= leaf) if level < levels else rows
-        # beyond the last split large regions are joined block by block, all pairs of blocks
-        blocks = F.ceil(F.col("size") * 2 / leaf) if level == levels else F.lit(1)
-        small = small.withColumn("blocks", F.greatest(blocks, F.lit(1)).cast("int")).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-        small = small.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-        with_sets = small.join(sets, "cls").select("region", "low", "high", "cls", "comp", "core", "tokens")
-        found = found.unionAll(kept(with_sets.groupBy("region", "low", "high").applyInArrow(join_region, "a long, b long")))
-        large = kept(rows.filter(F.col("size") > leaf)) if level < levels else None
-        if large is None or not large.limit(1).count():
+
+    def joined(rows: DataFrame, blocks: Column) -> DataFrame:
+        dealt = rows.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+        with_sets = dealt.join(sets, "cls").select("region", "low", "high", "cls", "comp", "core", "n", "tokens")
+        return kept(with_sets.groupBy("region", "low", "high").applyInArrow(lean(join_region), "a long, b long"))
+
+    level = 0
+    while True:
+        sizes = rows.groupBy("region").agg(F.sum("n").alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max("core").alias("any")).filter("c0 != c1 and any")
+        rows = kept(rows.join(sizes.select("region", "size"), "region"))
+        found = found.unionAll(joined(rows.filter(F.col("size") <= leaf), F.lit(1)))
+        large = rows.filter(F.col("size") > leaf)
+        if large.isEmpty():
             return found
         chosen = large.filter("core").withColumn("turn", F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("cls", F.lit(level)), "cls"))).filter(F.col("turn") <= pivots)
         dealt = large.withColumn("salt", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / leaf)).cast("int"))
         salts = dealt.select("region", "salt").distinct()
         centers = chosen.select("region", "cls").join(sets, "cls").join(salts, "region").select(F.col("region").alias("p_region"), F.col("salt").alias("p_salt"), F.col("tokens").alias("p_tokens"))
-        members = dealt.join(sets, "cls").select("region", "salt", "cls", "comp", "core", "tokens")
-
-        rows = kept(members.groupBy("region", "salt").cogroup(centers.groupBy("p_region", "p_salt")).applyInArrow(split, region))
-    return found
+        members = dealt.join(sets, "cls").select("region", "salt", "cls", "comp", "core", "n", "tokens")
+        parted = kept(members.groupBy("region", "salt").cogroup(centers.groupBy("p_region", "p_salt")).applyInArrow(split, "parent string, region string, cls long, comp long, core boolean, n long"))
+        whole = large.select(F.col("region").alias("parent"), "size").distinct()
+        parts = parted.groupBy("parent", "region").agg(F.sum("n").alias("part")).groupBy("parent").agg(F.sum("part").alias("held"), F.max("part").alias("most"))
+        # every part has half of its region at most, so the splits come to an end
+        dense_ = kept(parts.join(whole, "parent").filter((F.col("held") > growth * F.col("size")) | (F.col("most") * 2 > F.col("size"))).select("parent"))
+        stuck = large.join(dense_.withColumnRenamed("parent", "region"), "region", "left_semi")
+        found = found.unionAll(joined(stuck, F.greatest(F.ceil(F.col("size") * 2 / leaf), F.lit(2))))
+        rows = parted.join(dense_, "parent", "left_anti").select("region", "cls", "comp", "core", "n")
+        level += 1
 
 
 def ngram_join(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labwatch.llm.common import pieces, table, texts
+from labwatch.llm.common import give_back, lean, pieces, table, texts
 
 #: Labelled rows of each kind that the classifier is fitted on, at most (the rows with the least hash).
 TOXIC_ROWS, ORDINARY_ROWS = 2_000, 6_000
@@ -168,6 +168,8 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordi
     distance = Distance(*contents)
     rows = [(t, 1) for t in half(toxic, 1)] + [(t, 0) for t in half(ordinary, 1)]
     weights = fit(np.array([distance.features(t) for t, _ in rows]), np.array([y for _, y in rows], float))
+    del toxic, ordinary, distance, rows
+    give_back()  # the driver goes on with other work
     return *contents, weights.tolist()
 
 
@@ -190,7 +192,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, *
             yield pa.record_batch({"row": batch.column(0), "score": pa.array(score, pa.float64())})
 
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    scored = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double") if model else rows.withColumn("score", F.lit(0.0))
+    scored = rows.mapInArrow(lean(run), f"row {rows.schema['row'].dataType.simpleString()}, score double") if model else rows.withColumn("score", F.lit(0.0))
     return scored.select("row", F.coalesce(held_out(F.col("row.doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 

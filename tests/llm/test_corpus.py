@@ -263,13 +263,42 @@ def test_ngram_join(spark):
     assert ngram_join.ngram_join(df.limit(0)).count() == 0
 
 
-def test_ngram_join_splits_dense_regions(spark, monkeypatch):
+@pytest.mark.parametrize("leaf, growth", [(1_500, 4.0), (1_500, 0.0), (10**6, 2.0)])
+def test_ngram_join_splits_dense_regions(spark, monkeypatch, leaf, growth):
+    """By pivots, block by block, and at once."""
     monkeypatch.setattr(ngram_join, "RARE", 3)
-    monkeypatch.setattr(ngram_join.dense_links, "__defaults__", (20, 4, 2))
+    monkeypatch.setattr(ngram_join.dense_links, "__defaults__", (leaf, 4, growth))
     docs = near_copies(2, 250)
     assert components(spark, docs) == brute_components(docs)
 
 
+def test_region_of_near_copies():
+    """Thousands of sets around one, many of them further apart than a link, against all pairs."""
+    import pyarrow as pa
+
+    draw = np.random.default_rng(8)
+    base = draw.choice(1 << 20, 60, replace=False)
+    sets = [np.unique(np.r_[draw.choice(base, draw.integers(40, 60), replace=False), draw.choice(1 << 20, draw.integers(0, 12))]).astype(np.uint64) for _ in range(500)]
+    core = draw.random(500) < 0.9
+    comp = draw.integers(0, 300, 500)
+    batch = pa.record_batch({"cls": pa.array(np.arange(500)), "comp": pa.array(comp), "core": pa.array(core), "n": pa.array([len(s) for s in sets]), "tokens": pa.array([s.tobytes() for s in sets])})
+    up = {int(c): int(c) for c in comp}
+    top = lambda k: k if up[k] == k else top(up[k])
+    mine = dict(up)
+    mine_top = lambda k: k if mine[k] == k else mine_top(mine[k])
+    for i in range(500):
+        for j in range(i):
+            inter = len(np.intersect1d(sets[i], sets[j]))
+            if (core[i] or core[j]) and 100 * inter >= 80 * (len(sets[i]) + len(sets[j]) - inter):
+                up[top(comp[i])] = top(comp[j])
+    for out in ngram_join.join_region(iter([batch])):
+        for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+            assert mine_top(comp[a]) != mine_top(comp[b])  # no link is given twice
+            mine[mine_top(comp[a])] = mine_top(comp[b])
+    groups = lambda t: {frozenset(c for c in up if t(c) == r) for r in {t(c) for c in up}}
+    assert groups(top) == groups(mine_top) and len(groups(top)) < 250
+
+
 # vectors
 
 
