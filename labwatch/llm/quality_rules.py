@@ -75,3 +75,28 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+def sql() -> str:
+    """The same rows in DuckDB: words, windows and lines as rows, rules by the same expressions."""
+    quoted = lambda p: "'" + p.replace("'", "''") + "'"
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    letters_ = lambda x: f"length(translate({x}, {blanks}, ''))"
+    symbols = lambda x: f"(length({x}) - length(translate({x}, '{SYMBOLS}', '')))"
+    fails = (
+        f"({symbols('line')} * 100 > {letters_('line')} * {MAX_SYMBOL_PERCENT} OR (len(regexp_split_to_array(bare, ' +')) < {FRAGMENT_WORDS} AND NOT regexp_matches(bare, {quoted(END_MARKS)})) "
+        f"OR regexp_matches(bare, {quoted(NAVIGATION)}) OR regexp_matches(bare, {quoted(BOILERPLATE)}))"
+    )
+    return f"""
+    WITH d AS MATERIALIZED (SELECT row_number() OVER () AS id, doc_id::BIGINT AS doc_id, coalesce(text, '') AS t FROM documents),
+    w AS MATERIALIZED (SELECT id, list_filter(regexp_split_to_array(t, '{SPACE}'), lambda x: x <> '') AS w FROM d),
+    places AS (SELECT id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w),
+    windows AS MATERIALIZED (SELECT id, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS k FROM places),
+    twice AS (SELECT id, k FROM windows GROUP BY ALL HAVING count(*) > 1),
+    covered AS (SELECT id, count(DISTINCT p) AS n FROM (SELECT id, unnest(range(i, i + {WINDOW})) AS p FROM windows JOIN twice USING (id, k)) GROUP BY id),
+    lines AS (SELECT id, line, trim(translate(line, chr(9) || chr(11) || chr(12) || chr(13), '    '), ' ') AS bare FROM (SELECT id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE {letters_('line')} > 0),
+    l AS (SELECT id, count(*) - count(DISTINCT line) AS dup, sum(CASE WHEN {fails} THEN {letters_('line')} ELSE 0 END) AS lost FROM lines GROUP BY id),
+    r AS (SELECT doc_id, len(w) AS n_words, {letters_('t')} AS word_chars, {symbols('t')} AS n_symbols, coalesce(dup, 0) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, coalesce(lost, 0)::BIGINT AS lost_chars
+          FROM d JOIN w USING (id) LEFT JOIN l USING (id) LEFT JOIN covered USING (id)),
+    b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM r)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND 100 * lost_chars <= {MAX_LOST_PERCENT} * word_chars AS kept, lost_chars FROM b"""
