@@ -495,3 +495,18 @@ def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
+
+
+#: The same rows in DuckDB: all pairs that share a shingle, and whatever links reach. For small tables.
+SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id::BIGINT AS doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS k FROM d)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n, md5(string_agg(k, chr(10) ORDER BY k)) AS h FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {PERCENT} * (x.n + y.n - c)),
+e AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT x, b FROM reach JOIN e ON y = a),
+least AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x),
+same AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS class_id FROM n)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(class_id, doc_id) AS class_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id) LEFT JOIN same USING (doc_id)"""

@@ -23,7 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_whitening": whitening.op12_whitening,
     "op13_fill_middle": fill_middle.op13_fill_middle,
 }
-SQL: dict[str, str] = {"op2_quality_rules": quality_rules.sql(), "op11_pii": pii.sql(), "op13_fill_middle": fill_middle.SQL}
+SQL: dict[str, str] = {"op2_quality_rules": quality_rules.sql(), "op10_ngram_join": ngram_join.SQL, "op11_pii": pii.sql(), "op13_fill_middle": fill_middle.SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

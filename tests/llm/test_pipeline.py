@@ -1,7 +1,12 @@
 """The stages in a row, and the registered queries on the smallest tables."""
 
+import pytest
+
 import __spark_entry__
 import corpus_pipeline
+from conformance.check import compare
+from conformance.testbed import TABLES
+from labwatch.llm import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,5 +32,23 @@ def test_run(spark):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names} and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= set(names)
+
+
+@pytest.mark.parametrize("name", sorted(registry.SQL))
+def test_query_agrees_with_sql(spark, name):
+    verdict, *_ = compare(spark, registry.QUERIES[name], registry.SQL[name], SF, TABLES)
+    assert verdict == "ok", verdict
+
+
+def test_the_order_of_the_mix_reaches_the_end(spark, tmp_path):
+    """Files of the mix, read in any order, still tell where each row stood."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(100)
+    mixed = corpus_pipeline.mixed_sources(spark, docs, SF).repartitionByRange(3, "n_chars").sortWithinPartitions("n_chars", "doc_id")
+    mixed.write.parquet(str(tmp_path / "m"))
+    order = [r["doc_id"] for r in mixed.collect()]
+    out = corpus_pipeline.tokenized(spark, spark.read.parquet(str(tmp_path / "m")), SF)
+    assert [r["doc_id"] for r in out.orderBy("position").collect()] == order
+    made = spark.createDataFrame(docs.limit(5).collect(), docs.schema)  # rows from no file have no place
+    assert {r["position"] for r in corpus_pipeline.tokenized(spark, made, SF).collect()} == {None}
