@@ -104,19 +104,19 @@ long_ AS (SELECT sample_id, test_id, location, date_testing, exame, {case_map('e
   {state_case('state_code')} AS state, {_CLAMP.format(a='age')} AS age, patient_id, {_PREFIX_SEX.format(s='sex')} AS sex, file_name FROM single WHERE rn = 1),
 hot AS (SELECT * EXCLUDE (result), {hot_columns(lv.HILAB_ANALYTES, 'exame')} FROM long_)"""
 
-_HL = lv.HLAGYN_RESULT_HEADERS
+_HL = lv.HLAGYN_COLUMNS
 _HL_CODE = ", ".join(
     f"CASE WHEN {c} ILIKE 'NAO DETECTADO%' THEN 0 WHEN {c} ILIKE 'DETECTADO%' THEN 1 WHEN {c} ILIKE 'INCONCLUSIVO' THEN -1 WHEN {c} IS NULL THEN -1 ELSE -2 END AS {c}"
     for c in _HL.values()
 )
 _HL_ANY = " OR ".join(f"({c} NOT IN ('INCONCLUSIVO') AND {c} IS NOT NULL)" for c in _HL.values())
-_HL_GROUPS = ", ".join(f"greatest({', '.join(lv.HLAGYN_GROUPS[p])}) AS {p}_test_result" for p in PATHOGENS)
+_HL_GROUPS = ", ".join(f"greatest({', '.join(_HL[h] for h in lv.HLAGYN_RESULTS[p])}) AS {p}_test_result" for p in PATHOGENS)
 LONG["HLAGYN"] = f"""
 typed AS (SELECT Pedido AS test_id, CAST("Data Coleta" AS DATE) AS date_testing, TRY_CAST(Idade AS INTEGER) AS a, {norm('Sexo')} AS s, {norm('"Métodologia"')} AS detalhe_exame,
   {norm('Cidade')} AS location, {norm('UF')} AS uf, {', '.join(f'{norm(chr(34) + h + chr(34))} AS {c}' for h, c in _HL.items())}, file_name FROM raw),
 long_ AS (SELECT md5(concat(test_id, detalhe_exame)) AS sample_id, test_id, date_testing, {_CLAMP.format(a='a')} AS age, {_PREFIX_SEX.format(s='s')} AS sex, location,
-  {state_case('uf')} AS state, CASE WHEN result_covid IS NOT NULL THEN 'covid_pcr' WHEN result_virus_influenza_a IS NOT NULL THEN 'test_4'
-  WHEN result_virus_ia IS NOT NULL THEN 'test_24' ELSE 'UNKNOWN' END AS test_kit, CAST(NULL AS VARCHAR) AS patient_id, file_name, {_HL_CODE} FROM typed WHERE {_HL_ANY}),
+  {state_case('uf')} AS state, CASE WHEN {_HL['Resultado']} IS NOT NULL THEN 'covid_pcr' WHEN {_HL['Vírus Influenza A']} IS NOT NULL THEN 'test_4'
+  WHEN {_HL['VIRUS_IA']} IS NOT NULL THEN 'test_24' ELSE 'UNKNOWN' END AS test_kit, CAST(NULL AS VARCHAR) AS patient_id, file_name, {_HL_CODE} FROM typed WHERE {_HL_ANY}),
 hot AS (SELECT sample_id, {', '.join(CARRIED)}, {_HL_GROUPS} FROM long_)"""
 
 LONG["HPARDINI"] = f"""

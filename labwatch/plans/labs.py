@@ -283,7 +283,7 @@ def hlagyn_typed(raw: DataFrame) -> DataFrame:
         _norm("Métodologia").alias("detalhe_exame"),
         _norm("Cidade").alias("location"),
         _norm("UF").alias("state_code"),
-        *[_norm(header).alias(name) for header, name in lv.HLAGYN_RESULT_HEADERS.items()],
+        *[_norm(header).alias(name) for header, name in lv.HLAGYN_COLUMNS.items()],
         "file_name",
     )
 
@@ -291,7 +291,7 @@ def hlagyn_typed(raw: DataFrame) -> DataFrame:
 def hlagyn_fixed(typed: DataFrame) -> DataFrame:
     """The 29 result columns go through one lambda as an array: spelled out 29 times, the same
     conditions would outgrow what the JVM compiles as one method."""
-    results = list(lv.HLAGYN_RESULT_HEADERS.values())
+    results = list(lv.HLAGYN_COLUMNS.values())
 
     def code(c: Column) -> Column:
         return first_of(
@@ -303,9 +303,9 @@ def hlagyn_fixed(typed: DataFrame) -> DataFrame:
         )
 
     kit = first_of(
-        (F.col("result_covid").isNotNull(), "covid_pcr"),
-        (F.col("result_virus_influenza_a").isNotNull(), "test_4"),
-        (F.col("result_virus_ia").isNotNull(), "test_24"),
+        (F.col(lv.HLAGYN_COLUMNS["Resultado"]).isNotNull(), "covid_pcr"),
+        (F.col(lv.HLAGYN_COLUMNS["Vírus Influenza A"]).isNotNull(), "test_4"),
+        (F.col(lv.HLAGYN_COLUMNS["VIRUS_IA"]).isNotNull(), "test_24"),
         default=UNKNOWN_KIT,
     )
     listed = typed.withColumn("_results", F.array(*results))
@@ -331,11 +331,11 @@ def hlagyn_fixed(typed: DataFrame) -> DataFrame:
 
 def hlagyn_hot(fixed: DataFrame) -> DataFrame:
     """Result columns of one pathogen to their highest code."""
-    results = list(lv.HLAGYN_RESULT_HEADERS.values())
+    results = list(lv.HLAGYN_COLUMNS.values())
     others = [c for c in fixed.columns if c not in results]
     return fixed.select(
         *others,
-        *[row_max(*[F.col(c) for c in lv.HLAGYN_GROUPS[p]]).alias(f"{p}_test_result") for p in PATHOGENS],
+        *[row_max(*[F.col(lv.HLAGYN_COLUMNS[h]) for h in lv.HLAGYN_RESULTS[p]]).alias(f"{p}_test_result") for p in PATHOGENS],
     )
 
 
