@@ -1,28 +1,31 @@
 """Removal of repeated passages by suffix arrays.
 
 A byte goes if a string of 50 bytes that covers it also starts in a document
-with a smaller id. Three steps, exact at each:
+with a smaller id. Three steps:
 
-1. *Anchors.* In every string of 50 bytes the 16-byte part with the least hash
+1. *Anchors.* In every string of 50 bytes the 24-byte part with the least hash
    is its anchor (the first of several). Equal strings have equal anchors at
    the same place, so a string whose anchor occurs in one document alone
-   repeats nowhere. Only hashes of anchors are dealt out, one in about 18
-   bytes.
+   repeats nowhere. Only 32 bits of an anchor's hash are dealt out beside its
+   part, one anchor in about 14 bytes; what two hashes share by chance is
+   looked at and found not to repeat.
 2. *Shards.* Where an anchor occurs in several documents, the strings it
    anchors are dealt to the anchor's shard with the bytes around it. All copies
-   of a string meet in one shard, however many documents there are.
+   of a string meet in one shard, however many documents there are. Strings of
+   an anchor that occurs too often for one shard are dealt one by one instead,
+   by all their bytes.
 3. *Suffix arrays.* A shard sorts its suffixes by Larsson-Sadakane refinement
    (ranks double, only unsorted groups are sorted again), takes common prefixes
    of neighbours with Kasai's rule, run for many stretches of text side by
    side, and gets the least document for each group of suffixes that share 50
-   bytes. A shard that one anchor overfills is salted: each part keeps its own
-   array, and the parts are merged by binary search of each one's distinct
-   strings in the others' sorted ones.
+   bytes. A shard holds several arrays of bounded size, which are merged by
+   binary search of each one's distinct strings in the others' sorted ones.
 """
 
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,23 +34,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labwatch.llm.bloom import bloom, bloom_places
-from labwatch.llm.common import BYTE_BASE, U64, kept, mix, pieces, powers, table, text_bytes
+from labwatch.llm.common import BYTE_BASE, MIX1, MIX2, U64, kept, mix, pieces, powers, table, text_bytes
 from labwatch.llm.shingles import INVERSE
 
 #: Bytes of a passage, of an anchor, of text a task looks at, of context in a shard's part.
-SPAN, ANCHOR = 50, 16
+SPAN, ANCHOR = 50, 24
 BATCH_BYTES, PART_BYTES, GROUP_BYTES = 1 << 20, 4 << 20, 8 << 20
 LANE = 256
+#: Occurrences of an anchor from which its strings are dealt one by one.
+HOT = 20_000
 LAST = (1 << 63) - 1
 
 
 def word_keys(raw: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on as one number that sorts as they do; zeros stand behind the end."""
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
-    key = np.zeros(len(raw), U64)
-    for k in range(8):
-        key = (key << U64(8)) | padded[k : k + len(raw)].astype(U64)
-    return key
+    return np.ndarray((len(raw),), ">u8", padded, strides=(1,)).astype(U64)
 
 
 def suffix_array(raw: np.ndarray) -> np.ndarray:
@@ -122,84 +124,105 @@ def common_prefixes(raw: np.ndarray, order: np.ndarray, most: int) -> np.ndarray
     return out
 
 
-def anchors(raw: np.ndarray, offsets: np.ndarray, span: int = SPAN, size: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
+def anchor_codes(key: np.ndarray, at: np.ndarray | slice, salt: int) -> np.ndarray:
+    """Hashes of the anchors at some places, from all word keys and as many behind them."""
+    n = len(key)
+    code = np.full(n - ANCHOR + 8 if isinstance(at, slice) else len(at), U64(salt))
+    for k in range(0, ANCHOR, 8):
+        code ^= key[k : k + len(code)] if isinstance(at, slice) else key[at + k]
+        code *= MIX1
+        code ^= code >> U64(29)
+    return code
+
+
+def anchors(key: np.ndarray, offsets: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
     """``(start, anchor)``: every place where a string of ``span`` bytes starts within its row, and where its anchor is."""
-    n = len(raw)
+    n = len(key)
     empty = np.zeros(0, np.int64)
     if n < span:
         return empty, empty
-    low, high = word_keys(raw), None
-    high = np.concatenate([low[8:], np.zeros(8, U64)])
-    value = mix(low * U64(0x9E3779B97F4A7C15) ^ mix(high + U64(1)))[: n - size + 1]
-    # the least of the next `width` hashes, the first of several: minima of doubling stretches, compared together with their places
-    width = span - size + 1
-    place = np.arange(len(value))
-    best, at, have = value, place, 1
+    # a hash in the upper half, the place in the lower one: the least of the next `width` is the first of the least hashes
+    value = (anchor_codes(key, slice(None), 1) * MIX2)[: n - ANCHOR + 1]
+    value &= U64(0xFFFFFFFF00000000)
+    value |= np.arange(len(value), dtype=U64)
+    width, have = span - ANCHOR + 1, 1
     while have < width:
         step = min(have, width - have)
-        left, right = best[: len(best) - step], best[step:]
-        take = right < left
-        best, at = np.where(take, right, left), np.where(take, at[step:], at[: len(at) - step])
+        value = np.minimum(value[:-step], value[step:])
         have += step
-    starts = np.arange(n - span + 1)
-    row_end = np.repeat(offsets[1:], np.diff(offsets))[: n - span + 1]
-    inside = starts + span <= row_end
-    return starts[inside], at[: n - span + 1][inside]
-
-
-def anchor_codes(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
-    key = word_keys(raw)
-    high = np.concatenate([key[8:], np.zeros(8, U64)])
-    return mix(mix(key[at] + U64(77)) ^ (high[at] * U64(0xC2B2AE3D27D4EB4F)))
+    inside = np.ones(n - span + 1, bool)
+    ends = offsets[1:]
+    # the last span - 1 places of a row start nothing whole
+    first = np.maximum(ends - span + 1, offsets[:-1])
+    late = np.zeros(n + 1, np.int32)
+    np.add.at(late, first, 1)
+    np.add.at(late, ends, -1)
+    inside = np.cumsum(late[: n - span + 1]) == 0
+    starts = np.flatnonzero(inside)
+    return starts, (value[starts] & U64(0xFFFFFFFF)).astype(np.int64)
 
 
-CODE = np.dtype([("code", "<u8"), ("low", "<i8")])
+#: What is known of an anchor in a batch: whether two documents hold it, and how often it occurs, this number at most.
+TWO, OFTEN = 128, 127
 
 
-def dealt_bits(total: int, size: float) -> int:
-    return max(4, int(np.ceil(np.log2(max(1.0, total * size / GROUP_BYTES)))))
+def dealt_bits(total: int) -> int:
+    """Bits of the hash that choose the part; with the 32 dealt out, one hash in some thousands is another's by chance, at any size."""
+    return max(4, int(np.ceil(np.log2(max(1.0, total * 5 / 14 / GROUP_BYTES)))))
 
 
-def repeated_anchors(docs: DataFrame, text: str, total: int) -> DataFrame:
-    """``part, codes binary``: sorted codes of the anchors that occur in two documents at least, by the code's upper bits."""
-    bits = dealt_bits(total, 16 / 18)
+def repeated_anchors(docs: DataFrame, text: str, total: int, most: int = HOT) -> DataFrame:
+    """``code long, hot boolean``: hashes, cut to the bits dealt out, of the anchors that occur in two documents at least."""
+    bits = dealt_bits(total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
             raw, offsets = text_bytes(batch.column(1))
-            _, at = anchors(raw, offsets)
-            at = np.unique(at)
-            rows = np.zeros(len(at), CODE)
-            rows["code"] = anchor_codes(raw, at)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            rows["low"] = ids[np.searchsorted(offsets, at, side="right") - 1]
-            rows = np.unique(rows)
-            part = (rows["code"] >> U64(64 - bits)).astype(np.int64)
-            cuts = np.flatnonzero(np.diff(part)) + 1
-            blobs = np.split(rows, cuts) if len(rows) else []
-            yield pa.record_batch({"part": pa.array(part[np.r_[0, cuts]] if len(rows) else part, pa.int64()), "blob": pa.array([b.tobytes() for b in blobs], pa.binary())})
+            key = word_keys(raw)
+            start, at = anchors(key, offsets)
+            at = at[np.r_[True, at[1:] != at[:-1]]] if len(at) else at
+            code = anchor_codes(key, at, 2) >> U64(32 - bits)
+            order = np.argsort(code, kind="stable")
+            code, row = code[order], (np.searchsorted(offsets, at, side="right") - 1)[order]
+            head = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
+            count = np.diff(np.r_[head, len(code)])
+            # rows ascend within a code, so the first and the last tell whether they differ
+            two = row[head] != row[head + count - 1]
+            mark = (np.minimum(count, OFTEN) + np.where(two, TWO, 0)).astype(np.uint8)
+            code = code[head]
+            part, rest = (code >> U64(32)).astype(np.int64), code.astype("<u4")
+            cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)] if len(part) else np.zeros(1, np.int64)
+            spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+            yield pa.record_batch({"part": pa.array(part[cuts[:-1]], pa.int64()), "codes": pa.array([rest[a:b].tobytes() for a, b in spans], pa.binary()), "marks": pa.array([mark[a:b].tobytes() for a, b in spans], pa.binary())})
 
     def both(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def reduced() -> np.ndarray:
-            """At most two documents for each code."""
-            rows = np.unique(np.concatenate(held))
-            third = np.zeros(len(rows), bool)
-            third[2:] = rows["code"][2:] == rows["code"][:-2]
-            return rows[~third]
+        code, seen, often, part = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def reduced() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Each code once, with the documents known of it (two at most) and its occurrences."""
+            codes = np.concatenate([code, *(c for c, _ in held)])
+            documents = np.concatenate([seen, *((m >> 7) + 1 for _, m in held)])
+            times = np.concatenate([often, *((m & OFTEN) for _, m in held)])
+            order = np.argsort(codes, kind="stable")
+            codes = codes[order]
+            head = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+            return codes[head], np.minimum(np.add.reduceat(documents[order], head), 2), np.add.reduceat(times[order], head)
 
         for batch in group:
-            for x in batch.column(1):
-                held.append(np.frombuffer(x.as_buffer(), CODE))
-                size += len(held[-1])
-            if size > 4_000_000:
-                held = [reduced()]
-                size = len(held[0])
-        code = reduced()["code"]
-        yield pa.record_batch({"code": pa.array(code[1:][code[1:] == code[:-1]].view(np.int64), pa.int64())})
+            part = batch.column(0)[0].as_py()
+            for c, m in zip(batch.column(1), batch.column(2), strict=True):
+                held.append((np.frombuffer(c.as_buffer(), "<u4").astype(np.int64), np.frombuffer(m.as_buffer(), np.uint8).astype(np.int64)))
+                size += len(held[-1][0])
+            if size > max(4_000_000, len(code)):
+                code, seen, often = reduced()
+                held, size = [], 0
+        code, seen, often = reduced()
+        found = seen > 1
+        yield pa.record_batch({"code": pa.array((part << 32) + code[found], pa.int64()), "hot": pa.array(often[found] > most, pa.bool_())})
 
-    return dealt(docs, text, run, "part long, blob binary").groupBy("part").applyInArrow(both, "code long")
+    return dealt(docs, text, run, "part long, codes binary, marks binary").groupBy("part").applyInArrow(both, "code long, hot boolean")
 
 
 def dealt(docs: DataFrame, text: str, run, schema: str) -> DataFrame:
@@ -212,64 +235,87 @@ def numbered(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"), F.xxhash64(whole).alias("th"), whole.alias("text"))
 
 
-def contexts(docs: DataFrame, text: str, filtered: np.ndarray, parts: int) -> tuple[DataFrame, DataFrame]:
+def in_field(field: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    places = bloom_places(ids, len(field) * 8)
+    return (field[places >> 3] >> (7 - (places & 7)).astype(np.uint8) & 1).all(0)
+
+
+def contexts(docs: DataFrame, text: str, bits: int, filtered: np.ndarray, hot: np.ndarray, parts: int) -> tuple[DataFrame, DataFrame]:
     """Where strings with a repeated anchor stand, and the distinct stretches of bytes that hold them.
 
-    Neighbouring strings with one anchor make one stretch. The first frame has
-    a row for each stretch of each document, ``d, th, start, ctx``, the second
-    one ``part, ctx, low, bytes`` with the least ``d`` of a batch.
+    Neighbouring strings with one anchor make one stretch; a string of a hot
+    anchor is a stretch of its own. ``code`` and ``ctx`` name a stretch: hashes
+    of its anchor and of all its bytes, or two of the whole string. The first
+    frame has a row for each stretch of each document, ``d, th, start, code,
+    ctx``, the second one ``part, code, ctx, low, bytes`` with the least ``d``
+    of a batch.
     """
-    size = len(filtered) * 8
 
     def stretches(batch: pa.RecordBatch):
         raw, offsets = text_bytes(batch.column(1))
-        start, at = anchors(raw, offsets)
+        key = word_keys(raw)
+        start, at = anchors(key, offsets)
         if not len(start):
             return None
-        used, where = np.unique(at, return_inverse=True)
-        codes = anchor_codes(raw, used)
-        places = bloom_places(codes.view(np.int64), size)
-        maybe = (filtered[places >> 3] >> (7 - (places & 7)).astype(np.uint8) & 1).all(0)
+        new = np.r_[True, at[1:] != at[:-1]]
+        used, where = at[new], np.cumsum(new) - 1
+        codes = anchor_codes(key, used, 2)
+        dealt_code = (codes >> U64(32 - bits)).view(np.int64)
+        maybe = in_field(filtered, dealt_code)
+        alone = in_field(hot, dealt_code) & maybe
         keep = maybe[where]
         start, where = start[keep], where[keep]
         if not len(start):
             return None
         new = np.ones(len(start), bool)
-        new[1:] = (where[1:] != where[:-1]) | (start[1:] != start[:-1] + 1)
+        new[1:] = (where[1:] != where[:-1]) | (start[1:] != start[:-1] + 1) | alone[where[1:]]
         first, last = start[new], start[np.r_[np.flatnonzero(new)[1:] - 1, len(start) - 1]]
-        end = last + SPAN
+        end, by_all = last + SPAN, alone[where[new]]
         base = powers(BYTE_BASE, len(raw))
         total = np.zeros(len(raw) + 1, U64)
         np.cumsum(mix(np.arange(1, 257, dtype=U64))[raw] * base[:-1], out=total[1:])
         ctx = mix((total[end] - total[first]) * powers(INVERSE, len(raw))[first] ^ mix((end - first).astype(U64)))
+        code = codes[where[new]]
+        if by_all.any():
+            own = np.full(int(by_all.sum()), U64(3))
+            for k in span_keys(key, first[by_all]):
+                own = mix(own ^ k) * MIX1
+            code[by_all] = own
         row = np.searchsorted(offsets, first, side="right") - 1
-        return raw, offsets, row, first, end, ctx, codes[where[new]]
+        return raw, offsets, row, first, end, ctx, code
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
             if found := stretches(batch):
-                _, offsets, row, first, _, ctx, _ = found
+                _, offsets, row, first, _, ctx, code = found
                 take = pa.array(row)
-                yield pa.record_batch({"d": batch.column(0).take(take), "th": batch.column(2).take(take), "start": pa.array(first - offsets[row], pa.int64()), "ctx": pa.array(ctx.view(np.int64))})
+                yield pa.record_batch({"d": batch.column(0).take(take), "th": batch.column(2).take(take), "start": pa.array(first - offsets[row], pa.int64()), "code": pa.array(code.view(np.int64)), "ctx": pa.array(ctx.view(np.int64))})
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
             if found := stretches(batch):
                 raw, _, row, first, end, ctx, code = found
                 ids = batch.column(0).to_numpy()[row]
-                order = np.lexsort((ids, ctx))
-                one = order[np.r_[True, ctx[order][1:] != ctx[order][:-1]]]
+                one = least_of_each(code, ctx, ids)
                 data = raw.tobytes()
                 yield pa.record_batch(
-                    {"part": pa.array((code[one] % U64(parts)).astype(np.int64)), "ctx": pa.array(ctx[one].view(np.int64)), "low": pa.array(ids[one]), "bytes": pa.array([data[a:b] for a, b in zip(first[one], end[one], strict=True)], pa.binary())}
+                    {
+                        "part": pa.array((code[one] % U64(parts)).astype(np.int64)), "code": pa.array(code[one].view(np.int64)), "ctx": pa.array(ctx[one].view(np.int64)), "low": pa.array(ids[one]),
+                        "bytes": pa.array([data[a:b] for a, b in zip(first[one].tolist(), end[one].tolist(), strict=True)], pa.binary()),
+                    }
                 )
 
-    return dealt(docs, text, occurrences, "d long, th long, start long, ctx long"), dealt(docs, text, distinct, "part long, ctx long, low long, bytes binary")
+    return dealt(docs, text, occurrences, "d long, th long, start long, code long, ctx long"), dealt(docs, text, distinct, "part long, code long, ctx long, low long, bytes binary")
 
 
-def span_keys(raw: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+def least_of_each(code: np.ndarray, ctx: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """A place with the least document for each stretch."""
+    order = np.lexsort((low, ctx, code))
+    return order[np.r_[True, (ctx[order][1:] != ctx[order][:-1]) | (code[order][1:] != code[order][:-1])]]
+
+
+def span_keys(key: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     """The ``SPAN`` bytes from each place on as numbers that compare as they do."""
-    key = word_keys(raw)
     return [key[at + k] for k in (*range(0, SPAN - 8, 8), SPAN - 8)]
 
 
@@ -317,7 +363,7 @@ def least_documents(texts_: list[bytes], low: np.ndarray, most: int = PART_BYTES
         order, group_of = order[whole[order]], group_of[whole[order]]
         head = np.flatnonzero(np.r_[True, group_of[1:] != group_of[:-1]])
         least = np.minimum.reduceat(document[order], head)
-        shards.append([own, ends, order, np.diff(np.r_[head, len(order)]), least, span_keys(raw, order[head])])
+        shards.append([own, ends, order, np.diff(np.r_[head, len(order)]), least, span_keys(word_keys(raw), order[head])])
     merged = [s[4].copy() for s in shards]
     for i, (*_, least, keys) in enumerate(shards):
         for j, other in enumerate(shards):
@@ -333,30 +379,48 @@ def least_documents(texts_: list[bytes], low: np.ndarray, most: int = PART_BYTES
 
 
 def judged(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``ctx, least binary``: the least document for every string of every distinct stretch of a shard."""
-    rows = pa.Table.from_batches(group)
-    ctx, low = rows.column("ctx").to_numpy(), rows.column("low").to_numpy()
-    order = np.lexsort((low, ctx))
-    one = order[np.r_[True, ctx[order][1:] != ctx[order][:-1]]]
-    data = rows.column("bytes").combine_chunks().take(pa.array(one)).to_pylist()
-    for at in range(0, len(one), 4096) if len(one) else ():
-        if at == 0:
-            least = least_documents(data, low[one])
-        part = slice(at, at + 4096)
-        yield pa.record_batch({"ctx": pa.array(ctx[one][part]), "least": pa.array([x.astype(np.int64).tobytes() for x in least[part]], pa.binary())})
+    """``code, ctx, least binary``: the least document for the strings of every distinct stretch of a shard, as runs ``(document, strings)``."""
+    held: list[pa.RecordBatch] = []
+    size = single = 0
+
+    def reduced() -> pa.Table:
+        rows = pa.Table.from_batches(held)
+        return rows.take(pa.array(least_of_each(*(rows.column(c).to_numpy() for c in ("code", "ctx", "low"))))) if rows.num_rows else rows
+
+    for batch in group:
+        held.append(batch)
+        size += batch.nbytes
+        if size > 2 * single + 4 * PART_BYTES:  # copies of a stretch from many batches don't pile up
+            held = reduced().combine_chunks().to_batches()
+            size = single = sum(b.nbytes for b in held)
+    if not held:
+        return
+    rows = reduced()
+    least = least_documents(rows.column("bytes").to_pylist(), rows.column("low").to_numpy()) if rows.num_rows else []
+    for at in range(0, len(least), 4096):
+        part = rows.slice(at, 4096)
+        runs = [in_runs(x) for x in least[at : at + 4096]]
+        yield pa.record_batch({"code": part.column("code").combine_chunks(), "ctx": part.column("ctx").combine_chunks(), "least": pa.array(runs, pa.binary())})
+
+
+def in_runs(values: np.ndarray) -> bytes:
+    head = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    return np.column_stack([values[head], np.diff(np.r_[head, len(values)])]).astype("<i8").tobytes()
 
 
 def covered(d: np.ndarray, start: np.ndarray, least: list[bytes]) -> list[bytes]:
     """Runs ``(start, end)`` of bytes that go, for each stretch."""
     out = []
-    for own, at, x in zip(d, start, least, strict=True):
-        gone = np.flatnonzero(np.frombuffer(x, np.int64) < own) + at
-        if len(gone):
-            head = np.r_[True, gone[1:] > gone[:-1] + SPAN]
-            ends = gone[np.r_[np.flatnonzero(head)[1:] - 1, len(gone) - 1]] + SPAN
-            out.append(np.column_stack([gone[head], ends]).astype("<i8").tobytes())
-        else:
-            out.append(b"")
+    for own, at, x in zip(d.tolist(), start.tolist(), least, strict=True):
+        runs: list[int] = []
+        for low, n in struct.iter_unpack("<qq", x):
+            if low < own:
+                if runs and at <= runs[-1]:
+                    runs[-1] = at + n - 1 + SPAN
+                else:
+                    runs += (at, at + n - 1 + SPAN)
+            at += n
+        out.append(struct.pack(f"<{len(runs)}q", *runs))
     return out
 
 
@@ -369,14 +433,14 @@ def union(runs: np.ndarray) -> np.ndarray:
     return np.column_stack([runs[head, 0], reach[last]])
 
 
-def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
+def repeats(docs: DataFrame, text: str = "text", most: int = HOT) -> DataFrame:
     """``d, th, runs binary``: the maximal runs of bytes that go, for each document that loses any."""
     total = numbered(docs, text).agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    codes = kept(repeated_anchors(docs, text, total))
-    filtered = bloom(codes, codes.count())
-    occurrences, distinct = contexts(docs, text, filtered, max(16, -(-total // PART_BYTES)))
-    # a stretch of the least document alone loses nothing
-    least = distinct.groupBy("part").applyInArrow(judged, "ctx long, least binary")
+    codes = kept(repeated_anchors(docs, text, total, most))
+    filtered = bloom(codes.select("code"), codes.count())
+    hot = codes.filter("hot").select("code")
+    occurrences, distinct = contexts(docs, text, dealt_bits(total), filtered, bloom(hot, hot.count()), max(16, -(-total // PART_BYTES)))
+    least = distinct.groupBy("part").applyInArrow(judged, "code long, ctx long, least binary")
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -388,11 +452,11 @@ def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
             runs = [union(np.frombuffer(b"".join(x), "<i8").reshape(-1, 2)).tobytes() for x in batch.column(2).to_pylist()]
             yield pa.record_batch({"d": batch.column(0), "th": batch.column(1), "runs": pa.array(runs, pa.binary())})
 
-    parts = occurrences.join(least, "ctx").select("d", "th", "start", "least").mapInArrow(cover, "d long, th long, runs binary")
+    parts = occurrences.join(least, ["code", "ctx"]).select("d", "th", "start", "least").mapInArrow(cover, "d long, th long, runs binary")
     return parts.groupBy("d", "th").agg(F.collect_set("runs").alias("runs")).mapInArrow(together, "d long, th long, runs binary")
 
 
-def suffix_dedup(docs: DataFrame, text: str = "text", texts_kept: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, text: str = "text", texts_kept: bool = False, most: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row, with ``texts_kept`` also ``kept_bytes``.
 
     ``kept_bytes`` is binary, as a removal may cut a character. Documents with
@@ -401,13 +465,11 @@ def suffix_dedup(docs: DataFrame, text: str = "text", texts_kept: bool = False)
     rows give repeated rows; an empty table gives none; other columns are not
     read.
     """
-    gone = kept(repeats(docs, text))
+    gone = kept(repeats(docs, text, most))
     field = bloom(gone.select("th"), gone.count())
-    size = len(field) * 8
 
     def maybe(th: pa.Array) -> np.ndarray:
-        at = bloom_places(th.to_numpy(), size)
-        return (field[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).all(0)
+        return in_field(field, th.to_numpy())
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

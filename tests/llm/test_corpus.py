@@ -209,6 +209,26 @@ def test_suffix_dedup(spark):
     assert suffix_dedup.suffix_dedup(df.limit(0)).count() == 0
 
 
+def test_strings_of_frequent_anchors_are_dealt_one_by_one(spark):
+    """One notice in every document, between random letters: no shard gets more than twice its share, and results stay the same."""
+    draw = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    notice = "All rights reserved. All rights reserved. "
+    docs = [(i, "".join(draw.choices(letters, k=60)) + notice + "".join(draw.choices(letters, k=60))) for i in range(3_000)]
+    docs += [(5_000 + i, "x" * i + "The very same passage stands in many documents, word for word, line for line.") for i in range(500)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    expected = brute_repeats(docs)
+    for most in (100, suffix_dedup.HOT):
+        got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.suffix_dedup(df, most=most).collect()}
+        assert got == expected
+    total = sum(len(t) for _, t in docs)
+    codes = suffix_dedup.repeated_anchors(df, "text", total, 100).cache()
+    field = lambda c: suffix_dedup.bloom(c.select("code"), c.count())
+    _, distinct = suffix_dedup.contexts(df, "text", suffix_dedup.dealt_bits(total), field(codes), field(codes.filter("hot")), 16)
+    sizes = sorted(r["count"] for r in distinct.groupBy("part").count().collect())
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
 def test_rows_with_equal_ids_spare_each_other(spark):
     text = "a passage that is long enough to be removed wherever it stands twice."
     df = spark.createDataFrame([(1, text), (1, text), (1, "x" + text), (2, text), (None, text), (None, text)], "doc_id long, text string")
