@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,9 @@ BATCH_BYTES, PART_BYTES, GROUP_BYTES = 1 << 20, 4 << 20, 8 << 20
 LANE = 256
 #: Occurrences of an anchor from which its strings are dealt one by one.
 HOT = 20_000
+#: In place of an anchor's place: the stretch is one string, dealt by all its bytes.
+WHOLE = 255
+BYTES = mix(np.arange(1, 257, dtype=U64))
 LAST = (1 << 63) - 1
 
 
@@ -61,7 +65,7 @@ def suffix_array(raw: np.ndarray) -> np.ndarray:
     """
     n = len(raw)
     key = word_keys(raw)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sorted_key = key[order]
     new = np.ones(n, bool)
     new[1:] = sorted_key[1:] != sorted_key[:-1]
@@ -78,12 +82,12 @@ def suffix_array(raw: np.ndarray) -> np.ndarray:
         at = order[open_]
         further = at + done
         second = np.where(further < n, rank[np.minimum(further, n - 1)], -1 - at)  # past the end the shorter suffix is the lesser
-        first = rank[at]
-        resort = np.lexsort((second, first))
-        at, first, second = at[resort], first[resort], second[resort]
+        both = rank[at] << 32 | second + n  # ranks and places of a shard need less than 31 bits
+        resort = np.argsort(both)
+        at, both = at[resort], both[resort]
         order[open_] = at
         differs = np.ones(len(at), bool)
-        differs[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+        differs[1:] = both[1:] != both[:-1]
         new[open_] = differs
         rank[at] = open_[np.flatnonzero(differs)[np.cumsum(differs) - 1]]
         done *= 2
@@ -97,6 +101,7 @@ def common_prefixes(raw: np.ndarray, order: np.ndarray, most: int) -> np.ndarray
     that advance side by side, one step for all of them at a time.
     """
     n = len(raw)
+    key = np.concatenate([word_keys(raw), np.zeros(1, U64)])
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     common = np.zeros(n, np.int64)
@@ -113,10 +118,13 @@ def common_prefixes(raw: np.ndarray, order: np.ndarray, most: int) -> np.ndarray
         grow = live
         while len(grow):
             a, b = at[grow] + held[grow], before[at[grow]] + held[grow]
-            fits = (np.maximum(a, b) < n) & (held[grow] < most)
-            fits[fits] = raw[a[fits]] == raw[b[fits]]
-            grow = grow[fits]
-            held[grow] += 1
+            unlike = key[np.minimum(a, n)] ^ key[np.minimum(b, n)]
+            # bytes that eight have in common from the front, none beyond the end or ``most``
+            # (a number whose second bit is cleared isn't rounded up to the next power of two)
+            equal = (64 - np.frexp((unlike & ~(unlike >> U64(1))).astype(np.float64))[1]) >> 3
+            equal = np.minimum(equal, np.minimum(n - np.maximum(a, b), most - held[grow]))
+            held[grow] += equal
+            grow = grow[equal == 8]
         common[at[live]] = held[live]
     out = np.zeros(n, np.int64)
     out[:] = common[order]
@@ -247,8 +255,7 @@ def contexts(docs: DataFrame, text: str, bits: int, filtered: np.ndarray, hot: n
     anchor is a stretch of its own. ``code`` and ``ctx`` name a stretch: hashes
     of its anchor and of all its bytes, or two of the whole string. The first
     frame has a row for each stretch of each document, ``d, th, start, code,
-    ctx``, the second one ``part, code, ctx, low, bytes`` with the least ``d``
-    of a batch.
+    ctx``, the second one ``part, stretches`` with those of a batch, packed.
     """
 
     def stretches(batch: pa.RecordBatch):
@@ -259,8 +266,7 @@ def contexts(docs: DataFrame, text: str, bits: int, filtered: np.ndarray, hot: n
             return None
         new = np.r_[True, at[1:] != at[:-1]]
         used, where = at[new], np.cumsum(new) - 1
-        codes = anchor_codes(key, used, 2)
-        dealt_code = (codes >> U64(32 - bits)).view(np.int64)
+        dealt_code = (anchor_codes(key, used, 2) >> U64(32 - bits)).view(np.int64)
         maybe = in_field(filtered, dealt_code)
         alone = in_field(hot, dealt_code) & maybe
         keep = maybe[where]
@@ -270,42 +276,80 @@ def contexts(docs: DataFrame, text: str, bits: int, filtered: np.ndarray, hot: n
         new = np.ones(len(start), bool)
         new[1:] = (where[1:] != where[:-1]) | (start[1:] != start[:-1] + 1) | alone[where[1:]]
         first, last = start[new], start[np.r_[np.flatnonzero(new)[1:] - 1, len(start) - 1]]
-        end, by_all = last + SPAN, alone[where[new]]
-        base = powers(BYTE_BASE, len(raw))
-        total = np.zeros(len(raw) + 1, U64)
-        np.cumsum(mix(np.arange(1, 257, dtype=U64))[raw] * base[:-1], out=total[1:])
-        ctx = mix((total[end] - total[first]) * powers(INVERSE, len(raw))[first] ^ mix((end - first).astype(U64)))
-        code = codes[where[new]]
-        if by_all.any():
-            own = np.full(int(by_all.sum()), U64(3))
-            for k in span_keys(key, first[by_all]):
-                own = mix(own ^ k) * MIX1
-            code[by_all] = own
+        end = last + SPAN
+        place = np.where(alone[where[new]], WHOLE, used[where[new]] - first)
+        code, ctx = names(raw, key, first, end, place)
         row = np.searchsorted(offsets, first, side="right") - 1
-        return raw, offsets, row, first, end, ctx, code
+        return raw, offsets, row, first, end, place, code, ctx
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
             if found := stretches(batch):
-                _, offsets, row, first, _, ctx, code = found
+                _, offsets, row, first, _, _, code, ctx = found
                 take = pa.array(row)
                 yield pa.record_batch({"d": batch.column(0).take(take), "th": batch.column(2).take(take), "start": pa.array(first - offsets[row], pa.int64()), "code": pa.array(code.view(np.int64)), "ctx": pa.array(ctx.view(np.int64))})
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
             if found := stretches(batch):
-                raw, _, row, first, end, ctx, code = found
+                raw, _, row, first, end, place, code, ctx = found
                 ids = batch.column(0).to_numpy()[row]
                 one = least_of_each(code, ctx, ids)
+                part = (code[one] % U64(parts)).astype(np.int64)
+                one = one[np.argsort(part, kind="stable")]
+                part = np.sort(part)
+                cuts = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)]
                 data = raw.tobytes()
-                yield pa.record_batch(
-                    {
-                        "part": pa.array((code[one] % U64(parts)).astype(np.int64)), "code": pa.array(code[one].view(np.int64)), "ctx": pa.array(ctx[one].view(np.int64)), "low": pa.array(ids[one]),
-                        "bytes": pa.array([data[a:b] for a, b in zip(first[one].tolist(), end[one].tolist(), strict=True)], pa.binary()),
-                    }
-                )
-
-    return dealt(docs, text, occurrences, "d long, th long, start long, code long, ctx long"), dealt(docs, text, distinct, "part long, code long, ctx long, low long, bytes binary")
+                blobs = [packed(data, ids[x], first[x], end[x], place[x]) for x in np.split(one, cuts[1:-1])]
+                yield pa.record_batch({"part": pa.array(part[cuts[:-1]]), "stretches": pa.array(blobs, pa.binary())})
+
+    return dealt(docs, text, occurrences, "d long, th long, start long, code long, ctx long"), dealt(docs, text, distinct, "part long, stretches binary")
+
+
+def names(raw: np.ndarray, key: np.ndarray, first: np.ndarray, end: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``code, ctx`` of stretches, from where their anchors are in them (``WHOLE``: dealt by all bytes)."""
+    base = powers(BYTE_BASE, len(raw))
+    total = np.zeros(len(raw) + 1, U64)
+    np.cumsum(BYTES[raw] * base[:-1], out=total[1:])
+    ctx = mix((total[end] - total[first]) * powers(INVERSE, len(raw))[first] ^ mix((end - first).astype(U64)))
+    by_all = place == WHOLE
+    code = anchor_codes(key, np.where(by_all, first, first + place), 2)
+    if by_all.any():
+        own = np.full(int(by_all.sum()), U64(3))
+        for k in span_keys(key, first[by_all]):
+            own = mix(own ^ k) * MIX1
+        code[by_all] = own
+    return code, ctx
+
+
+def packed(data: bytes, low: np.ndarray, first: np.ndarray, end: np.ndarray, place: np.ndarray) -> bytes:
+    """Stretches as one compressed block: their number, documents, sizes, anchors' places, bytes."""
+    text = b"".join([data[a:b] for a, b in zip(first.tolist(), end.tolist(), strict=True)])
+    numbers = (np.array([len(low)]), low, end - first)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.astype("<i8").tobytes() for x in numbers) + place.astype(np.uint8).tobytes() + text)
+
+
+class Stretches:
+    """Stretches side by side: bytes, ends in them, least documents, places of anchors, names."""
+
+    def __init__(self, blocks: list[bytes]):
+        low, size, place, text = [], [], [], []
+        for block in blocks:
+            x = zstandard.ZstdDecompressor().decompress(block)
+            n = int.from_bytes(x[:8], "little")
+            low.append(np.frombuffer(x, "<i8", n, 8))
+            size.append(np.frombuffer(x, "<i8", n, 8 + 8 * n))
+            place.append(np.frombuffer(x, np.uint8, n, 8 + 16 * n))
+            text.append(np.frombuffer(x, np.uint8, -1, 8 + 17 * n))
+        self.low, size, self.place, self.raw = (np.concatenate(x) for x in (low, size, place, text))
+        self.ends = np.cumsum(size)
+        self.code, self.ctx = names(self.raw, word_keys(self.raw), self.ends - size, self.ends, self.place)
+
+    def once(self) -> bytes:
+        """Packed again, each stretch with its least document."""
+        one = least_of_each(self.code, self.ctx, self.low)
+        first = np.r_[0, self.ends[:-1]]
+        return packed(self.raw.tobytes(), self.low[one], first[one], self.ends[one], self.place[one])
 
 
 def least_of_each(code: np.ndarray, ctx: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -380,27 +424,21 @@ def least_documents(texts_: list[bytes], low: np.ndarray, most: int = PART_BYTES
 
 def judged(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``code, ctx, least binary``: the least document for the strings of every distinct stretch of a shard, as runs ``(document, strings)``."""
-    held: list[pa.RecordBatch] = []
+    held: list[bytes] = []
     size = single = 0
-
-    def reduced() -> pa.Table:
-        rows = pa.Table.from_batches(held)
-        return rows.take(pa.array(least_of_each(*(rows.column(c).to_numpy() for c in ("code", "ctx", "low"))))) if rows.num_rows else rows
-
     for batch in group:
-        held.append(batch)
-        size += batch.nbytes
-        if size > 2 * single + 4 * PART_BYTES:  # copies of a stretch from many batches don't pile up
-            held = reduced().combine_chunks().to_batches()
-            size = single = sum(b.nbytes for b in held)
-    if not held:
-        return
-    rows = reduced()
-    least = least_documents(rows.column("bytes").to_pylist(), rows.column("low").to_numpy()) if rows.num_rows else []
+        for block in batch.column(1):
+            held.append(block.as_py())
+            size += len(held[-1])
+            if size > 2 * single + PART_BYTES:  # copies of a stretch from many batches don't pile up
+                held = [Stretches(held).once()]
+                size = single = len(held[0])
+    rows = Stretches([Stretches(held).once()])
+    data = rows.raw.tobytes()
+    least = least_documents([data[a:b] for a, b in zip([0, *rows.ends[:-1].tolist()], rows.ends.tolist(), strict=True)], rows.low)
     for at in range(0, len(least), 4096):
-        part = rows.slice(at, 4096)
-        runs = [in_runs(x) for x in least[at : at + 4096]]
-        yield pa.record_batch({"code": part.column("code").combine_chunks(), "ctx": part.column("ctx").combine_chunks(), "least": pa.array(runs, pa.binary())})
+        part = slice(at, at + 4096)
+        yield pa.record_batch({"code": pa.array(rows.code[part].view(np.int64)), "ctx": pa.array(rows.ctx[part].view(np.int64)), "least": pa.array([in_runs(x) for x in least[part]], pa.binary())})
 
 
 def in_runs(values: np.ndarray) -> bytes:
