@@ -3,11 +3,11 @@
 A byte goes if a string of 50 bytes that covers it also starts in a document
 with a smaller id. Three steps:
 
-1. *Anchors.* In every string of 50 bytes the 24-byte part with the least hash
+1. *Anchors.* In every string of 50 bytes the 32-byte part with the least hash
    is its anchor (the first of several). Equal strings have equal anchors at
    the same place, so a string whose anchor occurs in one document alone
    repeats nowhere. Only 32 bits of an anchor's hash are dealt out beside its
-   part, one anchor in about 14 bytes; what two hashes share by chance is
+   part, one anchor in about 10 bytes; what two hashes share by chance is
    looked at and found not to repeat.
 2. *Shards.* Where an anchor occurs in several documents, the strings it
    anchors are dealt to the anchor's shard with the bytes around it. All copies
@@ -38,9 +38,9 @@ from labwatch.llm.bloom import bloom, bloom_places
 from labwatch.llm.common import BYTE_BASE, MIX1, MIX2, U64, kept, mix, pieces, powers, table, text_bytes
 from labwatch.llm.shingles import INVERSE
 
-#: Bytes of a passage, of an anchor, of text a task looks at, of context in a shard's part.
-SPAN, ANCHOR = 50, 24
-BATCH_BYTES, PART_BYTES, GROUP_BYTES = 1 << 20, 4 << 20, 8 << 20
+#: Bytes of a passage, of an anchor, of text a task looks at, of an array, of text for each shard, of hashes for each part.
+SPAN, ANCHOR = 50, 32
+BATCH_BYTES, PART_BYTES, SHARD_BYTES, GROUP_BYTES = 1 << 20, 4 << 20, 8 << 20, 8 << 20
 LANE = 256
 #: Occurrences of an anchor from which its strings are dealt one by one.
 HOT = 20_000
@@ -176,7 +176,7 @@ TWO, OFTEN = 128, 127
 
 def dealt_bits(total: int) -> int:
     """Bits of the hash that choose the part; with the 32 dealt out, one hash in some thousands is another's by chance, at any size."""
-    return max(4, int(np.ceil(np.log2(max(1.0, total * 5 / 14 / GROUP_BYTES)))))
+    return max(4, int(np.ceil(np.log2(max(1.0, total * 5 / 10 / GROUP_BYTES)))))
 
 
 def repeated_anchors(docs: DataFrame, text: str, total: int, most: int = HOT) -> DataFrame:
@@ -433,12 +433,13 @@ def judged(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size > 2 * single + PART_BYTES:  # copies of a stretch from many batches don't pile up
                 held = [Stretches(held).once()]
                 size = single = len(held[0])
-    rows = Stretches([Stretches(held).once()])
-    data = rows.raw.tobytes()
-    least = least_documents([data[a:b] for a, b in zip([0, *rows.ends[:-1].tolist()], rows.ends.tolist(), strict=True)], rows.low)
+    rows = Stretches(held)
+    one = least_of_each(rows.code, rows.ctx, rows.low)
+    code, ctx, data = rows.code[one].view(np.int64), rows.ctx[one].view(np.int64), rows.raw.tobytes()
+    least = least_documents([data[a:b] for a, b in zip(np.r_[0, rows.ends][one].tolist(), rows.ends[one].tolist(), strict=True)], rows.low[one])
     for at in range(0, len(least), 4096):
         part = slice(at, at + 4096)
-        yield pa.record_batch({"code": pa.array(rows.code[part].view(np.int64)), "ctx": pa.array(rows.ctx[part].view(np.int64)), "least": pa.array([in_runs(x) for x in least[part]], pa.binary())})
+        yield pa.record_batch({"code": pa.array(code[part]), "ctx": pa.array(ctx[part]), "least": pa.array([in_runs(x) for x in least[part]], pa.binary())})
 
 
 def in_runs(values: np.ndarray) -> bytes:
@@ -477,7 +478,7 @@ def repeats(docs: DataFrame, text: str = "text", most: int = HOT) -> DataFrame:
     codes = kept(repeated_anchors(docs, text, total, most))
     filtered = bloom(codes.select("code"), codes.count())
     hot = codes.filter("hot").select("code")
-    occurrences, distinct = contexts(docs, text, dealt_bits(total), filtered, bloom(hot, hot.count()), max(16, -(-total // PART_BYTES)))
+    occurrences, distinct = contexts(docs, text, dealt_bits(total), filtered, bloom(hot, hot.count()), max(16, -(-total // SHARD_BYTES)))
     least = distinct.groupBy("part").applyInArrow(judged, "code long, ctx long, least binary")
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -515,14 +516,17 @@ def suffix_dedup(docs: DataFrame, text: str = "text", texts_kept: bool = False,
             yield pa.record_batch({"doc_id": batch.column(0), "d": batch.column(1), "th": batch.column(2), "n_bytes": pa.array([len(x) for x in data], pa.int64()), "all_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in data], pa.string())})
 
     def affected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            yield batch.filter(pa.array(maybe(batch.column(1))))
+            batch = batch.filter(pa.array(maybe(batch.column(1))))
+            text = [pack.compress(x.as_buffer()) for x in batch.column(2).cast(pa.binary())]
+            yield pa.record_batch({"d": batch.column(0), "th": batch.column(1), "text": pa.array(text, pa.binary())})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_removed, n_spans, digest, left = [], [], [], []
-            for x, r in zip(batch.column(2).cast(pa.binary()), batch.column(3), strict=True):
-                runs, data = np.frombuffer(r.as_buffer(), "<i8").reshape(-1, 2), x.as_buffer().to_pybytes()
+            for x, r in zip(batch.column(2), batch.column(3), strict=True):
+                runs, data = np.frombuffer(r.as_buffer(), "<i8").reshape(-1, 2), zstandard.ZstdDecompressor().decompress(x.as_buffer())
                 edge = [0, *runs.ravel().tolist(), len(data)]
                 rest = b"".join(data[a:b] for a, b in zip(edge[::2], edge[1::2], strict=True))
                 n_removed.append(len(data) - len(rest))
@@ -533,7 +537,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", texts_kept: bool = False,
 
     rows = numbered(docs, text)
     base = rows.mapInArrow(whole, "doc_id long, d long, th long, n_bytes long, all_sha256 string")
-    hit = rows.select("d", "th", "text").mapInArrow(affected, "d long, th long, text string").join(gone, ["d", "th"])
+    hit = rows.select("d", "th", "text").mapInArrow(affected, "d long, th long, text binary").join(gone, ["d", "th"])
     changed = hit.mapInArrow(cut, "d long, th long, n_removed long, n_spans long, sha string, left binary").dropDuplicates(["d", "th"])
     out = base.join(changed, ["d", "th"], "left")
     zero = F.lit(0).cast("long")
