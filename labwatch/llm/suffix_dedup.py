@@ -3,11 +3,11 @@
 A byte goes if a string of 50 bytes that covers it also starts in a document
 with a smaller id. Three steps:
 
-1. *Anchors.* In every string of 50 bytes the 32-byte part with the least hash
+1. *Anchors.* In every string of 50 bytes the 24-byte part with the least hash
    is its anchor (the first of several). Equal strings have equal anchors at
    the same place, so a string whose anchor occurs in one document alone
    repeats nowhere. Only 32 bits of an anchor's hash are dealt out beside its
-   part, one anchor in about 10 bytes; what two hashes share by chance is
+   part, one anchor in about 14 bytes; what two hashes share by chance is
    looked at and found not to repeat.
 2. *Shards.* Where an anchor occurs in several documents, the strings it
    anchors are dealt to the anchor's shard with the bytes around it. All copies
@@ -39,8 +39,8 @@ from labwatch.llm.common import BYTE_BASE, MIX1, MIX2, U64, kept, mix, pieces, p
 from labwatch.llm.shingles import INVERSE
 
 #: Bytes of a passage, of an anchor, of text a task looks at, of an array, of text for each shard, of hashes for each part.
-SPAN, ANCHOR = 50, 32
-BATCH_BYTES, PART_BYTES, SHARD_BYTES, GROUP_BYTES = 1 << 20, 4 << 20, 8 << 20, 8 << 20
+SPAN, ANCHOR = 50, 24
+BATCH_BYTES, PART_BYTES, SHARD_BYTES, GROUP_BYTES = 1 << 20, 4 << 20, 4 << 20, 8 << 20
 LANE = 256
 #: Occurrences of an anchor from which its strings are dealt one by one.
 HOT = 20_000
@@ -176,7 +176,7 @@ TWO, OFTEN = 128, 127
 
 def dealt_bits(total: int) -> int:
     """Bits of the hash that choose the part; with the 32 dealt out, one hash in some thousands is another's by chance, at any size."""
-    return max(4, int(np.ceil(np.log2(max(1.0, total * 5 / 10 / GROUP_BYTES)))))
+    return max(4, int(np.ceil(np.log2(max(1.0, total * 5 / 14 / GROUP_BYTES)))))
 
 
 def repeated_anchors(docs: DataFrame, text: str, total: int, most: int = HOT) -> DataFrame:
