@@ -27,3 +27,7 @@ def small(spark, tmp_path_factory):
 
 def test_code_maps_keeps_the_nations_of_two_thirds(spark, small):
     assert {r.o_orderkey for r in q.code_maps(spark, small).collect() if r.state} == {2, 3, 5, 6}
+
+
+def test_null_labels_keeps_the_nations_of_two_thirds(spark, small):
+    assert {r.o_orderkey for r in q.null_labels(spark, small).collect() if r.per_100k is not None} == {2, 3, 5, 6}
