@@ -31,3 +31,7 @@ def test_code_maps_keeps_the_nations_of_two_thirds(spark, small):
 
 def test_null_labels_keeps_the_nations_of_two_thirds(spark, small):
     assert {r.o_orderkey for r in q.null_labels(spark, small).collect() if r.per_100k is not None} == {2, 3, 5, 6}
+
+
+def test_join_population_keeps_the_places_of_two_thirds(spark, small):
+    assert {r.location_ibge_code for r in q.join_population(spark, small).collect()} >= {1000302, 1000303, 1000306}
