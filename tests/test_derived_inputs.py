@@ -35,3 +35,10 @@ def test_null_labels_keeps_the_nations_of_two_thirds(spark, small):
 
 def test_join_population_keeps_the_places_of_two_thirds(spark, small):
     assert {r.location_ibge_code for r in q.join_population(spark, small).collect()} >= {1000302, 1000303, 1000306}
+
+
+def test_line_items_are_dealt_to_tasks_by_their_size(spark, small, monkeypatch):
+    monkeypatch.setattr(tb, "PER_TASK", 256)
+    rows, said = tb.tests(spark, small), tb.spark_table(spark, small, tb.tests_sql("spark"))
+    assert rows.rdd.getNumPartitions() == tb.tasks(spark, small) > spark.sparkContext.defaultParallelism
+    assert rows.schema == said.schema and sorted(map(repr, rows.collect())) == sorted(map(repr, said.collect()))
