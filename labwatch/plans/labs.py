@@ -92,8 +92,10 @@ def dbmol_result(code: Column, result: Column) -> Column:
         default=UNRECOGNISED,
     )
     branches = [(code.isin(lv.DBMOL_WORD_CODES), words)]
-    branches += [(code == c, three_way(bare, *bounds)) for c, bounds in lv.DBMOL_THREE_WAY.items()]
-    branches += [(code == c, two_way(bare, cutoff)) for c, cutoff in lv.DBMOL_TWO_WAY.items()]
+    # the bounds are looked up: a branch for each code would outgrow what the JVM compiles as one method
+    low, high = (lookup(code, {c: bounds[i] for c, bounds in lv.DBMOL_THREE_WAY.items()}) for i in range(2))
+    branches += [(code.isin(list(lv.DBMOL_THREE_WAY)), three_way(bare, low, high))]
+    branches += [(code.isin(list(lv.DBMOL_TWO_WAY)), two_way(bare, lookup(code, lv.DBMOL_TWO_WAY)))]
     branches += [
         ((code == "INFAG") & below, F.lit(0)),
         ((code == "INFAG") & ~below, three_way(result, *lv.DBMOL_INFAG_RANGE)),
