@@ -276,7 +276,8 @@ def hilab_fixed(typed: DataFrame) -> DataFrame:
 
 
 def hlagyn_typed(raw: DataFrame) -> DataFrame:
-    return computed_once(
+    """The 29 result columns are cleaned by one lambda as an array: spelled out, they would outgrow one method."""
+    rows = computed_once(
         raw,
         F.col("Pedido").alias("test_id"),
         to_date(F.col("`Data Coleta`"), "yyyy-M-d").alias("date_testing"),
@@ -285,9 +286,11 @@ def hlagyn_typed(raw: DataFrame) -> DataFrame:
         _norm("Métodologia").alias("detalhe_exame"),
         _norm("Cidade").alias("location"),
         _norm("UF").alias("state_code"),
-        *[_norm(header).alias(name) for header, name in lv.HLAGYN_COLUMNS.items()],
+        F.transform(F.array(*[F.col(f"`{header}`") for header in lv.HLAGYN_COLUMNS]), normalize_text).alias("_cleaned"),
         "file_name",
     )
+    cleaned = [F.col("_cleaned")[i].alias(name) for i, name in enumerate(lv.HLAGYN_COLUMNS.values())]
+    return rows.select(*[c for c in rows.columns if c not in ("_cleaned", "file_name")], *cleaned, "file_name")
 
 
 def hlagyn_fixed(typed: DataFrame) -> DataFrame:
@@ -310,9 +313,10 @@ def hlagyn_fixed(typed: DataFrame) -> DataFrame:
         (F.col(lv.HLAGYN_COLUMNS["VIRUS_IA"]).isNotNull(), "test_24"),
         default=UNKNOWN_KIT,
     )
-    listed = typed.withColumn("_results", F.array(*results))
+    listed = computed_once(typed, *[c for c in typed.columns if c not in results], kit.alias("test_kit"), F.array(*results).alias("_results"))
     informative = F.exists("_results", lambda c: c.isNotNull() & (c != "INCONCLUSIVO"))
-    coded = listed.where(informative).select(
+    coded = computed_once(
+        listed.where(informative),
         sample_key(F.col("test_id"), F.col("detalhe_exame")).alias("sample_id"),
         "test_id",
         "date_testing",
@@ -322,7 +326,7 @@ def hlagyn_fixed(typed: DataFrame) -> DataFrame:
         "location",
         "state_code",
         state_name(F.col("state_code")).alias("state"),
-        kit.alias("test_kit"),
+        "test_kit",
         F.transform("_results", code).alias("_codes"),
         "file_name",
     )

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from labwatch import labs_vocab as lv
 from labwatch.plans.labs import LABS
 
 ROWS = {
@@ -35,3 +36,13 @@ def test_laboratory(spark, capsys, lab_id):
     size, rows = largest_method(spark, LABS[lab_id].wide, ROWS[lab_id], capsys)
     assert size < 8000
     assert [(r["test_id"], r["location"], r["state"], r["SC2_test_result"]) for r in rows] == [("7", "SAO JOSE", "SAO PAULO", "Pos")]
+
+
+def test_laboratory_of_many_result_columns(spark, capsys):
+    row = {
+        "Pedido": "7", "Data Coleta": "2026-01-05", "Idade": "30", "Sexo": "F", "Métodologia": "RT-PCR", "Cidade": " São José ", "UF": "SP",
+        **dict.fromkeys(lv.HLAGYN_COLUMNS), "Coronavírus SARS-CoV-2": " não detectado\t", "Vírus Influenza A": "Detectado", "file_name": "a.csv",
+    }
+    size, rows = largest_method(spark, LABS["HLAGYN"].wide, row, capsys)
+    assert size < 8000
+    assert [(r["location"], r["test_kit"], r["SC2_test_result"], r["FLUA_test_result"], r["FLUB_test_result"]) for r in rows] == [("SAO JOSE", "test_4", "Neg", "Pos", "NT")]
