@@ -16,7 +16,7 @@ from labwatch.functions.mapping import sex_exact, state_name
 from labwatch.functions.results import any_positive, register_pair
 from labwatch.functions.text import normalize_text
 from labwatch.operators.collapse import fill_and_keep_one, one_hot
-from labwatch.operators.reshape import lateral_rows
+from labwatch.operators.reshape import computed_once, lateral_rows
 
 CARRIED = [
     "test_id", "test_kit", "sex", "age", "location", "state", "date_testing", "date_pri_sin", "patient_id", "file_name",
@@ -38,7 +38,7 @@ def typed(raw: DataFrame) -> DataFrame:
             return to_rounded_int(F.replace(c, F.lit(";"), F.lit("")))
         return c
 
-    return raw.select(*[column(c).alias(c.lower()) for c in lv.REGISTER_COLUMNS], "file_name")
+    return computed_once(raw, *[column(c).alias(c.lower()) for c in lv.REGISTER_COLUMNS], "file_name")
 
 
 def results(kind: tuple) -> Column:
@@ -69,7 +69,8 @@ def fixed(rows: DataFrame, as_of: str | date) -> DataFrame:
     age = age_by_unit(F.col("nu_idade_n"), F.col("tp_idade"))
     sex = sex_exact(F.col("cs_sexo"))
     key = sample_key(F.col("nm_un_inte"), F.col("co_mun_res"), F.col("dt_coleta"), age, sex, F.col("test_kit"))
-    return long.select(
+    return computed_once(
+        long,
         key.alias("sample_id"),
         sex.alias("sex"),
         age.alias("age"),

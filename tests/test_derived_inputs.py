@@ -42,3 +42,10 @@ def test_line_items_are_dealt_to_tasks_by_their_size(spark, small, monkeypatch):
     rows, said = tb.tests(spark, small), tb.spark_table(spark, small, tb.tests_sql("spark"))
     assert rows.rdd.getNumPartitions() == tb.tasks(spark, small) > spark.sparkContext.defaultParallelism
     assert rows.schema == said.schema and sorted(map(repr, rows.collect())) == sorted(map(repr, said.collect()))
+
+
+def test_orders_are_dealt_to_tasks_by_their_size(spark, small, monkeypatch):
+    monkeypatch.setattr(tb, "PER_TASK", 64)
+    rows, said = tb.raw_register(spark, small), spark.sql(tb.REGISTER, cases=tb.cases(spark, small))
+    assert rows.rdd.getNumPartitions() == tb.tasks(spark, small, "orders") > spark.sparkContext.defaultParallelism
+    assert rows.schema == said.schema and sorted(map(repr, rows.collect())) == sorted(map(repr, said.collect()))
