@@ -39,6 +39,11 @@ def delivered(spark: SparkSession, sf_dir: str, lab_id: str, parts: int = 3) ->
     return folder
 
 
+def dropped_files(spark: SparkSession, sf_dir: str) -> int:
+    """Files of a delivery, three at least: their number, and that of the table's buckets, grows with the line items."""
+    return max(3, tb.shares(spark, sf_dir))
+
+
 def _raw_sql(lab_id: str) -> str:
     return f"{T}, raw AS ({tb.duck(tb.RAW[lab_id])})"
 
@@ -226,9 +231,10 @@ _LAB_COLUMNS = ["sample_id", "test_id", "test_kit", "sex", "age", "location", "s
 @query("stream_drop_folder", f"WITH q AS ({oracle_labs.lab_sql('HPARDINI').replace(chr(34) + 'file_name' + chr(34) + ' NULLS FIRST, ', '')}) SELECT {', '.join(_LAB_COLUMNS)}, {ob.NOW_LOCAL} AS created_at FROM q")
 def stream_drop_folder(spark, sf_dir):
     """Dropped files merged in two batches into a table in buckets, twice over to show that nothing is doubled."""
-    folder, table = delivered(spark, sf_dir, "HPARDINI"), scratch(spark, "table")
+    parts = dropped_files(spark, sf_dir)
+    folder, table, two_thirds = delivered(spark, sf_dir, "HPARDINI", parts), scratch(spark, "table"), -(-2 * parts // 3)
     for run in ("first", "again"):
-        drop_folder.ingest_lab(spark, "HPARDINI", folder, table, scratch(spark, run), now, per_batch=2, buckets=8).awaitTermination()
+        drop_folder.ingest_lab(spark, "HPARDINI", folder, table, scratch(spark, run), now, per_batch=two_thirds, buckets=max(8, parts)).awaitTermination()
     return buckets.read(spark, table).select(*_LAB_COLUMNS, "created_at")
 
 
@@ -238,13 +244,14 @@ _BROKEN = "concat('x;', CODIGO, ';a;b;c;d;e;f;g;h;too many')"
 @query("stream_quarantine", f"WITH q AS ({oracle_labs.lab_sql('HPARDINI').replace(chr(34) + 'file_name' + chr(34) + ' NULLS FIRST, ', '')}), b AS (SELECT DISTINCT 'x;' || CODIGO || ';a;b;c;d;e;f;g;h;too many' AS line FROM ({tb.duck(tb.RAW['HPARDINI']).replace('FROM tests', f'FROM (WITH {tb.DUCK_TESTS} SELECT * FROM tests)')}) r) SELECT 'sample' AS kind, test_id AS what, SC2_test_result AS outcome FROM q UNION ALL SELECT 'broken', line, 'broken.csv' FROM b WHERE line IN (SELECT MAX(line) FROM b)")
 def stream_quarantine(spark, sf_dir):
     """A delivery with a row of too many fields: its other rows arrive, that one is set apart."""
-    folder, table, aside, done = delivered(spark, sf_dir, "HPARDINI"), scratch(spark, "table"), scratch(spark, "aside"), scratch(spark, "done")
+    parts = dropped_files(spark, sf_dir)
+    folder, table, aside, done = delivered(spark, sf_dir, "HPARDINI", parts), scratch(spark, "table"), scratch(spark, "aside"), scratch(spark, "done")
     raw = tb.raw(spark, sf_dir, "HPARDINI").drop("file_name")
     worst = raw.agg(F.max(F.expr(_BROKEN)).alias("line"))
     header = ";".join(raw.columns)
     text = worst.select(F.encode(F.concat_ws("\n", F.lit(header), "line"), "ISO-8859-1").alias("content"))
     buckets.Storage(spark, folder).put(f"{folder}/broken.csv", bytes(text.first()["content"]))
-    drop_folder.ingest_lab(spark, "HPARDINI", folder, table, scratch(spark, "first"), now, archive=done, quarantine=aside, buckets=8).awaitTermination()
+    drop_folder.ingest_lab(spark, "HPARDINI", folder, table, scratch(spark, "first"), now, archive=done, quarantine=aside, buckets=max(8, parts)).awaitTermination()
     samples = buckets.read(spark, table).select(F.lit("sample").alias("kind"), col("test_id").alias("what"), col("SC2_test_result").alias("outcome"))
     return samples.unionByName(spark.read.parquet(aside).select(F.lit("broken").alias("kind"), col("broken_line").alias("what"), col("file_name").alias("outcome")))
 

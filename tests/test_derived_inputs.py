@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 
+from conformance import queries_io as io
 from conformance import queries_operators as q
 from conformance import testbed as tb
 
@@ -49,3 +50,13 @@ def test_orders_are_dealt_to_tasks_by_their_size(spark, small, monkeypatch):
     rows, said = tb.raw_register(spark, small), spark.sql(tb.REGISTER, cases=tb.cases(spark, small))
     assert rows.rdd.getNumPartitions() == tb.tasks(spark, small, "orders") > spark.sparkContext.defaultParallelism
     assert rows.schema == said.schema and sorted(map(repr, rows.collect())) == sorted(map(repr, said.collect()))
+
+
+def test_a_drop_folder_holds_more_files_when_line_items_are_more(spark, small, monkeypatch):
+    seen, delivered = [], io.delivered
+    monkeypatch.setattr(io, "delivered", lambda spark, sf_dir, lab_id, parts=3: seen.append(parts) or delivered(spark, sf_dir, lab_id, parts))
+    few = io.stream_drop_folder(spark, small).collect()
+    monkeypatch.setattr(tb, "PER_TASK", 2048)
+    many = io.stream_drop_folder(spark, small).collect()
+    assert seen[0] == 3 < seen[1]
+    assert sorted(map(repr, few)) == sorted(map(repr, many))
