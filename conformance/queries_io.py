@@ -274,7 +274,8 @@ def bucketed_merge(spark, sf_dir):
     """A batch merged with a catalog table that is bucketed by the key: the table does not move."""
     target, source = halves(spark, sf_dir)
     name = f"kept_{uuid.uuid4().hex}"
-    table = tables.as_bucketed_table(target, name, "sample_id", 16, scratch(spark, name))
+    # a task holds one bucket: their number grows with the line items, the rows of one do not
+    table = tables.as_bucketed_table(target, name, "sample_id", max(16, tb.shares(spark, sf_dir)), scratch(spark, name))
     return upsert.merge(table, tables.as_table(source, scratch(spark, "batch"))).select("sample_id", "file_name", "created_at")
 
 

@@ -60,3 +60,13 @@ def test_a_drop_folder_holds_more_files_when_line_items_are_more(spark, small, m
     many = io.stream_drop_folder(spark, small).collect()
     assert seen[0] == 3 < seen[1]
     assert sorted(map(repr, few)) == sorted(map(repr, many))
+
+
+def test_a_merged_catalog_table_has_more_buckets_when_line_items_are_more(spark, small, monkeypatch):
+    seen, stored = [], io.tables.as_bucketed_table
+    monkeypatch.setattr(io.tables, "as_bucketed_table", lambda df, name, key, buckets, path: seen.append(buckets) or stored(df, name, key, buckets, path))
+    few = io.bucketed_merge(spark, small).collect()
+    monkeypatch.setattr(tb, "PER_TASK", 256)
+    many = io.bucketed_merge(spark, small).collect()
+    assert seen[0] == 16 < seen[1] == tb.shares(spark, small)
+    assert sorted(map(repr, few)) == sorted(map(repr, many))
