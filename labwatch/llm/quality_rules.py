@@ -9,6 +9,9 @@ once instead of once for every place that reads it.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,13 @@ MAX_SYMBOL_PERCENT = 10
 END_MARKS = "[.!?…:;,\"'”’»)\\]。！？]$"
 NAVIGATION = "(?i)^(home|menu|search|log ?in|log ?out|sign ?(in|up)|register|next|previous|prev|back( to top)?|top|share|print|contact( us)?|about( us)?|site ?map|read more|more|skip to (main )?content)$|( [|>»•·] .*){2,}"
 BOILERPLATE = "(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie (policy|settings)|use of cookies|enable javascript|lorem ipsum|click here|subscribe to our|sign up for our|copyright (©|\\(c\\))|powered by )"
+#: As many words as a fragment lacks.
+ENOUGH_WORDS = "^[^ ]+" + " +[^ ]+" * (FRAGMENT_WORDS - 1)
+#: What a text must hold, in lower case, for a line of it to match ``NAVIGATION`` beyond its words, or ``BOILERPLATE``.
+NAVIGATION_MARKS = ("|", ">", "»", "•", "·")
+BOILERPLATE_PARTS = ("all rights reserved", "terms of ", "privacy policy", "cookie ", "use of cookies", "enable javascript", "lorem ipsum", "click here", "subscribe to our", "sign up for our", "copyright ", "powered by ")
+#: Characters of the longest navigation word, "skip to main content", and of a line end that ``$`` passes over.
+LONGEST_NAVIGATION = 22
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -32,17 +42,22 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))).alias("once__")).select(*df.columns, *(F.col(f"once__.{k}").alias(k) for k in columns))
 
 
-def letters(line: Column) -> Column:
-    """Characters of the words of a text."""
-    return F.length(F.translate(line, " \t\n\x0b\f\r", ""))
+def holds_any(text: Column, parts: tuple[str, ...]) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(x)) for x in parts])
+
 
+def line_fails(line: Column, solid: Column, plain: Column, blank: Column, marks: Column, phrases: Column) -> Column:
+    """Whether a line with a word breaks a rule. ``solid`` is the line without blanks, ``plain`` without symbols, ``blank`` with spaces for tabs.
 
-def line_fails(line: Column) -> Column:
-    """Whether a line with a word breaks a rule."""
-    bare = F.trim(F.translate(line, "\t\x0b\f\r", "    "))
-    symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
-    fragment = (F.size(F.split(bare, " +")) < FRAGMENT_WORDS) & ~bare.rlike(END_MARKS)
-    return (symbols * 100 > letters(line) * MAX_SYMBOL_PERCENT) | fragment | bare.rlike(NAVIGATION) | bare.rlike(BOILERPLATE)
+    Where the text has none of ``NAVIGATION_MARKS`` (``marks``) or of
+    ``BOILERPLATE_PARTS`` (``phrases``), no line of it can hold what their
+    patterns look for, but for a short line that is a navigation word.
+    """
+    bare = F.trim(blank)
+    symbols = F.length(line) - F.length(plain)
+    fragment = ~bare.rlike(ENOUGH_WORDS) & ~bare.rlike(END_MARKS)
+    navigation = (marks | (F.length(bare) <= LONGEST_NAVIGATION)) & bare.rlike(NAVIGATION)
+    return (symbols * 100 > F.length(solid) * MAX_SYMBOL_PERCENT) | fragment | navigation | (phrases & bare.rlike(BOILERPLATE))
 
 
 def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -55,14 +70,23 @@ def quality_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     source = F.coalesce(F.col(text), F.lit(""))
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), source.alias("text"))
-    df = once(df, w=F.array_remove(F.split("text", SPACE), ""), lines=F.filter(F.split("text", "\n"), lambda x: letters(x) > 0), bad=F.filter(F.split("text", "\n"), lambda x: (letters(x) > 0) & line_fails(x)))
+    # a text is translated and cut whole, not line by line: each array has an entry for each line
+    cut = lambda t: F.split(t, "\n")
+    df = once(
+        df, w=F.array_remove(F.split("text", SPACE), ""), cut=cut(F.col("text")), solid=cut(F.translate("text", " \t\x0b\f\r", "")), plain=cut(F.translate("text", SYMBOLS, "")),
+        blank=cut(F.translate("text", "\t\x0b\f\r", "    ")), marks=holds_any(F.col("text"), NAVIGATION_MARKS), phrases=holds_any(F.lower("text"), BOILERPLATE_PARTS),
+    )
+    has_word = lambda i: F.length(F.get("solid", i)) > 0
+    fails = F.transform("cut", lambda x, i: has_word(i) & line_fails(x, *(F.get(c, i) for c in ("solid", "plain", "blank")), F.col("marks"), F.col("phrases")))
+    df = once(df, lines=F.filter("cut", lambda x, i: has_word(i)), fails=fails)
+    total = lambda lengths: F.aggregate(lengths, F.lit(0).cast("long"), lambda n, x: n + x)
     df = once(
-        df, n_words=F.size("w").cast("long"), word_chars=letters(F.col("text")).cast("long"), n_symbols=(F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long"),
+        df, n_words=F.size("w").cast("long"), word_chars=total(F.transform("solid", F.length)), n_symbols=F.length("text") - total(F.transform("plain", F.length)) - F.size("cut") + 1,
         n_dup_lines=(F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-        lost_chars=F.aggregate("bad", F.lit(0).cast("long"), lambda n, x: n + letters(x)),
-        clean_text=F.when(F.size("bad") == 0, F.col("text")).otherwise(F.array_join(F.filter(F.split("text", "\n"), lambda x: (letters(x) == 0) | ~line_fails(x)), "\n")),
+        lost_chars=total(F.transform("solid", lambda x, i: F.when(F.get("fails", i), F.length(x)).otherwise(0))),
+        clean_text=F.when(F.array_contains("fails", True), F.array_join(F.filter("cut", lambda x, i: ~F.get("fails", i)), "\n")).otherwise(F.col("text")),
         windows=F.sort_array(F.transform(F.slice("w", 1, F.greatest(F.size("w") - (WINDOW - 1), F.lit(0))), lambda x, i: F.struct(F.xxhash64(x, *(F.get("w", i + k) for k in range(1, WINDOW))).alias("h"), i.alias("i")))),
-    ).drop("w", "lines", "bad", "text")
+    ).drop("w", "cut", "solid", "plain", "blank", "marks", "phrases", "lines", "fails", "text")
     same = lambda x, i, k: F.coalesce(x["h"] == F.get("windows", i + k)["h"], F.lit(False))
     df = once(df, at=F.sort_array(F.transform(F.filter("windows", lambda x, i: same(x, i, -1) | same(x, i, 1)), lambda x: x["i"]))).drop("windows")
     covered = F.aggregate(F.transform("at", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(F.get("at", i + 1) - p, F.lit(WINDOW)))), F.lit(0).cast("long"), lambda n, x: n + x)

@@ -154,3 +154,21 @@ def test_toxicity(spark):
     assert kept.columns == df.columns and kept.count() == sum(p == 0 for *_, p in out)
     nothing = toxicity.toxicity(df, lab.limit(0)).collect()
     assert {r["score"] for r in nothing} == {0.0} and toxicity.toxicity(df.limit(0), lab).count() == 0
+
+
+def test_quality_translates_whole_texts_not_lines(spark):
+    plan = quality_rules.quality_rules(spark.createDataFrame([(1, "a b c d")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" in plan and "translate(lambda" not in plan
+
+
+def test_quality_finds_navigation_and_boilerplate_that_the_short_cuts_pass(spark):
+    lines = [
+        "Skip to MAIN content", "skip to main content\u0085", "site map", "one > two > three four", "one two | three • four", "one » two ·\tthree four · five",
+        "it is All Rights Reserved to us", "our Terms of Use are these", "the terms of service for you", "see the PRIVACY policy of ours", "a cookie settings page here.", "this makes use of cookies too.",
+        "please enable JavaScript to go on", "then Lorem Ipsum came to us", "you may click here to win", "do subscribe to our daily news", "please sign up for our daily news", "it is copyright \u00a9 of ours", "it is Copyright (C) of ours", "it was Powered By some engine",
+    ]
+    fine = ["all rights are reserved here", "one>two>three four is fine here", "a copyright of some kind here", "the terms of trade are these"]
+    rows = [(i, x) for i, x in enumerate(lines + fine)] + [(99, "\n".join(lines + fine))]
+    lost = {r["doc_id"]: r["lost_chars"] for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    chars = [len("".join(c for c in x if c not in "\t ")) for x in lines]
+    assert [lost[i] for i in range(len(rows) - 1)] == chars + [0] * len(fine) and lost[99] == sum(chars)
