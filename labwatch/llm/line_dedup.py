@@ -43,14 +43,22 @@ def index_keys(line: Column, length: Column, t: int) -> list[Column]:
 
 
 def probe_keys(line: Column, length: Column, t: int) -> list[Column]:
-    """Keys of the substrings that can be a segment of a line shorter by 0 to ``t``."""
+    """Keys of the substrings that can be a segment of another line, shorter by 0 to ``t``, other than the line's own segments.
+
+    Lines that share a segment in its place share a key of the index already.
+    Of two lines of one length within two edits that share none, one has lost
+    a character before the middle and won one behind it: its middle segment
+    stands one place on in the other, so every line looks to one side only.
+    """
     out = []
     for shorter in range(t + 1):
         own = length - shorter
         for i in range(1, t + 2):
             start, size = segment(own, i, t + 1)
             low, high = max(-(i - 1), shorter - (t + 1 - i)), min(i - 1, shorter + (t + 1 - i))
-            out += [key(i, own, F.substring(line, start + shift, size)) for shift in range(low, high + 1)]
+            if not shorter and t <= 2:
+                low = 1
+            out += [key(i, own, F.substring(line, start + shift, size)) for shift in range(low, high + 1) if shorter or shift]
     return out
 
 
@@ -136,13 +144,19 @@ def removed_lines(docs: DataFrame, text: str = "text", t: int = THRESHOLD, least
     # each distinct line by its hash, with its first place; the rest are exact repeats
     first = kept(lines.select("h", place.alias("at")).groupBy("h").agg(F.min("at").alias("at")))
 
-    measured = lines.select("h", "line", place.alias("at"), F.length("line").alias("n"))
-    index = measured.select("h", "at", F.explode(F.array(*index_keys(F.col("line"), F.col("n"), t))).alias("key"))
-    earliest = index.groupBy("key").agg(F.min(F.struct("at", "h")).alias("e"), F.min("h").alias("low"), F.max("h").alias("high"))
-    probes = measured.select("h", F.explode(F.array_distinct(F.array(*probe_keys(F.col("line"), F.col("n"), t)))).alias("key"))
-    # keys under which a probe finds another line; the keys of most lines are their own
-    met = probes.join(earliest, "key").filter((F.col("low") != F.col("h")) | (F.col("high") != F.col("h")))
-    met = kept(met.select("h", "key", F.col("e.h").alias("x"), (F.col("low") != F.col("high")).alias("more")).distinct())
+    measured = lines.select("h", "line", "d", "pos", F.length("line").alias("n"))
+    index = measured.select("h", "d", "pos", F.explode(F.array(*index_keys(F.col("line"), F.col("n"), t))).alias("key"))
+    earliest = index.groupBy("key").agg(F.min(F.struct("d", "pos", "h")).alias("e"), F.min("h").alias("low"), F.max("h").alias("high"))
+    more = F.col("low") != F.col("high")
+    # keys under which a probe finds another line, and, without a probe, those that several lines have
+    hits = earliest.filter(more).select(F.lit(None).cast("long").alias("h"), "key", F.col("e.h").alias("x"), F.lit(True).alias("more"))
+    if own := probe_keys(F.col("line"), F.col("n"), t):
+        probes = measured.select("h", F.explode(F.array(*own)).alias("key"))
+        found = probes.join(earliest, "key").filter(more | (F.col("low") != F.col("h")))
+        hits = found.select("h", "key", F.col("e.h").alias("x"), more.alias("more")).unionAll(hits)
+    hits = kept(hits.distinct())
+    members = kept(index.select("h", "key").join(hits.filter("h is null").select("key", "x"), "key").select("h", "key", "x").distinct())
+    met = hits.filter("h is not null").unionAll(members.withColumn("more", F.lit(True)))
 
     # all lines that pairs can hold: where a key has more lines than the earliest one, they meet one another
     wanted = met.select("h").unionAll(met.select("x")).distinct()
@@ -154,8 +168,7 @@ def removed_lines(docs: DataFrame, text: str = "text", t: int = THRESHOLD, least
     later = kept(similar(pairs, text, t).distinct())
 
     undecided = met.filter("more").select("h", "key").join(known, "h").join(later.withColumn("gone", F.lit(True)), "h", "left")
-    others = index.join(met.filter("more").select("key").distinct(), "key", "left_semi").select("key", "h").distinct()
-    others = others.join(known, "h").join(later.withColumn("gone", F.lit(True)), "h", "left")
+    others = members.select("key", "h").join(known, "h").join(later.withColumn("gone", F.lit(True)), "h", "left")
     others = others.select("key", F.col("h").alias("x"), F.col("at").alias("x_at"), F.col("counts").alias("x_counts"), F.col("gone").alias("x_gone"))
     # the later one of the two must be undecided
     open_ = F.when(F.col("at") > F.col("x_at"), F.col("gone").isNull()).otherwise(F.col("x_gone").isNull())

@@ -152,6 +152,28 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(df.limit(0)).count() == 0
 
 
+def test_lines_probe_one_side(spark):
+    """Eight probes a line find every near line that shares no segment in its place (five of equal length, own segments among them, were dealt out before)."""
+    from pyspark.sql import functions as F
+
+    draw = random.Random(88)
+    pairs = []
+    for _ in range(400):
+        a = "".join(draw.choices("ab", k=draw.randint(20, 24)))
+        b = a
+        for kind in draw.choice(["-+", "+-", "--", "++", "=-", "+=", "==", "-", "+"]):
+            at = draw.randint(0, len(b) - 1)
+            b = b[:at] + ("" if kind == "-" else draw.choice("ab")) + b[at + (kind != "+") :]
+        pairs += [(a, b)] * (a != b)
+    df = spark.createDataFrame(pairs, "a string, b string")
+    keys = lambda of, c: F.array(*of(F.col(c), F.length(c), 2))
+    rows = df.select("a", "b", *(keys(of, c).alias(f"{n}{c}") for n, of in (("own", line_dedup.index_keys), ("probe", line_dedup.probe_keys)) for c in "ab")).collect()
+    assert rows and all(len(r["probea"]) == 8 for r in rows)
+    for r in rows:
+        own_a, own_b = set(r["owna"]), set(r["ownb"])
+        assert own_a & own_b or own_a & set(r["probeb"]) or own_b & set(r["probea"]), (r["a"], r["b"])
+
+
 # passages
 
 
