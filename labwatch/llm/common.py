@@ -111,15 +111,19 @@ def sessions_checkpoint(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/llm-checkpoints"
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have executors let go of the shuffle files of earlier steps: they do once the driver has collected the plans that made them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def kept(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage through files in the shared folder; they outlive a lost executor.
 
-    Executors let go of the shuffle files of earlier steps only once the
-    driver has collected the plans that made them, so it does that first.
+    Shuffle files of earlier steps go first.
     """
     spark = df.sparkSession
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    let_go(spark)
     spark.sparkContext.setCheckpointDir(sessions_checkpoint(spark))
     return df.checkpoint(eager=eager)
 

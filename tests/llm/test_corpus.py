@@ -6,6 +6,7 @@ import random
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from labwatch.llm import line_dedup, mixing, multi_index, ngram_join, suffix_dedup
@@ -216,6 +217,60 @@ def test_merging_of_arrays_by_binary_search():
     assert all(np.array_equal(a, b) for a, b in zip(suffix_dedup.least_documents(stretches, low), suffix_dedup.least_documents(stretches, low, 200), strict=True))
 
 
+def test_suffixes_that_start_whole_strings_are_sorted_alone():
+    draw = random.Random(5)
+    for letters in (b"a", b"ab", bytes(range(256))):
+        t = bytes(draw.choices(letters, k=3_000))
+        at = np.array(sorted(draw.sample(range(len(t) - 49), 500)))
+        order = suffix_dedup.suffix_array(np.frombuffer(t, np.uint8), at, 50)
+        assert sorted(order) == at.tolist()
+        assert [t[i : i + 50] for i in order] == sorted(t[i : i + 50] for i in at)
+
+
+def test_shards_give_runs_without_a_join(spark, monkeypatch):
+    """A shard puts copies together as they come, and its places take the runs; copies of places meet no join."""
+    df = spark.createDataFrame([(i, "a passage that is long enough to be removed wherever it stands. " * 2) for i in range(40)], "doc_id long, text string")
+    assert "Join" not in suffix_dedup.repeats(df)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 64)
+    monkeypatch.setattr(suffix_dedup, "RUNS", 7)
+    draw = random.Random(9)
+    base = bytes(draw.choices(b"abc", k=300))
+    rows, texts, sizes = [], {}, []
+    for block in range(60):
+        cuts = [draw.randint(0, 180) for _ in range(3)]
+        data = b"".join(base[a : a + 76] for a in cuts)
+        first, one = np.arange(3) * 76, np.arange(3)
+        texts |= {block * 3 + k: base[a : a + 76] for k, a in enumerate(cuts)}
+        rows.append((0, suffix_dedup.STRETCHES, block, suffix_dedup.packed(data, block * 3 + one, first, first + 76, np.full(3, 20))))
+        rows.append((0, suffix_dedup.PLACES, block, suffix_dedup.places(one, 0 * one, one, block * 3 + one, 7 + one)))
+    rows.sort(key=lambda r: r[1])
+    shard = suffix_dedup.Shard(0)
+    for _, kind, block, data in rows:
+        if kind == suffix_dedup.STRETCHES:
+            shard.add(block, data)
+            sizes.append(len(shard.new))
+    assert max(sizes) < 60 and shard.single
+    table = pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["part", "kind", "block", "data"])
+    out = list(suffix_dedup.judged(iter(table.to_batches(max_chunksize=11)), 3))
+    assert len(out) > 1
+    got = {}
+    for part in range(3):
+        group = [b.filter(pa.array([p == part for p in b.column(0).to_pylist()])) for b in out]
+        for b in suffix_dedup.by_document(iter(group)):
+            got |= {r["d"]: np.frombuffer(r["runs"], "<i8").reshape(-1, 2).tolist() for r in b.to_pylist()}
+    first = {}
+    for d, t in texts.items():
+        for k in range(27):
+            first.setdefault(t[k : k + 50], d)
+    for d, t in texts.items():
+        gone = np.zeros(77, bool)
+        for k in range(27):
+            if first[t[k : k + 50]] < d:
+                gone[k : k + 50] = True
+        edge = np.flatnonzero(np.diff(np.r_[False, gone]))
+        assert got.get(d, []) == edge.reshape(-1, 2).tolist()
+
+
 def test_suffix_dedup(spark):
     draw = random.Random(2)
     base = ["".join(draw.choices("abcdé \n", k=draw.randint(40, 400))) for _ in range(15)]
