@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -111,9 +112,15 @@ def sessions_checkpoint(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/llm-checkpoints"
 
 
-def let_go(spark: SparkSession) -> None:
-    """Have executors let go of the shuffle files of earlier steps: they do once the driver has collected the plans that made them."""
+def let_go(spark: SparkSession, wait: bool = False) -> None:
+    """Have executors let go of the shuffle files of earlier steps: they do once the driver has collected the plans that made them.
+
+    Py4J takes up to a second to tell the JVM of plans that Python no longer
+    holds; ``wait`` is for steps that leave much on disk.
+    """
     gc.collect()
+    if wait:
+        time.sleep(1.5)
     spark.sparkContext._jvm.System.gc()
 
 

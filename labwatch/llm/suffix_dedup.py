@@ -8,7 +8,10 @@ with a smaller id. Three steps:
    the same place, so a string whose anchor occurs in one document alone
    repeats nowhere. Only 32 bits of an anchor's hash are dealt out beside its
    part, one anchor in about 14 bytes; what two hashes share by chance is
-   looked at and found not to repeat.
+   looked at and found not to repeat. Of a small table, a field of bits that
+   travels with each task tells which anchors repeat. The texts of a larger
+   one, for which no such field is large enough, are dealt to buckets, and each
+   bucket gets a bit for each of its anchors.
 2. *Shards.* Where an anchor occurs in several documents, the strings it
    anchors are dealt to the anchor's shard with the bytes around it, and after
    them the places where they stand. All copies of a string meet in one shard,
@@ -25,8 +28,9 @@ with a smaller id. Three steps:
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +46,9 @@ from labwatch.llm.shingles import INVERSE
 #: Bytes of a passage, of an anchor, of text a task looks at, of an array, of text for each shard, of hashes for each part.
 SPAN, ANCHOR = 50, 24
 BATCH_BYTES, PART_BYTES, SHARD_BYTES, GROUP_BYTES = 1 << 20, 4 << 20, 4 << 20, 8 << 20
+#: Bytes of text up to which a field tells which anchors repeat (it holds what can repeat in 3 times as many). Bytes of a bucket,
+#: of stretches a task gathers before it deals them out, of text for each part of the documents.
+SMALL_BYTES, BUCKET_BYTES, GATHER_BYTES, DOCUMENT_BYTES = 64 << 20, 8 << 20, 24 << 20, 16 << 20
 #: Occurrences of an anchor from which its strings are dealt one by one.
 HOT = 20_000
 #: In place of an anchor's place: the stretch is one string, dealt by all its bytes.
@@ -167,8 +174,37 @@ def anchors(key: np.ndarray, offsets: np.ndarray, span: int = SPAN) -> tuple[np.
     return starts, (value[starts] & U64(0xFFFFFFFF)).astype(np.int64)
 
 
-#: What is known of an anchor in a batch: whether two documents hold it, and how often it occurs, this number at most.
+def anchored(key: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``first, last, anchor``: where the neighbouring strings with one anchor start, and where it is."""
+    start, at = anchors(key, offsets)
+    head = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, np.int64)
+    return start[head], start[np.r_[head[1:], len(at)] - 1] if len(at) else head, at[head]
+
+
+def dealt_codes(key: np.ndarray, at: np.ndarray, bits: int) -> np.ndarray:
+    """The bits that are dealt out of the hashes of some anchors."""
+    return (anchor_codes(key, at, 2) >> U64(32 - bits)).view(np.int64)
+
+
+#: What is known of an anchor in a batch: whether two documents hold it, and how often it occurs, from 64 on the power of two below.
 TWO, OFTEN = 128, 127
+TIMES = np.r_[np.arange(64), 1 << np.arange(6, 63)]
+
+
+def counted(code: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+    """The parts that some anchors are dealt to, with the rest of each one's hash, once and in order, and what is known of it; rows ascend."""
+    order = np.argsort(code, kind="stable")
+    code, row = code[order], row[order]
+    head = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
+    count = np.diff(np.r_[head, len(code)])
+    # rows ascend within a code, so the first and the last tell whether they differ
+    two = row[head] != row[head + count - 1]
+    mark = (np.searchsorted(TIMES, count, side="right") - 1 + np.where(two, TWO, 0)).astype(np.uint8)
+    code = code[head]
+    part, rest = code >> 32, code.astype("<u4")
+    cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)] if len(part) else np.zeros(1, np.int64)
+    spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+    return part[cuts[:-1]], [rest[a:b].tobytes() for a, b in spans], [mark[a:b].tobytes() for a, b in spans]
 
 
 def dealt_bits(total: int) -> int:
@@ -184,21 +220,9 @@ def repeated_anchors(docs: DataFrame, text: str, total: int, most: int = HOT) ->
         for batch in pieces(batches, BATCH_BYTES):
             raw, offsets = text_bytes(batch.column(1))
             key = word_keys(raw)
-            start, at = anchors(key, offsets)
-            at = at[np.r_[True, at[1:] != at[:-1]]] if len(at) else at
-            code = anchor_codes(key, at, 2) >> U64(32 - bits)
-            order = np.argsort(code, kind="stable")
-            code, row = code[order], (np.searchsorted(offsets, at, side="right") - 1)[order]
-            head = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
-            count = np.diff(np.r_[head, len(code)])
-            # rows ascend within a code, so the first and the last tell whether they differ
-            two = row[head] != row[head + count - 1]
-            mark = (np.minimum(count, OFTEN) + np.where(two, TWO, 0)).astype(np.uint8)
-            code = code[head]
-            part, rest = (code >> U64(32)).astype(np.int64), code.astype("<u4")
-            cuts = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(part)] if len(part) else np.zeros(1, np.int64)
-            spans = list(zip(cuts[:-1], cuts[1:], strict=True))
-            yield pa.record_batch({"part": pa.array(part[cuts[:-1]], pa.int64()), "codes": pa.array([rest[a:b].tobytes() for a, b in spans], pa.binary()), "marks": pa.array([mark[a:b].tobytes() for a, b in spans], pa.binary())})
+            _, _, at = anchored(key, offsets)
+            part, codes, marks = counted(dealt_codes(key, at, bits), np.searchsorted(offsets, at, side="right") - 1)
+            yield pa.record_batch({"part": pa.array(part, pa.int64()), "codes": pa.array(codes, pa.binary()), "marks": pa.array(marks, pa.binary())})
 
     def both(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, seen, often, part = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
@@ -209,7 +233,7 @@ def repeated_anchors(docs: DataFrame, text: str, total: int, most: int = HOT) ->
             """Each code once, with the documents known of it (two at most) and its occurrences."""
             codes = np.concatenate([code, *(c for c, _ in held)])
             documents = np.concatenate([seen, *((m >> 7) + 1 for _, m in held)])
-            times = np.concatenate([often, *((m & OFTEN) for _, m in held)])
+            times = np.concatenate([often, *(TIMES[m & OFTEN] for _, m in held)])
             order = np.argsort(codes, kind="stable")
             codes = codes[order]
             head = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
@@ -251,63 +275,219 @@ def contexts(docs: DataFrame, text: str, bits: int, filtered: np.ndarray, hot: n
     Neighbouring strings with one anchor make one stretch; a string of a hot
     anchor is a stretch of its own. Two hashes name a stretch: of its anchor
     and of all its bytes, or two of the whole string. The first frame has for
-    each batch (``block``) and part a row with its stretches and one with the
-    places that refer to them, ``part, kind, block, data``, both packed; the
-    second one the stretches alone, ``part, stretches``.
+    all that a task gathers (``block``) and each part a row with stretches and
+    one with the places that refer to them, ``part, kind, block, data``, both
+    packed; the second one the stretches alone, ``part, stretches``.
     """
 
-    def stretches(raw: np.ndarray, key: np.ndarray, offsets: np.ndarray):
-        start, at = anchors(key, offsets)
-        if not len(start):
-            return None
-        new = np.r_[True, at[1:] != at[:-1]]
-        used, where = at[new], np.cumsum(new) - 1
-        dealt_code = (anchor_codes(key, used, 2) >> U64(32 - bits)).view(np.int64)
-        maybe = in_field(filtered, dealt_code)
-        alone = in_field(hot, dealt_code) & maybe
-        keep = maybe[where]
-        start, where = start[keep], where[keep]
-        if not len(start):
-            return None
-        new = np.ones(len(start), bool)
-        new[1:] = (where[1:] != where[:-1]) | (start[1:] != start[:-1] + 1) | alone[where[1:]]
-        first, last = start[new], start[np.r_[np.flatnonzero(new)[1:] - 1, len(start) - 1]]
-        return first, last + SPAN, np.where(alone[where[new]], WHOLE, used[where[new]] - first)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId() << 32
-        for k, batch in enumerate(pieces(batches, BATCH_BYTES)):
+        blocks = Blocks(parts)
+        for batch in pieces(batches, BATCH_BYTES):
             raw, offsets = text_bytes(batch.column(1))
             key = word_keys(raw)
-            if not (found := stretches(raw, key, offsets)):
-                continue
-            first, end, place = found
-            code, ctx = names(raw, key, first, end, place)
-            row = np.searchsorted(offsets, first, side="right") - 1
-            d, th = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            one, which = least_of_each(code, ctx, d[row])
-            # by part, each stretch with its number there
-            part = (code[one] % U64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            one, part = one[order], part[order]
-            cuts = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)]
-            number = np.empty(len(order), np.int64)
-            number[order] = np.arange(len(order))
-            number = number[which]
-            within = np.argsort(number, kind="stable")
-            edges = np.searchsorted(number[within], cuts)
-            data, own = raw.tobytes(), []
-            for a, b, c, e in zip(cuts[:-1], cuts[1:], edges[:-1], edges[1:], strict=True):
-                x, y = one[a:b], np.sort(within[c:e])
-                own.append(packed(data, d[row[x]], first[x], end[x], place[x]))
-                own.append(places(row[y], first[y] - offsets[row[y]], number[y] - a, d, th))
-            ids = pa.array(np.repeat(part[cuts[:-1]], 2))
-            yield pa.record_batch({"part": ids, "kind": pa.array([STRETCHES, PLACES] * (len(cuts) - 1), pa.int32()), "block": pa.array(np.full(len(ids), task + k)), "data": pa.array(own, pa.binary())})
+            first, last, at = anchored(key, offsets)
+            code = dealt_codes(key, at, bits)
+            maybe = in_field(filtered, code)
+            blocks.add(raw, key, offsets, batch.column(0).to_numpy(), batch.column(2).to_numpy(), *stretches(first, last, at, maybe, in_field(hot, code)))
+            if blocks.size > GATHER_BYTES:
+                yield blocks.out()
+        if blocks.size:
+            yield blocks.out()
 
     dealt_out = dealt(docs, text, run, "part long, kind int, block long, data binary")
     return dealt_out, dealt_out.filter(F.col("kind") == STRETCHES).select("part", F.col("data").alias("stretches"))
 
 
+def compressed(texts: pa.Array) -> list[bytes]:
+    """Each text as a compressed block."""
+    pack = zstandard.ZstdCompressor(level=1)
+    return [pack.compress(x.as_buffer()) for x in texts.cast(pa.binary())]
+
+
+def bucketed(docs: DataFrame, text: str, buckets: int) -> DataFrame:
+    """``bucket, d, th, text``: texts that hold a whole string, packed; rows with one id and text share a bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch({"bucket": batch.column(0), "d": batch.column(1), "th": batch.column(2), "text": pa.array(compressed(batch.column(3)), pa.binary())})
+
+    rows = numbered(docs, text).filter(F.octet_length("text") >= SPAN)
+    return rows.select(F.pmod(F.xxhash64("d", "th"), F.lit(buckets)).alias("bucket"), "d", "th", "text").mapInArrow(run, "bucket long, d long, th long, text binary")
+
+
+def bucket_texts(rows: Iterable[tuple]) -> Iterator[tuple[np.ndarray, ...]]:
+    """``raw, offsets, d, th`` of a bucket's packed texts, a batch at a time; rows with one id and text count once."""
+    seen: set[tuple[int, int]] = set()
+    held: list[bytes] = []
+    own: list[tuple[int, int]] = []
+    size, unpack = 0, zstandard.ZstdDecompressor()
+
+    def out() -> tuple[np.ndarray, ...]:
+        d, th = np.array(own, np.int64).T
+        return np.frombuffer(b"".join(held), np.uint8), np.r_[0, np.cumsum([len(x) for x in held])], d, th
+
+    for d, th, data in rows:
+        if (d, th) in seen:
+            continue
+        seen.add((d, th))
+        own.append((d, th))
+        held.append(unpack.decompress(data.as_buffer()))
+        size += len(held[-1])
+        if size >= BATCH_BYTES:
+            yield out()
+            held, own, size = [], [], 0
+    if held:
+        yield out()
+
+
+def repeated_in_buckets(texts: DataFrame, bits: int, most: int = HOT) -> DataFrame:
+    """``bucket, part, n, bits``: for the anchors of a bucket that are dealt to a part, in the order of their hashes, which of
+    them occur in two documents at least; behind them, if any of them does, which occur too often."""
+
+    def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, row, bucket, rows = [], [], 0, 0
+
+        def texts_() -> Iterator[tuple]:
+            nonlocal bucket
+            for batch in group:
+                bucket = batch.column(0)[0].as_py()
+                yield from zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True)
+
+        for raw, offsets, d, _ in bucket_texts(texts_()):
+            key = word_keys(raw)
+            _, _, at = anchored(key, offsets)
+            code.append(dealt_codes(key, at, bits))
+            row.append(rows + np.searchsorted(offsets, at, side="right") - 1)
+            rows += len(d)
+        part, codes, marks = counted(np.concatenate(code), np.concatenate(row))
+        yield pa.record_batch({"part": pa.array(part, pa.int64()), "bucket": pa.array(np.full(len(part), bucket)), "codes": pa.array(codes, pa.binary()), "marks": pa.array(marks, pa.binary())})
+
+    def both(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, buckets, codes, marks = 0, [], [], []
+        for batch in group:
+            part = batch.column(0)[0].as_py()
+            buckets.append(batch.column(1).to_numpy())
+            codes += [np.frombuffer(x.as_buffer(), "<u4") for x in batch.column(2)]
+            marks += [np.frombuffer(x.as_buffer(), np.uint8) for x in batch.column(3)]
+        bucket, n, code, mark = np.concatenate(buckets), np.array([len(x) for x in codes]), np.concatenate(codes), np.concatenate(marks)
+        order = np.argsort(code, kind="stable")
+        head = np.flatnonzero(np.r_[True, code[order][1:] != code[order][:-1]])
+        count = np.diff(np.r_[head, len(code)])
+        found, hot = np.empty((2, len(code)), bool)
+        found[order] = np.repeat(np.add.reduceat((mark[order] >> 7) + np.int64(1), head) > 1, count)
+        hot[order] = np.repeat(np.add.reduceat(TIMES[mark[order] & OFTEN], head) > most, count)
+        ends = np.cumsum(n)
+        data = [np.packbits(found[a:b]).tobytes() + (np.packbits(hot[a:b]).tobytes() if hot[a:b].any() else b"") for a, b in zip((ends - n).tolist(), ends.tolist(), strict=True)]
+        yield pa.record_batch({"bucket": pa.array(bucket), "part": pa.array(np.full(len(n), part)), "n": pa.array(n, pa.int64()), "bits": pa.array(data, pa.binary())})
+
+    codes = texts.groupBy("bucket").applyInArrow(run, "part long, bucket long, codes binary, marks binary")
+    return codes.groupBy("part").applyInArrow(both, "bucket long, part long, n long, bits binary")
+
+
+def bucket_contexts(texts: DataFrame, bits: int, repeated: DataFrame, parts: int) -> DataFrame:
+    """The first frame of ``contexts`` from the texts of buckets and what was found of their anchors."""
+
+    def marks(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        found, hot = [np.zeros(0, bool)], [np.zeros(0, bool)]
+        for _, _, _, n, data in rows:
+            x, size = np.frombuffer(data.as_buffer(), np.uint8), (n + 7) // 8
+            found.append(np.unpackbits(x[:size], count=n).view(bool))
+            hot.append(np.unpackbits(x[size:], count=n).view(bool) if len(x) > size else np.zeros(n, bool))
+        return np.concatenate(found), np.concatenate(hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = Blocks(parts)
+        rows = (r for batch in batches for r in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True))
+        for _, group in groupby(rows, lambda r: r[0]):
+            of_kind: tuple[list, list] = ([], [])
+            for r in group:
+                of_kind[r[1]].append(r)
+            found, hot = marks(of_kind[0])
+            held = []
+            for raw, offsets, d, th in bucket_texts(r[2:] for r in of_kind[1]):
+                key = word_keys(raw)
+                first, last, at = anchored(key, offsets)
+                held.append((raw, offsets, d, th, first, last, at, dealt_codes(key, at, bits)))
+            codes, number = np.unique(np.concatenate([x[-1] for x in held]), return_inverse=True)
+            if len(codes) != len(found):  # the rows aren't those that were there before
+                found, hot = np.ones(len(codes), bool), np.zeros(len(codes), bool)
+            for raw, offsets, d, th, first, last, at, code in held:
+                own, number = number[: len(code)], number[len(code) :]
+                blocks.add(raw, word_keys(raw), offsets, d, th, *stretches(first, last, at, found[own], hot[own]))
+                if blocks.size > GATHER_BYTES:
+                    yield blocks.out()
+        if blocks.size:
+            yield blocks.out()
+
+    both = repeated.select("bucket", F.lit(0).alias("kind"), F.col("part").alias("d"), F.col("n").alias("th"), F.col("bits").alias("data"))
+    both = both.unionByName(texts.select("bucket", F.lit(1).alias("kind"), "d", "th", F.col("text").alias("data")))
+    return both.repartition("bucket").sortWithinPartitions("bucket", "kind", "d").mapInArrow(run, "part long, kind int, block long, data binary")
+
+
+def stretches(first: np.ndarray, last: np.ndarray, at: np.ndarray, maybe: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``first, end, place`` of the stretches whose anchor may repeat; strings of a hot one stand alone."""
+    first, last, at, alone = first[maybe], last[maybe], at[maybe], hot[maybe]
+    count = np.where(alone, last - first + 1, 1)
+    which = np.repeat(np.arange(len(first)), count)
+    begin = first[which] + np.arange(len(which)) - (np.cumsum(count) - count)[which]
+    return begin, np.where(alone[which], begin, last[which]) + SPAN, np.where(alone[which], WHOLE, at[which] - begin)
+
+
+class Blocks:
+    """The stretches that a task gathers, each once, and where they stand; dealt out together, so that each part gets few rows."""
+
+    def __init__(self, parts: int):
+        self.parts, self.blocks = parts, TaskContext.get().partitionId() << 32
+        self.clear()
+
+    def clear(self) -> None:
+        self.text: list[bytes] = []
+        self.named: list[tuple[np.ndarray, ...]] = []
+        self.stand: list[tuple[np.ndarray, ...]] = []
+        self.documents: list[tuple[np.ndarray, ...]] = []
+        self.size = self.n = self.rows = 0
+
+    def add(self, raw: np.ndarray, key: np.ndarray, offsets: np.ndarray, d: np.ndarray, th: np.ndarray, first: np.ndarray, end: np.ndarray, place: np.ndarray) -> None:
+        if not len(first):
+            return
+        code, ctx = names(raw, key, first, end, place)
+        row = np.searchsorted(offsets, first, side="right") - 1
+        one, which = least_of_each(code, ctx, d[row])
+        data = raw.tobytes()
+        self.text.append(b"".join([data[a:b] for a, b in zip(first[one].tolist(), end[one].tolist(), strict=True)]))
+        self.named.append((code[one], ctx[one], d[row[one]], (end - first)[one], place[one]))
+        self.stand.append((self.rows + row, first - offsets[row], self.n + which))
+        self.documents.append((d, th))
+        self.size += len(self.text[-1]) + 40 * len(one) + 24 * len(row)
+        self.n += len(one)
+        self.rows += len(d)
+
+    def out(self) -> pa.RecordBatch:
+        """``part, kind, block, data``; then it is empty."""
+        (code, ctx, low, size, place), (row, start, number), (d, th) = ([np.concatenate(x) for x in zip(*held, strict=True)] for held in (self.named, self.stand, self.documents))
+        data, ends, block = b"".join(self.text), np.cumsum(size), self.blocks
+        self.clear()
+        self.blocks += 1
+        one, which = least_of_each(code, ctx, low)
+        # by part, each stretch with its number there
+        part = (code[one] % U64(self.parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        one, part = one[order], part[order]
+        cuts = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)]
+        at = np.empty(len(order), np.int64)
+        at[order] = np.arange(len(order))
+        number = at[which[number]]
+        within = np.argsort(number, kind="stable")
+        edges = np.searchsorted(number[within], cuts)
+        own = []
+        for a, b, c, e in zip(cuts[:-1], cuts[1:], edges[:-1], edges[1:], strict=True):
+            x, y = one[a:b], np.sort(within[c:e])
+            own.append(packed(data, low[x], ends[x] - size[x], ends[x], place[x]))
+            own.append(places(row[y], start[y], number[y] - a, d, th))
+        ids = pa.array(np.repeat(part[cuts[:-1]], 2))
+        return pa.record_batch({"part": ids, "kind": pa.array([STRETCHES, PLACES] * (len(cuts) - 1), pa.int32()), "block": pa.array(np.full(len(ids), block)), "data": pa.array(own, pa.binary())})
+
+
 def places(row: np.ndarray, start: np.ndarray, number: np.ndarray, d: np.ndarray, th: np.ndarray) -> bytes:
     """Places in documents as one compressed block: how many documents and places, the documents, then each place's document, start, number."""
     new = np.r_[True, row[1:] != row[:-1]]
@@ -348,7 +528,7 @@ def packed(data: bytes, low: np.ndarray, first: np.ndarray, end: np.ndarray, pla
 
 
 class Stretches:
-    """Stretches side by side: bytes, sizes, ends in the bytes, least documents, places of anchors, names."""
+    """Stretches side by side: bytes, sizes, ends in the bytes, least documents, places of anchors."""
 
     def __init__(self, blocks: list[bytes]):
         low, size, place, text = [], [], [], []
@@ -362,11 +542,11 @@ class Stretches:
         self.counts = [len(x) for x in low]
         self.low, self.size, self.place, self.raw = (np.concatenate(x) for x in (low, size, place, text))
         self.ends = np.cumsum(self.size)
-        self.code, self.ctx = names(self.raw, word_keys(self.raw), self.ends - self.size, self.ends, self.place)
 
     def once(self) -> tuple[bytes, np.ndarray]:
         """Packed again, each stretch with its least document; and which of these each stretch is."""
-        one, which = least_of_each(self.code, self.ctx, self.low)
+        code, ctx = names(self.raw, word_keys(self.raw), self.ends - self.size, self.ends, self.place)
+        one, which = least_of_each(code, ctx, self.low)
         return packed(self.raw.tobytes(), self.low[one], (self.ends - self.size)[one], self.ends[one], self.place[one]), which
 
 
@@ -585,12 +765,19 @@ def union(runs: np.ndarray) -> np.ndarray:
 def repeats(docs: DataFrame, text: str = "text", most: int = HOT) -> DataFrame:
     """``d, th, runs binary``: the maximal runs of bytes that go, for each document that loses any."""
     total = numbered(docs, text).agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    codes = kept(repeated_anchors(docs, text, total, most))
-    filtered = bloom(codes.select("code"), codes.count())
-    hot = codes.filter("hot").select("code")
-    parts = max(16, -(-total // SHARD_BYTES))
-    dealt_out, _ = contexts(docs, text, dealt_bits(total), filtered, bloom(hot, hot.count()), parts)
-    runs = dealt_out.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(partial(judged, parts=parts), "part long, runs binary")
+    bits, parts = dealt_bits(total), max(16, -(-total // SHARD_BYTES))
+    if total <= SMALL_BYTES:
+        codes = kept(repeated_anchors(docs, text, total, most))
+        filtered = bloom(codes.select("code"), codes.count())
+        hot = codes.filter("hot").select("code")
+        dealt_out, _ = contexts(docs, text, bits, filtered, bloom(hot, hot.count()), parts)
+    else:
+        texts = bucketed(docs, text, -(-total // BUCKET_BYTES))
+        repeated = kept(repeated_in_buckets(texts, bits, most))
+        let_go(docs.sparkSession, wait=True)  # of the texts, which are dealt out once more
+        dealt_out = bucket_contexts(texts, bits, repeated, parts)
+    to = max(16, -(-total // DOCUMENT_BYTES))
+    runs = dealt_out.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(partial(judged, parts=to), "part long, runs binary")
     return runs.groupBy("part").applyInArrow(by_document, "d long, th long, runs binary")
 
 
@@ -604,7 +791,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", texts_kept: bool = False,
     read.
     """
     gone = kept(repeats(docs, text, most))
-    let_go(docs.sparkSession)  # of the shards, before texts are dealt out
+    let_go(docs.sparkSession, wait=True)  # of the shards, before texts are dealt out
     field = bloom(gone.select("th"), gone.count())
 
     def maybe(th: pa.Array) -> np.ndarray:
@@ -616,11 +803,9 @@ def suffix_dedup(docs: DataFrame, text: str = "text", texts_kept: bool = False,
             yield pa.record_batch({"doc_id": batch.column(0), "d": batch.column(1), "th": batch.column(2), "n_bytes": pa.array([len(x) for x in data], pa.int64()), "all_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in data], pa.string())})
 
     def affected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             batch = batch.filter(pa.array(maybe(batch.column(1))))
-            text = [pack.compress(x.as_buffer()) for x in batch.column(2).cast(pa.binary())]
-            yield pa.record_batch({"d": batch.column(0), "th": batch.column(1), "text": pa.array(text, pa.binary())})
+            yield pa.record_batch({"d": batch.column(0), "th": batch.column(1), "text": pa.array(compressed(batch.column(2)), pa.binary())})
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -317,6 +317,50 @@ def test_rows_with_equal_ids_spare_each_other(spark):
     assert got == [(1, 0), (1, 0), (1, 0), (2, n), (9, n), (9, n)]
 
 
+def test_large_tables_are_dealt_to_buckets(spark, monkeypatch):
+    """Where a field can't hold the anchors that may repeat, buckets get bits of their own; results stay the same, and only what repeats is dealt out."""
+    monkeypatch.setattr(suffix_dedup, "SMALL_BYTES", 0)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 30_000)
+    draw = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyz é\n"
+    passages = ["".join(draw.choices(letters, k=draw.randint(40, 300))) for _ in range(30)]
+    docs = [(i, "".join(draw.choices(letters, k=draw.randint(0, 200))) + "".join(draw.choice(passages)[draw.randint(0, 40) :] for _ in range(draw.randint(0, 2))) + "All rights reserved. " * draw.randint(0, 6)) for i in range(900)]
+    docs += [(2_000, None), (2_001, ""), (2_002, "a" * 20_000), (2_003, "a" * 49), (2_004, "a" * 50)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    expected = brute_repeats(docs)
+    for most in (100, suffix_dedup.HOT):
+        got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.suffix_dedup(df, most=most).collect()}
+        assert got == expected
+    plan = suffix_dedup.repeats(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert suffix_dedup.suffix_dedup(df.limit(0)).count() == 0
+    text = passages[0] + "b" * 50
+    same = spark.createDataFrame([(1, text), (1, text), (1, "x" + text), (2, text), (None, text), (None, text)], "doc_id long, text string")
+    n = len(text.encode())
+    assert sorted((r["doc_id"] or 9, r["n_removed"]) for r in suffix_dedup.suffix_dedup(same).collect()) == [(1, 0), (1, 0), (1, 0), (2, n), (9, n), (9, n)]
+    alone = spark.createDataFrame([(i, "".join(draw.choices(letters, k=500))) for i in range(400)] + [(500 + i, passages[0][:200] + passages[1][:40]) for i in range(2)], "doc_id long, text string")
+    texts = suffix_dedup.bucketed(alone, "text", 7)
+    repeated = suffix_dedup.repeated_in_buckets(texts, 4).cache()
+    assert {r["bucket"] for r in repeated.collect()} == set(range(7))
+    rows = suffix_dedup.bucket_contexts(texts, 4, repeated, 16).collect()
+    places = [suffix_dedup.unpacked(pa.py_buffer(bytes(r["data"]))) for r in rows if r["kind"] == suffix_dedup.PLACES]
+    assert {int(d) for x in places for d in x[0][x[2]]} == {500, 501}
+
+
+def test_a_task_deals_stretches_out_together(spark, monkeypatch):
+    """Batches don't make rows of their own for each shard, and documents share parts larger than shards."""
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 2_000)
+    draw = random.Random(22)
+    passages = ["".join(draw.choices("abcdefgh ", k=200)) for _ in range(50)]
+    df = spark.createDataFrame([(i, "".join(draw.sample(passages, 3))) for i in range(600)], "doc_id long, text string").coalesce(1)
+    bits = suffix_dedup.dealt_bits(360_000)
+    codes = suffix_dedup.repeated_anchors(df, "text", 360_000).cache()
+    field = lambda c: suffix_dedup.bloom(c.select("code"), c.count())
+    dealt, _ = suffix_dedup.contexts(df, "text", bits, field(codes), field(codes.filter("hot")), 16)
+    rows = dealt.collect()
+    assert len(rows) == len({(r["part"], r["kind"]) for r in rows}) == 32
+
+
 # near copies
 
 
